@@ -154,3 +154,200 @@ SQL: dict[str, str] = {}
 
 SQL["mart_keyword_daily"] = with_(*MART_CHAIN) + "SELECT * FROM keyword_mart"
 SQL["silver_cards"] = with_(*CARD_CHAIN) + "SELECT * FROM silver_cards"
+
+
+# ------------------------------------------------------------------ listings
+
+RANK1 = "'#' || format('{:,}', l_orderkey) || ' in ' || p_type"
+RANK2 = "'#' || CAST(l_linenumber AS VARCHAR) || ' in' || p_name"
+
+LISTINGS = f"""
+listings AS (
+  SELECT
+    {ASIN.format(k='l_partkey')} AS asin,
+    p_name || ' ' || p_type AS title,
+    CASE WHEN l_partkey % 23 = 0 THEN NULL ELSE 'Brand: ' || p_brand END AS brand,
+    p_type AS category,
+    CASE WHEN l_linenumber = 7 THEN [{RANK1}, NULL]
+         WHEN l_linenumber > 1 THEN [{RANK1}, {RANK2}]
+         ELSE [{RANK1}] END AS best_seller_rank,
+    CASE WHEN l_linenumber = 7 THEN 'n/a'
+         WHEN l_linenumber % 2 = 0 THEN CAST(p_size AS VARCHAR) || ' x ' || CAST(l_linenumber AS VARCHAR) || ' inches'
+         ELSE CAST(p_size AS VARCHAR) || '.5 x ' || CAST(l_linenumber AS VARCHAR) || ' x 3.31 inches' END AS dimensions,
+    CASE WHEN l_linenumber = 6 THEN 'heavy' ELSE CAST(l_quantity AS VARCHAR) || ' ounces' END AS weight,
+    CASE WHEN l_orderkey % 97 = 0 THEN 'unknown'
+         WHEN l_linenumber % 3 = 0 THEN strftime(l_shipdate, '%B %-d, %Y')
+         WHEN l_linenumber % 3 = 1 THEN strftime(l_shipdate, '%b %-d, %Y')
+         ELSE strftime(l_shipdate, '%Y-%m-%d') END AS date_first_available,
+    'P' || lpad(CAST(l_partkey // 10 AS VARCHAR), 9, '0') AS parent_asin,
+    CAST(CASE WHEN l_linenumber > 5 THEN 2 ELSE 1 END AS BIGINT) AS variation_count,
+    l_linenumber AS n_sizes,
+    p_size % 4 + 1 AS n_colors,
+    l_linenumber % 5 AS n_images,
+    CASE WHEN l_linenumber = 7 THEN NULL ELSE CAST(l_quantity AS INTEGER) END AS star5,
+    CASE WHEN l_linenumber = 7 THEN NULL ELSE 20 END AS star4,
+    CASE WHEN l_linenumber = 7 THEN NULL ELSE l_linenumber END AS star3,
+    CAST(NULL AS INTEGER) AS star2,
+    CASE WHEN l_linenumber = 7 THEN NULL ELSE 3 END AS star1,
+    CASE WHEN l_linestatus = 'O' THEN 'In Stock' ELSE 'Out of Stock' END AS stock_status,
+    'Seller#' || CAST(l_suppkey AS VARCHAR) AS buybox_seller,
+    l_returnflag = 'A' AS is_fba,
+    string_split(p_name, ' ') AS categories,
+    {MKT.format(k='l_partkey')} AS marketplace,
+    strftime(l_shipdate + to_seconds(l_orderkey % 86400), '%Y-%m-%dT%H:%M:%S.%f') AS source_extracted_at,
+    strftime(l_shipdate, '%Y-%m-%d') AS ingested_at,
+    'details_' || CAST(l_orderkey AS VARCHAR) || '_' || CAST(l_linenumber AS VARCHAR) || '.json' AS source_file
+  FROM lineitem JOIN part ON l_partkey = p_partkey
+  WHERE l_partkey % 10 <> 0
+)"""
+
+DIM_RE = "^([\\d.]+)\\s*x\\s*([\\d.]+)(?:\\s*x\\s*([\\d.]+))?\\s*(\\w+)"
+WEIGHT_RE = "^([\\d.]+)\\s+(.+)$"
+STARS = "(coalesce(CAST(star5 AS DOUBLE), 0.0) + coalesce(CAST(star4 AS DOUBLE), 0.0) + coalesce(CAST(star3 AS DOUBLE), 0.0) + coalesce(CAST(star2 AS DOUBLE), 0.0) + coalesce(CAST(star1 AS DOUBLE), 0.0))"
+WSTARS = "(5 * coalesce(CAST(star5 AS DOUBLE), 0.0) + 4 * coalesce(CAST(star4 AS DOUBLE), 0.0) + 3 * coalesce(CAST(star3 AS DOUBLE), 0.0) + 2 * coalesce(CAST(star2 AS DOUBLE), 0.0) + 1 * coalesce(CAST(star1 AS DOUBLE), 0.0))"
+RANK_STRUCT = (
+    "list_transform(best_seller_rank, lambda x: struct_pack("
+    "rank := CASE WHEN x IS NOT NULL THEN TRY_CAST(regexp_replace(regexp_extract(x, '#?([\\d,]+)\\s+in\\s*', 1), ',', '', 'g') AS INTEGER) END, "
+    "category := CASE WHEN x IS NOT NULL THEN trim(regexp_extract(x, '#?[\\d,]+\\s+in\\s*(.+)$', 1)) END))"
+)
+FIRST_DATE = (
+    "CAST(coalesce(try_strptime(trim(date_first_available), '%B %-d, %Y'), "
+    "try_strptime(trim(date_first_available), '%b %-d, %Y'), "
+    "try_strptime(trim(date_first_available), '%Y-%m-%d')) AS DATE)"
+)
+
+LISTINGS_TYPED = f"""
+listings_typed AS (
+  SELECT
+    asin, parent_asin, trim(title) AS title,
+    trim(regexp_replace(brand, '^Brand:\\s*', '')) AS brand,
+    category AS category_path,
+    len(categories) AS category_depth,
+    categories[-1] AS category_leaf,
+    {RANK_STRUCT} AS best_seller_ranks,
+    dimensions AS dimensions_raw,
+    TRY_CAST(regexp_extract(dimensions, '{DIM_RE}', 1) AS DOUBLE) AS dimension_length,
+    TRY_CAST(regexp_extract(dimensions, '{DIM_RE}', 2) AS DOUBLE) AS dimension_width,
+    TRY_CAST(regexp_extract(dimensions, '{DIM_RE}', 3) AS DOUBLE) AS dimension_height,
+    trim(regexp_extract(dimensions, '{DIM_RE}', 4)) AS dimension_unit,
+    TRY_CAST(regexp_extract(weight, '{WEIGHT_RE}', 1) AS DOUBLE) AS weight_value,
+    trim(regexp_extract(weight, '{WEIGHT_RE}', 2)) AS weight_unit,
+    {FIRST_DATE} AS date_first_available,
+    variation_count,
+    n_sizes AS size_count,
+    n_colors AS color_count,
+    CASE WHEN n_images > 0 THEN 'https://img.example/' || asin || '_2.jpg' END AS main_image_url,
+    n_images AS image_count,
+    coalesce(CAST(star5 AS DOUBLE), 0.0) AS rating_pct_5,
+    coalesce(CAST(star4 AS DOUBLE), 0.0) AS rating_pct_4,
+    coalesce(CAST(star3 AS DOUBLE), 0.0) AS rating_pct_3,
+    coalesce(CAST(star2 AS DOUBLE), 0.0) AS rating_pct_2,
+    coalesce(CAST(star1 AS DOUBLE), 0.0) AS rating_pct_1,
+    CASE WHEN {STARS} > 0 THEN {rnd(f'{WSTARS} / {STARS}', 2)} END AS rating_weighted_avg,
+    lower(stock_status) = 'in stock' AS in_stock,
+    buybox_seller, is_fba, marketplace,
+    TRY_CAST(source_extracted_at AS TIMESTAMP) AS source_extracted_at,
+    TRY_CAST(ingested_at AS DATE) AS ingested_at,
+    source_file AS _source_file
+  FROM listings
+)"""
+
+SILVER_LISTINGS = """
+silver_listings AS (
+  SELECT * EXCLUDE (_rn, _source_file) FROM (
+    SELECT *, row_number() OVER (PARTITION BY asin, ingested_at
+                                 ORDER BY source_extracted_at DESC NULLS LAST, _source_file DESC NULLS LAST) AS _rn
+    FROM listings_typed)
+  WHERE _rn = 1
+)"""
+
+LISTING_CHAIN = (LISTINGS, LISTINGS_TYPED, SILVER_LISTINGS)
+
+TRACKED = ["title", "brand", "category_path", "category_leaf", "category_depth", "is_fba", "variation_count"]
+ATTRS = [
+    "title", "brand", "category_path", "category_leaf", "category_depth", "bsr_primary_category",
+    "date_first_available", "variation_count", "size_count", "color_count", "main_image_url", "is_fba",
+]
+
+
+def hash_of(cols: list[str]) -> str:
+    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in cols)
+    return f"sha256(concat_ws('~', {parts}))"
+
+
+def scd2_sql(name: str, source: str, keys: list[str], day: str, attrs: list[str], tracked: list[str], sk: str) -> str:
+    k = ", ".join(keys)
+    a = ", ".join(attrs)
+    return f"""
+{name}_flagged AS (
+  SELECT {k}, {day}, {a}, {hash_of(tracked)} AS _attr_hash,
+         lag({hash_of(tracked)}) OVER (PARTITION BY {k} ORDER BY {day}) AS _prev
+  FROM {source}
+),
+{name} AS (
+  SELECT sha256(concat_ws('~', {k}, CAST({day} AS VARCHAR))) AS {sk}, {k}, {a},
+         {day} AS effective_date,
+         CAST(lead({day}) OVER w - 1 AS DATE) AS expiry_date,
+         lead({day}) OVER w IS NULL AS is_current,
+         _attr_hash
+  FROM {name}_flagged
+  WHERE _prev IS NULL OR _prev <> _attr_hash
+  WINDOW w AS (PARTITION BY {k} ORDER BY {day})
+)"""
+
+
+SNAPSHOTS = f"""
+snapshots AS (
+  SELECT asin, marketplace, ingested_at, title, brand, category_path, category_leaf, category_depth,
+         best_seller_ranks[1].category AS bsr_primary_category, date_first_available, variation_count,
+         size_count, color_count, main_image_url, is_fba
+  FROM silver_listings
+)"""
+
+DIM = scd2_sql("dim", "snapshots", ["asin", "marketplace"], "ingested_at", ATTRS, TRACKED, "product_sk")
+DIM_CHAIN = (*LISTING_CHAIN, SNAPSHOTS, DIM)
+
+PERFORMANCE = """
+performance AS (
+  SELECT asin, marketplace, ingested_at,
+    best_seller_ranks[1].rank AS bsr_primary_rank,
+    best_seller_ranks[1].category AS bsr_primary_category,
+    best_seller_ranks[2].rank AS bsr_secondary_rank,
+    best_seller_ranks[2].category AS bsr_secondary_category,
+    rating_weighted_avg, rating_pct_5, rating_pct_4, rating_pct_3, rating_pct_2, rating_pct_1,
+    in_stock, buybox_seller, is_fba, variation_count, size_count, color_count, image_count
+  FROM silver_listings
+)"""
+
+FACT_PERFORMANCE = """
+fact_performance AS (
+  SELECT d.product_sk, p.*
+  FROM performance p LEFT JOIN dim d
+    ON p.asin = d.asin AND p.marketplace = d.marketplace
+   AND d.effective_date <= p.ingested_at AND p.ingested_at <= coalesce(d.expiry_date, DATE '9999-12-31')
+)"""
+
+BRAND_MART = f"""
+brand_mart AS (
+  SELECT d.brand, d.category_leaf, f.marketplace, f.ingested_at,
+    count(DISTINCT f.asin) AS asin_count,
+    {rnd_long('avg(f.bsr_primary_rank)')} AS avg_bsr_primary,
+    min(f.bsr_primary_rank) AS min_bsr_primary,
+    {rnd('avg(f.rating_weighted_avg)', 2)} AS avg_rating_weighted,
+    {rnd('avg(CAST(f.in_stock AS INTEGER)) * 100', 2)} AS in_stock_rate,
+    {flag_sum('f.is_fba')} AS fba_count,
+    {rnd('avg(f.variation_count)', 1)} AS avg_variation_count,
+    {rnd('avg(f.color_count)', 1)} AS avg_color_count,
+    {rnd('avg(f.size_count)', 1)} AS avg_size_count,
+    {pct(flag_sum('f.is_fba'), 'count(DISTINCT f.asin)')} AS fba_pct
+  FROM fact_performance f LEFT JOIN dim d ON f.product_sk = d.product_sk
+  WHERE d.brand IS NOT NULL
+  GROUP BY d.brand, d.category_leaf, f.marketplace, f.ingested_at
+)"""
+
+LISTING_SCALARS = "* EXCLUDE (best_seller_ranks)"
+
+SQL["silver_listings"] = with_(*LISTING_CHAIN) + f"SELECT {LISTING_SCALARS} FROM silver_listings"
+SQL["scd2_rebuild"] = with_(*DIM_CHAIN) + "SELECT * FROM dim"
+SQL["fact_product_performance"] = with_(*DIM_CHAIN, PERFORMANCE, FACT_PERFORMANCE) + "SELECT * FROM fact_performance"
+SQL["mart_brand_competitive"] = with_(*DIM_CHAIN, PERFORMANCE, FACT_PERFORMANCE, BRAND_MART) + "SELECT * FROM brand_mart"

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfscope.operators import clean, facts, marts
+from shelfscope.operators import clean, dimension, facts, marts
 from shelfscope.session import apply_defaults
 from shelfscope.sources import fixtures
 
@@ -55,3 +55,38 @@ def q_silver_cards(spark, sf_dir):
 def q_mart_keyword_daily(spark, sf_dir):
     """PL-08 (flagship): keyword x marketplace x day KPIs."""
     return marts.keyword_daily(facts.ranking_rows(silver_cards(spark, sf_dir)), audit_col=None)
+
+
+# ---------------------------------------------------------------- dimension
+
+
+def product_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dimension.scd2_rebuild(dimension.product_snapshots(silver_listings(spark, sf_dir)))
+
+
+@register("silver_listings")
+def q_silver_listings(spark, sf_dir):
+    """PL-03: PR-07..18, WN-02 (array columns are covered by listing_ranks)."""
+    return silver_listings(spark, sf_dir).drop("best_seller_ranks", "all_image_urls")
+
+
+@register("scd2_rebuild")
+def q_scd2_rebuild(spark, sf_dir):
+    """DM-01..03, DM-08: every product version from the whole listing history."""
+    return product_dim(spark, sf_dir)
+
+
+@register("fact_product_performance")
+def q_fact_product_performance(spark, sf_dir):
+    """PL-07 with the as-of version key (JN-06)."""
+    return facts.fact_product_performance(
+        silver_listings(spark, sf_dir), product_dim(spark, sf_dir), lookup="asof", audit_col=None
+    )
+
+
+@register("mart_brand_competitive")
+def q_mart_brand_competitive(spark, sf_dir):
+    """PL-09 over the rebuilt history (versions joined by surrogate key)."""
+    dim = product_dim(spark, sf_dir)
+    perf = facts.fact_product_performance(silver_listings(spark, sf_dir), dim, lookup="asof", audit_col=None)
+    return marts.brand_competitive(perf, dim, versions="all", audit_col=None)
