@@ -351,3 +351,257 @@ SQL["silver_listings"] = with_(*LISTING_CHAIN) + f"SELECT {LISTING_SCALARS} FROM
 SQL["scd2_rebuild"] = with_(*DIM_CHAIN) + "SELECT * FROM dim"
 SQL["fact_product_performance"] = with_(*DIM_CHAIN, PERFORMANCE, FACT_PERFORMANCE) + "SELECT * FROM fact_performance"
 SQL["mart_brand_competitive"] = with_(*DIM_CHAIN, PERFORMANCE, FACT_PERFORMANCE, BRAND_MART) + "SELECT * FROM brand_mart"
+
+
+# ------------------------------------------------------------------ per-rule queries
+
+DISCOUNT = f"""CASE WHEN original_price_amount > 0 AND original_price_amount IS NOT NULL AND price_amount IS NOT NULL
+         THEN {rnd('(original_price_amount - price_amount) / original_price_amount * 100', 2)} END"""
+
+SQL["pr_price"] = with_(CARDS, CARDS_TYPED) + f"""
+SELECT asin, keyword, source_extracted_at, price_raw, price_currency, price_amount, original_price_amount,
+       {DISCOUNT} AS discount_pct
+FROM cards_typed"""
+
+SOCIAL = f"""
+social AS (
+  SELECT asin, keyword, source_extracted_at, rating, ratings_count, monthly_sales, coupon AS coupon_raw,
+    {num("regexp_extract(rating, '^([\\d.]+)', 1)")} AS rating_value,
+    {scaled('ratings_count', '\\(([\\d.]+)([KkMm]?)\\)')} AS ratings_count_value,
+    CASE WHEN monthly_sales IS NOT NULL THEN {scaled('monthly_sales', '([\\d.]+)([KkMm]?)')} END AS monthly_sales_min,
+    coupon IS NOT NULL AS has_coupon,
+    CASE WHEN coupon IS NOT NULL THEN {num("regexp_extract(coupon, 'Save\\s*([\\d.]+)\\s*%', 1)")} END AS coupon_discount_pct
+  FROM cards
+)"""
+SQL["pr_social_proof"] = with_(CARDS, SOCIAL) + "SELECT * FROM social"
+
+SQL["pr_listing_text"] = with_(LISTINGS, LISTINGS_TYPED) + """
+SELECT asin, _source_file AS source_file, brand, category_depth, category_leaf,
+       dimension_length, dimension_width, dimension_height, dimension_unit, weight_value, weight_unit,
+       date_first_available, in_stock
+FROM listings_typed"""
+
+SQL["pr_rating_breakdown"] = with_(LISTINGS, LISTINGS_TYPED) + """
+SELECT asin, _source_file AS source_file, rating_pct_5, rating_pct_4, rating_pct_3, rating_pct_2, rating_pct_1,
+       rating_weighted_avg, size_count, color_count, main_image_url, image_count
+FROM listings_typed"""
+
+SQL["listing_ranks"] = with_(*LISTING_CHAIN) + """
+SELECT asin, ingested_at, CAST(pos AS INTEGER) AS pos, r.rank AS rank, r.category AS category
+FROM (SELECT asin, ingested_at, unnest(range(len(best_seller_ranks))) AS pos, unnest(best_seller_ranks) AS r
+      FROM silver_listings)"""
+
+# ------------------------------------------------------------------ facts, dimension extras
+
+DIM_CURRENT_SK = "(SELECT product_sk, asin, marketplace FROM dim WHERE is_current)"
+
+SQL["fact_search_ranking"] = with_(*DIM_CHAIN, *CARD_CHAIN, RANKING_ROWS) + f"""
+SELECT d.product_sk, r.* FROM ranking r LEFT JOIN {DIM_CURRENT_SK} d USING (asin, marketplace)"""
+
+PRICE_ROWS = f"""
+price_latest AS (
+  SELECT * FROM (
+    SELECT asin, marketplace, ingested_at, price_amount AS latest_price, original_price_amount AS original_price_latest,
+           discount_pct AS discount_pct_latest, coupon AS coupon_discount_pct_latest,
+           row_number() OVER (PARTITION BY asin, marketplace, ingested_at
+                              ORDER BY source_extracted_at DESC NULLS LAST, keyword DESC) AS _rn
+    FROM silver_cards) WHERE _rn = 1
+),
+price_aggs AS (
+  SELECT asin, marketplace, ingested_at,
+    {rnd('min(price_amount)', 2)} AS min_price, {rnd('max(price_amount)', 2)} AS max_price,
+    {rnd('avg(price_amount)', 2)} AS avg_price, bool_or(has_coupon) AS has_coupon,
+    CAST(count(DISTINCT keyword) AS INTEGER) AS keyword_appearance_count
+  FROM silver_cards GROUP BY asin, marketplace, ingested_at
+),
+price_rows AS (
+  SELECT a.asin, a.marketplace, a.ingested_at, min_price, max_price, avg_price, latest_price, original_price_latest,
+         discount_pct_latest, has_coupon, coupon_discount_pct_latest, keyword_appearance_count
+  FROM price_aggs a JOIN price_latest l USING (asin, marketplace, ingested_at)
+)"""
+
+FACT_PRICE = f"""
+fact_price AS (
+  SELECT d.product_sk, p.* FROM price_rows p LEFT JOIN {DIM_CURRENT_SK} d USING (asin, marketplace)
+)"""
+
+SQL["fact_price_snapshot"] = with_(*DIM_CHAIN, *CARD_CHAIN, PRICE_ROWS, FACT_PRICE) + "SELECT * FROM fact_price"
+
+SQL["dim_asof"] = with_(*DIM_CHAIN, *CARD_CHAIN, RANKING_ROWS) + """
+SELECT d.product_sk, r.* FROM ranking r LEFT JOIN dim d
+  ON r.asin = d.asin AND r.marketplace = d.marketplace
+ AND d.effective_date <= r.ingested_at AND r.ingested_at <= coalesce(d.expiry_date, DATE '9999-12-31')"""
+
+SQL["dim_current"] = with_(*DIM_CHAIN) + "SELECT * EXCLUDE (_attr_hash) FROM dim WHERE is_current"
+SQL["dim_totals"] = with_(*DIM_CHAIN) + "SELECT count(*) AS total_rows, count(*) FILTER (WHERE is_current) AS current_rows FROM dim"
+SQL["scd2_apply_last_day"] = SQL["scd2_rebuild"]
+
+CUSTOMER_SNAPSHOTS = """
+csnap AS (
+  SELECT o_custkey AS custkey, CAST(o_orderdate AS DATE) AS snapshot_date,
+         max(o_orderpriority) AS priority, max(o_orderstatus) AS status
+  FROM orders GROUP BY 1, 2
+)"""
+SQL["scd2_customer"] = with_(CUSTOMER_SNAPSHOTS, scd2_sql("cdim", "csnap", ["custkey"], "snapshot_date", ["priority", "status"], ["priority", "status"], "customer_sk")) + "SELECT * FROM cdim"
+
+SQL["new_keys"] = with_(*CARD_CHAIN) + """
+SELECT s.asin, s.keyword, s.marketplace, s.ingested_at FROM silver_cards s
+WHERE NOT EXISTS (SELECT 1 FROM silver_cards p
+                  WHERE p.asin = s.asin AND p.keyword = s.keyword AND p.marketplace = s.marketplace
+                    AND p.ingested_at = s.ingested_at - 1)"""
+
+# ------------------------------------------------------------------ query layer
+
+SQL["top_keywords"] = with_(*MART_CHAIN) + """
+SELECT * FROM keyword_mart ORDER BY total_products DESC NULLS LAST, keyword, marketplace, ingested_at LIMIT 50"""
+
+SQL["keyword_daily_on"] = with_(*MART_CHAIN) + """
+SELECT keyword, marketplace, total_products, avg_price, sponsored_pct FROM keyword_mart
+WHERE ingested_at = (SELECT max(ingested_at) FROM keyword_mart)
+ORDER BY total_products DESC, keyword, marketplace LIMIT 50"""
+
+SQL["price_lookup"] = with_(*DIM_CHAIN, *CARD_CHAIN, PRICE_ROWS, FACT_PRICE) + """
+SELECT p.asin, d.brand, p.avg_price, p.min_price
+FROM fact_price p LEFT JOIN (SELECT * FROM dim WHERE is_current) d ON p.product_sk = d.product_sk
+WHERE p.ingested_at = (SELECT max(ingested_at) FROM fact_price) AND p.marketplace = 'US'"""
+
+# ------------------------------------------------------------------ analytics
+
+
+def norm(c: str) -> str:
+    return f"CASE WHEN s._max_{c} > s._min_{c} THEN (m.{c} - s._min_{c}) / (s._max_{c} - s._min_{c}) WHEN m.{c} IS NOT NULL THEN 0.0 END"
+
+
+OPP_COLS = ["total_monthly_sales_min", "sponsored_pct", "avg_ratings_count"]
+OPPORTUNITY = f"""
+opportunity AS (
+  SELECT m.keyword, m.marketplace, m.ingested_at, m.total_monthly_sales_min, m.sponsored_pct, m.avg_ratings_count,
+    {rnd(f"CAST(0.5 AS DOUBLE) * {norm('total_monthly_sales_min')} - CAST(0.3 AS DOUBLE) * {norm('sponsored_pct')} - CAST(0.2 AS DOUBLE) * {norm('avg_ratings_count')}", 4)} AS opportunity_score,
+    (m.sponsored_pct < 30.0 AND m.avg_ratings_count < 500) AS is_target
+  FROM keyword_mart m LEFT JOIN (
+    SELECT marketplace, ingested_at, {', '.join(f'min({c}) AS _min_{c}, max({c}) AS _max_{c}' for c in OPP_COLS)}
+    FROM keyword_mart GROUP BY marketplace, ingested_at) s
+  ON m.marketplace = s.marketplace AND m.ingested_at = s.ingested_at
+)"""
+SQL["opportunity"] = with_(*MART_CHAIN, OPPORTUNITY) + "SELECT * FROM opportunity"
+SQL["opportunity_top"] = with_(*MART_CHAIN, OPPORTUNITY) + """
+SELECT * FROM opportunity ORDER BY opportunity_score DESC NULLS LAST, keyword, marketplace, ingested_at LIMIT 50"""
+
+SQL["margin"] = with_(*MART_CHAIN, PRICE_ROWS) + f"""
+, pressure AS (
+  SELECT r.keyword, r.marketplace, r.ingested_at, {rnd('avg(p.discount_pct_latest)', 2)} AS avg_discount_latest
+  FROM ranking r LEFT JOIN price_rows p USING (asin, marketplace, ingested_at)
+  GROUP BY r.keyword, r.marketplace, r.ingested_at
+)
+SELECT m.keyword, m.marketplace, m.ingested_at, m.median_price,
+  {rnd('m.median_price - CAST(0.3 AS DOUBLE) * m.median_price - CAST(0.15 AS DOUBLE) * m.median_price - CAST(0.0 AS DOUBLE)', 2)} AS estimated_margin,
+  p.avg_discount_latest,
+  CASE WHEN m.total_products > 0 THEN {rnd('m.coupon_count / m.total_products * 100', 2)} END AS coupon_density_pct,
+  m.median_price > 20.0 AS price_ok
+FROM keyword_mart m LEFT JOIN pressure p USING (keyword, marketplace, ingested_at)"""
+
+SQL["stability"] = with_(*MART_CHAIN) + f"""
+SELECT keyword, marketplace, count(y) AS n_days,
+  {rnd('avg(y)', 2)} AS avg_demand, {rnd('stddev_samp(y)', 2)} AS stddev_demand,
+  CASE WHEN count(y) >= 2 AND stddev_samp(y) > 0 THEN {rnd('avg(y) / stddev_samp(y)', 4)} END AS stability_score,
+  {rnd('regr_slope(y, x)', 4)} AS trend_slope
+FROM (SELECT keyword, marketplace, CAST(total_monthly_sales_min AS DOUBLE) AS y,
+             CAST(ingested_at - DATE '1970-01-01' AS DOUBLE) AS x FROM keyword_mart)
+GROUP BY keyword, marketplace"""
+
+SQL["ad_saturation"] = with_(*MART_CHAIN) + """
+SELECT keyword, marketplace, ingested_at, sponsored_pct, best_seller_count,
+  CASE WHEN sponsored_pct IS NULL THEN NULL WHEN sponsored_pct < 30.0 THEN 'healthy'
+       WHEN sponsored_pct <= 50.0 THEN 'competitive' ELSE 'red_flag' END AS ad_band
+FROM keyword_mart"""
+
+SQL["fragmentation"] = with_(*MART_CHAIN) + """
+SELECT m.keyword, m.marketplace, m.ingested_at, m.best_seller_count, m.avg_ratings_count,
+  s.median_best_seller_count, s.median_avg_ratings_count,
+  (m.best_seller_count <= s.median_best_seller_count AND m.avg_ratings_count <= s.median_avg_ratings_count) AS is_fragmented
+FROM keyword_mart m LEFT JOIN (
+  SELECT marketplace, ingested_at, quantile_disc(best_seller_count, 0.5) AS median_best_seller_count,
+         quantile_disc(avg_ratings_count, 0.5) AS median_avg_ratings_count
+  FROM keyword_mart GROUP BY marketplace, ingested_at) s
+ON m.marketplace = s.marketplace AND m.ingested_at = s.ingested_at"""
+
+SQL["rank_moves"] = with_(*LISTING_CHAIN, PERFORMANCE) + """
+SELECT asin, marketplace, ingested_at, bsr_primary_rank,
+  lag(ingested_at) OVER w AS prev_ingested_at,
+  lag(bsr_primary_rank) OVER w AS prev_bsr_primary_rank,
+  lag(bsr_primary_rank) OVER w - bsr_primary_rank AS rank_change
+FROM performance WINDOW w AS (PARTITION BY asin, marketplace ORDER BY ingested_at)"""
+
+SQL["keyword_dimension"] = with_(*MART_CHAIN) + """
+SELECT keyword_norm, marketplace, ingested_at, count(DISTINCT keyword) AS n_variants,
+  CAST(sum(total_products) AS BIGINT) AS total_products,
+  CAST(sum(total_monthly_sales_min) AS BIGINT) AS total_monthly_sales_min
+FROM (SELECT *, regexp_replace(lower(trim(regexp_replace(keyword, '\\s+', ' ', 'g'))), '^(.*[a-z]{2}[^s\\s])s$', '\\1') AS keyword_norm
+      FROM keyword_mart)
+GROUP BY keyword_norm, marketplace, ingested_at"""
+
+# ------------------------------------------------------------------ data quality
+
+SQL["dq_duplicate_current"] = with_(*DIM_CHAIN) + """
+SELECT 'duplicate_current' AS check_name, count(*) AS failures FROM (
+  SELECT asin, marketplace FROM dim WHERE is_current GROUP BY asin, marketplace HAVING count(*) > 1)"""
+
+SQL["dq_null_keys"] = with_(*CARD_CHAIN, RANKING_ROWS, PERFORMANCE) + """
+SELECT 'ranking_null_keys' AS check_name,
+       count(*) FILTER (WHERE asin IS NULL OR keyword IS NULL OR marketplace IS NULL OR ingested_at IS NULL) AS failures
+FROM ranking
+UNION ALL
+SELECT 'performance_null_keys', count(*) FILTER (WHERE asin IS NULL OR marketplace IS NULL OR ingested_at IS NULL)
+FROM performance"""
+SQL["dq_null_keys"] = SQL["dq_null_keys"].replace("WITH ", "WITH " + LISTINGS.strip() + ",\n" + LISTINGS_TYPED.strip() + ",\n" + SILVER_LISTINGS.strip() + ",\n", 1)
+
+SQL["dq_version_chain"] = with_(*DIM_CHAIN) + """
+, v AS (SELECT product_sk, effective_date, expiry_date, is_current,
+               lead(effective_date) OVER (PARTITION BY asin, marketplace ORDER BY effective_date) AS nxt FROM dim)
+SELECT 'chain_gap' AS check_name, count(*) FILTER (WHERE nxt IS NOT NULL AND expiry_date IS DISTINCT FROM CAST(nxt - 1 AS DATE)) AS failures FROM v
+UNION ALL SELECT 'open_not_last', count(*) FILTER (WHERE nxt IS NOT NULL AND is_current) FROM v
+UNION ALL SELECT 'last_not_open', count(*) FILTER (WHERE nxt IS NULL AND NOT is_current) FROM v
+UNION ALL SELECT 'inverted', count(*) FILTER (WHERE effective_date > expiry_date) FROM v
+UNION ALL SELECT 'duplicate_sk', count(product_sk) - count(DISTINCT product_sk) FROM v"""
+
+SQL["dq_change_pairs"] = with_(*DIM_CHAIN) + """
+SELECT count(*) AS changed_keys,
+       count(*) FILTER (WHERE current_versions <> 1 OR closed_versions <> versions - 1) AS failures
+FROM (SELECT asin, marketplace, count(*) AS versions,
+             count(*) FILTER (WHERE is_current) AS current_versions,
+             count(*) FILTER (WHERE NOT is_current AND expiry_date IS NOT NULL) AS closed_versions
+      FROM dim GROUP BY asin, marketplace)
+WHERE versions >= 2"""
+
+
+def profile_sql(source: str, cols: list[str], pairs: dict[str, str]) -> str:
+    parts = []
+    for c in cols:
+        raw = next((r for r, p in pairs.items() if p == c), None)
+        rnn = f"count(*) FILTER (WHERE {raw} IS NOT NULL)" if raw else "CAST(NULL AS BIGINT)"
+        ok = f"count(*) FILTER (WHERE {raw} IS NOT NULL AND {c} IS NOT NULL)" if raw else "CAST(NULL AS BIGINT)"
+        parts.append(
+            f"SELECT '{c}' AS column_name, count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls, "
+            f"{rnn} AS raw_non_null, {ok} AS parsed FROM {source}"
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
+_PROFILE_INNER = (
+    profile_sql("(SELECT price_raw AS price, price_amount FROM cards_typed)", ["price", "price_amount"], {"price": "price_amount"})
+    + "\nUNION ALL\n"
+    + profile_sql(
+        "social",
+        ["rating", "ratings_count", "monthly_sales", "coupon_raw", "rating_value", "ratings_count_value", "monthly_sales_min",
+         "has_coupon", "coupon_discount_pct"],
+        {"rating": "rating_value", "ratings_count": "ratings_count_value", "monthly_sales": "monthly_sales_min",
+         "coupon_raw": "coupon_discount_pct"},
+    )
+)
+SQL["dq_profile"] = with_(CARDS, CARDS_TYPED, SOCIAL) + f"""
+SELECT *, CASE WHEN rows > 0 THEN {rnd('nulls / rows * 100', 2)} END AS null_pct,
+          CASE WHEN raw_non_null > 0 THEN {rnd('parsed / raw_non_null * 100', 2)} END AS parse_pct
+FROM ({_PROFILE_INNER})"""
+
+SQL["dq_rerun_identical"] = with_(*CARD_CHAIN) + """
+SELECT 'silver_cards' AS check_name, count(*) AS rows, CAST(0 AS BIGINT) AS failures FROM silver_cards"""

@@ -22,16 +22,13 @@ def _audit(df: DataFrame, audit_col: str | None) -> DataFrame:
     return df.withColumn(audit_col, F.current_timestamp()) if audit_col else df
 
 
-def clean_cards(
-    bronze: DataFrame,
-    keys: Sequence[str] = CARD_KEYS,
-    audit_col: str | None = "silver_processed_at",
-) -> DataFrame:
-    """Search-result cards -> silver (grain ``keys``, latest extraction wins)."""
+def type_cards(bronze: DataFrame) -> DataFrame:
+    """PR-01..06, PR-17, PR-18: typed card columns, one row per bronze row
+    (``_source_file`` kept as the dedup tie-break)."""
     price_raw, price_currency, price_amount = P.parse_price("price")
     _, _, original_amount = P.parse_price("original_price")
     has_coupon, coupon = P.parse_coupon("coupon")
-    typed = bronze.select(
+    return bronze.select(
         "asin",
         F.trim("title").alias("title"),
         price_raw.alias("price_raw"),
@@ -57,23 +54,28 @@ def clean_cards(
         P.to_day("ingested_at").alias("ingested_at"),
         F.col("source_file").alias("_source_file"),
     )
-    out = latest_per(typed, keys, ["source_extracted_at", "_source_file"]).drop("_source_file")
-    return _audit(out, audit_col)
 
 
-def clean_listings(
+def clean_cards(
     bronze: DataFrame,
-    keys: Sequence[str] = LISTING_KEYS,
+    keys: Sequence[str] = CARD_KEYS,
     audit_col: str | None = "silver_processed_at",
 ) -> DataFrame:
-    """Product-detail listings -> silver (grain ``keys``, latest extraction wins).
+    """Search-result cards -> silver (grain ``keys``, latest extraction wins)."""
+    typed = type_cards(bronze)
+    out = latest_per(typed, keys, ["source_extracted_at", "_source_file"]).drop("_source_file")
+    return _audit(out, audit_col)
+
+
+def type_listings(bronze: DataFrame) -> DataFrame:
+    """PR-07..18: typed listing columns, one row per bronze row.
 
     ``size(null)`` is null under ANSI (the legacy engine returned -1); that is
     a deliberate change, documented in the README.
     """
     length, width, height, unit = P.parse_dimensions("dimensions")
     weight_value, weight_unit = P.parse_weight("weight")
-    typed = bronze.select(
+    return bronze.select(
         "asin",
         "parent_asin",
         F.trim("title").alias("title"),
@@ -105,5 +107,14 @@ def clean_listings(
         P.to_day("ingested_at").alias("ingested_at"),
         F.col("source_file").alias("_source_file"),
     )
+
+
+def clean_listings(
+    bronze: DataFrame,
+    keys: Sequence[str] = LISTING_KEYS,
+    audit_col: str | None = "silver_processed_at",
+) -> DataFrame:
+    """Product-detail listings -> silver (grain ``keys``, latest extraction wins)."""
+    typed = type_listings(bronze)
     out = latest_per(typed, keys, ["source_extracted_at", "_source_file"]).drop("_source_file")
     return _audit(out, audit_col)

@@ -8,8 +8,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfscope.operators import clean, dimension, facts, marts
+from shelfscope.functions import parse
+from shelfscope.operators import analytics, clean, dimension, facts, marts, quality, topk
+from shelfscope.plans import views
 from shelfscope.session import apply_defaults
 from shelfscope.sources import fixtures
 
@@ -90,3 +93,295 @@ def q_mart_brand_competitive(spark, sf_dir):
     dim = product_dim(spark, sf_dir)
     perf = facts.fact_product_performance(silver_listings(spark, sf_dir), dim, lookup="asof", audit_col=None)
     return marts.brand_competitive(perf, dim, versions="all", audit_col=None)
+
+
+# ---------------------------------------------------------------- per-rule parsing
+
+
+def typed_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.type_cards(fixtures.raw_cards(spark, sf_dir)).drop("_source_file")
+
+
+def typed_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.type_listings(fixtures.raw_listings(spark, sf_dir)).drop("_source_file")
+
+
+@register("pr_price")
+def q_pr_price(spark, sf_dir):
+    """PR-01, PR-06 on every card."""
+    raw = fixtures.raw_cards(spark, sf_dir)
+    t = clean.type_cards(raw)
+    return t.select("asin", "keyword", "source_extracted_at", "price_raw", "price_currency", "price_amount",
+                    "original_price_amount", "discount_pct")
+
+
+@register("pr_social_proof")
+def q_pr_social_proof(spark, sf_dir):
+    """PR-02..05: rating, ratings count, monthly sales floor, coupon."""
+    raw = fixtures.raw_cards(spark, sf_dir)
+    P = parse
+    has_coupon, coupon = P.parse_coupon("coupon")
+    return raw.select(
+        "asin", "keyword", "source_extracted_at", "rating", "ratings_count", "monthly_sales", F.col("coupon").alias("coupon_raw"),
+        P.parse_rating("rating").alias("rating_value"),
+        P.parse_ratings_count("ratings_count").alias("ratings_count_value"),
+        P.parse_monthly_sales("monthly_sales").alias("monthly_sales_min"),
+        has_coupon.alias("has_coupon"),
+        coupon.alias("coupon_discount_pct"),
+    )
+
+
+@register("pr_listing_text")
+def q_pr_listing_text(spark, sf_dir):
+    """PR-07, PR-09, PR-10, PR-12, PR-13, PR-16 on every listing."""
+    raw = fixtures.raw_listings(spark, sf_dir)
+    P = parse
+    length, width, height, unit = P.parse_dimensions("dimensions")
+    wv, wu = P.parse_weight("weight")
+    return raw.select(
+        "asin", "source_file",
+        P.clean_brand("brand").alias("brand"),
+        P.category_depth("categories").alias("category_depth"),
+        P.category_leaf("categories").alias("category_leaf"),
+        length.alias("dimension_length"), width.alias("dimension_width"), height.alias("dimension_height"),
+        unit.alias("dimension_unit"), wv.alias("weight_value"), wu.alias("weight_unit"),
+        P.first_date("date_first_available").alias("date_first_available"),
+        P.in_stock("stock_status").alias("in_stock"),
+    )
+
+
+@register("pr_rating_breakdown")
+def q_pr_rating_breakdown(spark, sf_dir):
+    """PR-11, PR-14, PR-15: star shares, weighted mean, variation and media counts."""
+    raw = fixtures.raw_listings(spark, sf_dir)
+    return raw.select(
+        "asin", "source_file", *parse.rating_breakdown("rating_overview"),
+        F.size("available_dimensions.size_name").alias("size_count"),
+        F.size("available_dimensions.color_name").alias("color_count"),
+        F.get(F.col("images"), 0).alias("main_image_url"),
+        F.size("images").alias("image_count"),
+    )
+
+
+@register("listing_ranks")
+def q_listing_ranks(spark, sf_dir):
+    """PR-08: every rank entry of every silver listing, one row each."""
+    s = silver_listings(spark, sf_dir)
+    return s.select("asin", "ingested_at", F.posexplode("best_seller_ranks").alias("pos", "r")).select(
+        "asin", "ingested_at", "pos", "r.rank", "r.category"
+    )
+
+
+# ---------------------------------------------------------------- facts
+
+
+@register("fact_search_ranking")
+def q_fact_search_ranking(spark, sf_dir):
+    """PL-05: cards with the current product key (JN-01)."""
+    return facts.fact_search_ranking(silver_cards(spark, sf_dir), product_dim(spark, sf_dir), audit_col=None)
+
+
+@register("fact_price_snapshot")
+def q_fact_price_snapshot(spark, sf_dir):
+    """PL-06: AG-01..03, AG-09, WN-03, JN-01."""
+    return facts.fact_price_snapshot(silver_cards(spark, sf_dir), product_dim(spark, sf_dir), audit_col=None)
+
+
+@register("dim_asof")
+def q_dim_asof(spark, sf_dir):
+    """JN-06: ranking rows keyed to the version valid on their day."""
+    return facts.fact_search_ranking(silver_cards(spark, sf_dir), product_dim(spark, sf_dir), lookup="asof", audit_col=None)
+
+
+# ---------------------------------------------------------------- dimension extras
+
+
+@register("dim_current")
+def q_dim_current(spark, sf_dir):
+    """DM-07: active versions, change hash hidden."""
+    return dimension.current_view(product_dim(spark, sf_dir))
+
+
+@register("dim_totals")
+def q_dim_totals(spark, sf_dir):
+    """DM-09: total and current version counts."""
+    return dimension.dim_totals(product_dim(spark, sf_dir))
+
+
+@register("scd2_customer")
+def q_scd2_customer(spark, sf_dir):
+    """DM-08 with other keys and tracked columns: customer order profile history."""
+    snaps = fixtures.customer_snapshots(spark, sf_dir)
+    return dimension.scd2_rebuild(
+        snaps, keys=["custkey"], day="snapshot_date", tracked=["priority", "status"], attrs=["priority", "status"], sk="customer_sk"
+    )
+
+
+@register("scd2_apply_last_day")
+def q_scd2_apply_last_day(spark, sf_dir):
+    """DM-04/05: rebuild up to the day before the last day, then load the last
+    day incrementally; equals the rebuild of the whole history."""
+    snaps = dimension.product_snapshots(silver_listings(spark, sf_dir))
+    last = snaps.agg(F.max("ingested_at")).first()[0]
+    before = dimension.scd2_rebuild(snaps.filter(F.col("ingested_at") < F.lit(last)))
+    incoming = dimension.shape_incoming(snaps.filter(F.col("ingested_at") == F.lit(last)), last)
+    return dimension.scd2_apply(before, incoming, last)
+
+
+@register("new_keys")
+def q_new_keys(spark, sf_dir):
+    """JN-04: card keys present on a day but absent the day before."""
+    s = silver_cards(spark, sf_dir).select("asin", "keyword", "marketplace", "ingested_at")
+    return dimension.new_keys(s, ["asin", "keyword", "marketplace"])
+
+
+# ---------------------------------------------------------------- query layer
+
+
+def _gold_views(spark, sf_dir):
+    cards = silver_cards(spark, sf_dir)
+    dim = product_dim(spark, sf_dir)
+    ranking = facts.ranking_rows(cards)
+    views.register_views(
+        spark,
+        {
+            "dim_product": dim,
+            "fact_price_snapshot": facts.fact_price_snapshot(cards, dim, audit_col=None),
+            "mart_keyword_daily": marts.keyword_daily(ranking, audit_col=None),
+        },
+    )
+
+
+@register("top_keywords")
+def q_top_keywords(spark, sf_dir):
+    """SL-02/03: the 50 keyword days with most products over the whole mart."""
+    mart = marts.keyword_daily(facts.ranking_rows(silver_cards(spark, sf_dir)), audit_col=None)
+    return topk.top_k(mart, ["total_products"], 50, ties=["keyword", "marketplace", "ingested_at"])
+
+
+@register("keyword_daily_on")
+def q_keyword_daily_on(spark, sf_dir):
+    """QL-04: the latest day's keyword list through the SQL view."""
+    _gold_views(spark, sf_dir)
+    return views.keyword_daily_on(spark)
+
+
+@register("price_lookup")
+def q_price_lookup(spark, sf_dir):
+    """QL-05: latest day's US prices with brand through the SQL views."""
+    _gold_views(spark, sf_dir)
+    return views.price_lookup(spark, "US")
+
+
+# ---------------------------------------------------------------- analytics
+
+
+def keyword_mart(spark, sf_dir):
+    return marts.keyword_daily(facts.ranking_rows(silver_cards(spark, sf_dir)), audit_col=None)
+
+
+@register("opportunity")
+def q_opportunity(spark, sf_dir):
+    """AN-01: opportunity score and target flag for every keyword day."""
+    return analytics.opportunity(keyword_mart(spark, sf_dir))
+
+
+@register("opportunity_top")
+def q_opportunity_top(spark, sf_dir):
+    """AN-01 + SL-03: shortlist of the 50 best keyword days."""
+    return topk.top_k(analytics.opportunity(keyword_mart(spark, sf_dir)), ["opportunity_score"], 50,
+                      ties=["keyword", "marketplace", "ingested_at"])
+
+
+@register("margin")
+def q_margin(spark, sf_dir):
+    """AN-02: margin screen with discount pressure and coupon density."""
+    cards = silver_cards(spark, sf_dir)
+    ranking = facts.ranking_rows(cards)
+    return analytics.margin(marts.keyword_daily(ranking, audit_col=None), ranking, facts.price_snapshot_rows(cards))
+
+
+@register("stability")
+def q_stability(spark, sf_dir):
+    """AN-03: demand stability per keyword and marketplace."""
+    return analytics.stability(keyword_mart(spark, sf_dir))
+
+
+@register("ad_saturation")
+def q_ad_saturation(spark, sf_dir):
+    """AN-04: sponsored-share band per keyword day."""
+    return analytics.ad_saturation(keyword_mart(spark, sf_dir))
+
+
+@register("fragmentation")
+def q_fragmentation(spark, sf_dir):
+    """AN-05: fragmented keyword days."""
+    return analytics.fragmentation(keyword_mart(spark, sf_dir))
+
+
+@register("rank_moves")
+def q_rank_moves(spark, sf_dir):
+    """AN-06 / WN-04: day-over-day primary rank movement per product."""
+    return analytics.rank_moves(facts.performance_rows(silver_listings(spark, sf_dir)))
+
+
+@register("keyword_dimension")
+def q_keyword_dimension(spark, sf_dir):
+    """AN-07: normalised keyword groups."""
+    return analytics.keyword_dimension(keyword_mart(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- data quality
+
+
+@register("dq_duplicate_current")
+def q_dq_duplicate_current(spark, sf_dir):
+    """DQ-01 on the product dimension."""
+    return quality.duplicate_current(product_dim(spark, sf_dir), ["asin", "marketplace"])
+
+
+@register("dq_null_keys")
+def q_dq_null_keys(spark, sf_dir):
+    """DQ-02 on the ranking and performance facts."""
+    cards = silver_cards(spark, sf_dir)
+    a = quality.null_keys(facts.ranking_rows(cards), ["asin", "keyword", "marketplace", "ingested_at"], "ranking_null_keys")
+    b = quality.null_keys(facts.performance_rows(silver_listings(spark, sf_dir)), ["asin", "marketplace", "ingested_at"],
+                          "performance_null_keys")
+    return a.unionByName(b)
+
+
+@register("dq_version_chain")
+def q_dq_version_chain(spark, sf_dir):
+    """DQ-05 on the product dimension."""
+    return quality.version_chain(product_dim(spark, sf_dir), ["asin", "marketplace"])
+
+
+@register("dq_change_pairs")
+def q_dq_change_pairs(spark, sf_dir):
+    """DQ-04 on the product dimension."""
+    return quality.change_pairs(product_dim(spark, sf_dir), ["asin", "marketplace"])
+
+
+CARD_PARSE_PAIRS = {
+    "price": "price_amount",
+    "rating": "rating_value",
+    "ratings_count": "ratings_count_value",
+    "monthly_sales": "monthly_sales_min",
+    "coupon_raw": "coupon_discount_pct",
+}
+
+
+@register("dq_profile")
+def q_dq_profile(spark, sf_dir):
+    """DQ-06: null shares and parse rates of the card text rules."""
+    sp = q_pr_social_proof(spark, sf_dir)
+    pr = q_pr_price(spark, sf_dir).select(F.col("price_raw").alias("price"), "price_amount")
+    a = quality.profile(pr, {"price": "price_amount"})
+    b = quality.profile(sp.drop("asin", "keyword", "source_extracted_at"), {k: v for k, v in CARD_PARSE_PAIRS.items() if k != "price"})
+    return a.unionByName(b)
+
+
+@register("dq_rerun_identical")
+def q_dq_rerun_identical(spark, sf_dir):
+    """DQ-03: two independent runs of the silver card job give identical content."""
+    return quality.rerun_identical(silver_cards(spark, sf_dir), silver_cards(spark, sf_dir), "silver_cards")
