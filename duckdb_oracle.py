@@ -222,7 +222,7 @@ listings_typed AS (
     asin, parent_asin, trim(title) AS title,
     trim(regexp_replace(brand, '^Brand:\\s*', '')) AS brand,
     category AS category_path,
-    len(categories) AS category_depth,
+    CAST(len(categories) AS INTEGER) AS category_depth,
     categories[-1] AS category_leaf,
     {RANK_STRUCT} AS best_seller_ranks,
     dimensions AS dimensions_raw,
@@ -605,3 +605,8 @@ FROM ({_PROFILE_INNER})"""
 
 SQL["dq_rerun_identical"] = with_(*CARD_CHAIN) + """
 SELECT 'silver_cards' AS check_name, count(*) AS rows, CAST(0 AS BIGINT) AS failures FROM silver_cards"""
+
+# ------------------------------------------------------------------ sources and sinks
+
+SQL["bronze_roundtrip"] = with_(CARDS) + "SELECT * EXCLUDE (source_file) FROM cards"
+SQL["replace_partition_rerun"] = SQL["silver_cards"]

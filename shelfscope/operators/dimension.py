@@ -69,9 +69,13 @@ def product_snapshots(silver_listings: DataFrame) -> DataFrame:
     )
 
 
-def shape_incoming(snapshots: DataFrame, run_date: str | date, tracked: Sequence[str] = PRODUCT_TRACKED) -> DataFrame:
-    """DM-02: one day's snapshots as candidate current versions."""
+def shape_incoming(
+    snapshots: DataFrame, run_date: str | date, tracked: Sequence[str] = PRODUCT_TRACKED, day: str = "ingested_at"
+) -> DataFrame:
+    """DM-02: one day's snapshots as candidate current versions (day column dropped)."""
     d = F.lit(str(run_date)).cast("date")
+    if day in snapshots.columns:
+        snapshots = snapshots.drop(day)
     return (
         snapshots.withColumn("effective_date", d)
         .withColumn("expiry_date", F.lit(None).cast("date"))

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from shelfscope.functions import parse
 from shelfscope.operators import analytics, clean, dimension, facts, marts, quality, topk
 from shelfscope.plans import views
-from shelfscope.session import apply_defaults
-from shelfscope.sources import fixtures
+from shelfscope.session import apply_defaults, shared_dir
+from shelfscope.sinks import tables
+from shelfscope.sources import fixtures, raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -385,3 +386,28 @@ def q_dq_profile(spark, sf_dir):
 def q_dq_rerun_identical(spark, sf_dir):
     """DQ-03: two independent runs of the silver card job give identical content."""
     return quality.rerun_identical(silver_cards(spark, sf_dir), silver_cards(spark, sf_dir), "silver_cards")
+
+
+# ---------------------------------------------------------------- sources and sinks
+
+
+@register("bronze_roundtrip")
+def q_bronze_roundtrip(spark, sf_dir):
+    """SC-01..08, PL-01: cards written as scraper envelopes to the shared
+    folder, read back by the raw ingest (all days at once)."""
+    root = shared_dir(spark, "raw")
+    raw.write_card_envelopes(fixtures.raw_cards(spark, sf_dir), root)
+    rows, _bad = raw.ingest(spark, root, "search", raw.CARD_ENVELOPE, raw.CARD_LIFT, layout="{root}/{source}/d={date}", multi_line=False)
+    return rows.drop("source_file")
+
+
+@register("replace_partition_rerun")
+def q_replace_partition_rerun(spark, sf_dir):
+    """SK-02/07: silver cards written as day partitions, the last day then
+    re-run; the re-read table is unchanged (idempotent replacement)."""
+    path = shared_dir(spark, "silver_cards")
+    s = silver_cards(spark, sf_dir)
+    tables.replace_partitions(s, path)
+    last = spark.read.parquet(path).agg(F.max("ingested_at")).first()[0]
+    tables.replace_partition(s.filter(F.col("ingested_at") == F.lit(last)), path, last)
+    return spark.read.parquet(path)
