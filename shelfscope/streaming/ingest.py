@@ -40,15 +40,11 @@ def start_bronze_stream(
     Malformed files are dropped from the stream (the batch ``ingest`` keeps
     them in a quarantine table).
     """
-    reader = (
-        spark.readStream.schema(T.StructType([*schema.fields, T.StructField(raw.CORRUPT, T.StringType())]))
-        .option("multiLine", multi_line)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", raw.CORRUPT)
-    )
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    envelopes = reader.json(raw.raw_path(raw_root, source, None, layout)).withColumn("_file_path", F.col("_metadata.file_path"))
+    text = reader.text(raw.raw_path(raw_root, source, None, layout), wholetext=multi_line)
+    envelopes = raw.parse_envelopes(text, schema)
     good = envelopes.filter(F.col(raw.CORRUPT).isNull()).drop(raw.CORRUPT)
     rows = raw.explode_records(good, lift).withColumn("ingested_at", F.col("ingested_at").cast("date"))
     writer = (
