@@ -150,3 +150,20 @@ def test_streaming_bronze(spark, tmpdir_path):
     got = spark.read.parquet(f"{tmpdir_path}/bronze")
     assert got.count() == cards.count()
     assert got.select("ingested_at").distinct().count() == cards.select("ingested_at").distinct().count()
+
+
+def test_path_scan_and_schema_contract(spark, tmpdir_path):
+    from pyspark.sql import types as T
+
+    from shelfscope.operators import quality
+
+    path = f"{tmpdir_path}/p"
+    cards = clean.clean_cards(_cards(spark), audit_col=None)
+    tables.replace_partitions(cards, path)
+    day = cards.agg(F.max("ingested_at")).first()[0]
+    got = views.path_scan(spark, path, f"ingested_at = DATE '{day}'")
+    assert got.count() == cards.filter(F.col("ingested_at") == F.lit(day)).count()
+    contract = T.StructType([T.StructField("asin", T.StringType()), T.StructField("price_amount", T.DoubleType()),
+                             T.StructField("ingested_at", T.DateType()), T.StructField("rating", T.LongType())])
+    issues = quality.schema_contract(spark.read.parquet(path), contract, forbidden=["source_file", "title"])
+    assert issues == [("rating", "bigint", "double"), ("title", "absent", "string")]
