@@ -44,12 +44,13 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None)
 
 def apply_defaults(spark: SparkSession) -> None:
     """Set the runtime SQL settings we depend on, keeping any caller value
-    except the time zone, which must be UTC for date parity."""
+    except the time zone, which must be UTC for date parity.  Partition
+    overwrites pass ``partitionOverwriteMode`` on each write instead of
+    changing the session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     for k, v in DEFAULTS.items():
         if spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
 
 
 def shared_dir(spark: SparkSession, name: str | None = None) -> str:

@@ -131,3 +131,29 @@ def test_lookup_broadcast_only_when_checked(spark):
     small = dimension.lookup_sk(fact, dim, broadcast_max_rows=1000)
     assert "BroadcastHashJoin" in plan_text(small)
     assert dimension.fits_broadcast(dim, 1) is False
+
+
+def test_same_day_rerun_is_reported(spark, tmpdir_path):
+    # T10: reloading a day with changed attributes closes the old row the day
+    # before it started and reuses the surrogate key; DQ-05 reports both.
+    path = f"{tmpdir_path}/dim"
+    d = date(2024, 5, 1)
+    h1 = spark.createDataFrame([("x", "US", d, "one")], "asin string, marketplace string, ingested_at date, title string")
+    h2 = spark.createDataFrame([("x", "US", d, "two")], "asin string, marketplace string, ingested_at date, title string")
+    tables.scd2_load_day(spark, path, dimension.shape_incoming(h1, d, tracked=["title"]), d.isoformat())
+    tables.scd2_load_day(spark, path, dimension.shape_incoming(h2, d, tracked=["title"]), d.isoformat())
+    checks = {r.check_name: r.failures for r in quality.version_chain(spark.read.parquet(path), ["asin", "marketplace"]).collect()}
+    assert checks["inverted"] == 1 and checks["duplicate_sk"] == 1
+
+
+def test_update_untracked_type1(spark):
+    d1, d2 = date(2024, 6, 1), date(2024, 6, 2)
+    schema = "asin string, marketplace string, ingested_at date, title string, main_image_url string"
+    day1 = spark.createDataFrame([("x", "US", d1, "t", "img1")], schema)
+    day2 = spark.createDataFrame([("x", "US", d2, "t", "img2")], schema)
+    dim = dimension.scd2_first_run(dimension.shape_incoming(day1, d1, tracked=["title"]))
+    inc = dimension.shape_incoming(day2, d2, tracked=["title"])
+    keep = dimension.scd2_apply(dim, inc, d2).collect()
+    upd = dimension.scd2_apply(dim, inc, d2, update_untracked=True).collect()
+    assert [(r.main_image_url, str(r.effective_date)) for r in keep] == [("img1", "2024-06-01")]
+    assert [(r.main_image_url, str(r.effective_date)) for r in upd] == [("img2", "2024-06-01")]

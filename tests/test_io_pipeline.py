@@ -138,6 +138,9 @@ def test_day_pipeline_matches_batch(spark, tmpdir_path):
     plans.rebuild(spark, lake2)
     rebuilt = sorted(tuple(r) for r in spark.read.parquet(lake2.path("gold", "mart_keyword_daily")).drop("gold_processed_at").collect())
     assert rebuilt == after
+    brand_day = sorted(tuple(r) for r in spark.read.parquet(lake.path("gold", "mart_brand_competitive")).drop("gold_processed_at").collect())
+    brand_re = sorted(tuple(r) for r in spark.read.parquet(lake2.path("gold", "mart_brand_competitive")).drop("gold_processed_at").collect())
+    assert brand_day == brand_re and len(brand_day) > 0
 
 
 def test_streaming_bronze(spark, tmpdir_path):
