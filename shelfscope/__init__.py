@@ -1,4 +1,4 @@
-"""shelfscope: Spark-native market-intelligence lakehouse.
+"""shelfscope: retail market analytics on Spark.
 
 Raw scraper envelopes -> bronze -> silver (typed, deduplicated) -> gold
 (SCD2 product dimension, daily facts, keyword and brand marts) -> SQL views

@@ -100,11 +100,10 @@ def test_write_modes_and_report(spark, tmpdir_path):
 
 def _write_listing_envelopes(spark, root, listings):
     rec = F.struct(*[F.col(f.name) for f in raw.LISTING_RECORD.fields if f.name in listings.columns])
-    env = listings.groupBy("marketplace", "ingested_at", "source_extracted_at").agg(F.collect_list(rec).alias("products"))
-    env.select(
-        F.struct(F.lit("details").alias("type"), "marketplace", F.size("products").cast("long").alias("total_products"),
+    listings.select(
+        F.struct(F.lit("details").alias("type"), "marketplace", F.lit(1).cast("long").alias("total_products"),
                  F.col("source_extracted_at").alias("extracted_at")).alias("metadata"),
-        "products", F.col("ingested_at").alias("d"),
+        F.array(rec).alias("products"), F.col("ingested_at").alias("d"),
     ).write.mode("overwrite").partitionBy("d").json(f"{root}/details")
 
 
