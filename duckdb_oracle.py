@@ -499,6 +499,9 @@ SELECT m.keyword, m.marketplace, m.ingested_at, m.median_price,
   CASE WHEN m.total_products > 0 THEN {rnd('m.coupon_count / m.total_products * 100', 2)} END AS coupon_density_pct,
   m.median_price > 20.0 AS price_ok
 FROM keyword_mart m LEFT JOIN pressure p USING (keyword, marketplace, ingested_at)"""
+SQL["margin"] = f"""SELECT *, coalesce(price_ok, false) AND coalesce(avg_discount_latest, 0.0) <= 30.0
+                AND coalesce(coupon_density_pct, 0.0) <= 50.0 AS keep
+FROM ({SQL["margin"]})"""
 
 SQL["stability"] = with_(*MART_CHAIN) + f"""
 SELECT keyword, marketplace, count(y) AS n_days,

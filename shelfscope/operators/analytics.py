@@ -24,6 +24,9 @@ TARGET_MAX_RATINGS_COUNT = 500
 FEE_SHARE = 0.30
 ADS_SHARE = 0.15
 MIN_MEDIAN_PRICE = 20.0
+# Ours (the questions give no numbers): price pressure limits of the margin screen.
+MAX_DISCOUNT_PCT = 30.0
+MAX_COUPON_DENSITY_PCT = 50.0
 AD_BANDS = ((30.0, "healthy"), (50.0, "competitive"))  # < 30 healthy, 30..50 competitive, > 50 red_flag
 
 
@@ -65,10 +68,14 @@ def margin(
     ads: float = ADS_SHARE,
     cost: float = 0.0,
     min_median: float = MIN_MEDIAN_PRICE,
+    max_discount: float = MAX_DISCOUNT_PCT,
+    max_coupon_density: float = MAX_COUPON_DENSITY_PCT,
 ) -> DataFrame:
     """AN-02: ``median - fee*median - ads*median - cost`` per keyword day, with
     the price pressure of the keyword's products (mean latest discount from
-    the price snapshot, reached through the ranking fact) and coupon density."""
+    the price snapshot, reached through the ranking fact) and coupon density.
+    ``keep``: median above ``min_median`` and neither discounts nor coupons
+    above their limits (a missing discount counts as no discount)."""
     keys = ["asin", "marketplace", "ingested_at"]
     pressure = (
         ranking.select("keyword", *keys)
@@ -78,18 +85,23 @@ def margin(
     )
     m = F.col("median_price")
     est = round_to(m - F.lit(fee) * m - F.lit(ads) * m - F.lit(cost), 2)
-    return mart.join(pressure, ["keyword", "marketplace", "ingested_at"], "left").select(
+    density = F.when(F.col("total_products") > 0, round_to(F.col("coupon_count") / F.col("total_products") * 100, 2))
+    out = mart.join(pressure, ["keyword", "marketplace", "ingested_at"], "left").select(
         "keyword",
         "marketplace",
         "ingested_at",
         "median_price",
         est.alias("estimated_margin"),
         "avg_discount_latest",
-        F.when(F.col("total_products") > 0, round_to(F.col("coupon_count") / F.col("total_products") * 100, 2)).alias(
-            "coupon_density_pct"
-        ),
+        density.alias("coupon_density_pct"),
         (m > min_median).alias("price_ok"),
     )
+    keep = (
+        F.coalesce(F.col("price_ok"), F.lit(False))
+        & (F.coalesce(F.col("avg_discount_latest"), F.lit(0.0)) <= max_discount)
+        & (F.coalesce(F.col("coupon_density_pct"), F.lit(0.0)) <= max_coupon_density)
+    )
+    return out.withColumn("keep", keep)
 
 
 def stability(mart: DataFrame) -> DataFrame:
