@@ -198,7 +198,6 @@ listings AS (
     strftime(l_shipdate, '%Y-%m-%d') AS ingested_at,
     'details_' || CAST(l_orderkey AS VARCHAR) || '_' || CAST(l_linenumber AS VARCHAR) || '.json' AS source_file
   FROM lineitem JOIN part ON l_partkey = p_partkey
-  WHERE l_partkey % 10 <> 0
 )"""
 
 DIM_RE = "^([\\d.]+)\\s*x\\s*([\\d.]+)(?:\\s*x\\s*([\\d.]+))?\\s*(\\w+)"
