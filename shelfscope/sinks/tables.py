@@ -63,11 +63,16 @@ def write_table(
     partition_by: Sequence[str] = (),
     skip_empty: bool = True,
 ) -> WriteReport:
-    """SK-01/06/07: write with one of the four save modes; an empty input
-    writes nothing (checked with a one-row probe, not a count)."""
+    """SK-01/06/07: write with one of the four save modes.
+
+    Only a static ``overwrite`` of an empty input would destroy data, so only
+    that mode probes for a first row before writing (``skip_empty``); the
+    other modes write directly and report the row count observed during the
+    write, so the input plan runs once.
+    """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    if skip_empty and df.isEmpty():
+    if skip_empty and mode == "overwrite" and df.isEmpty():
         return WriteReport(path, mode, 0, df.columns, skipped=True)
     obs = Observation()
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -75,8 +80,8 @@ def write_table(
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    rows = obs.get.get("rows", 0) if mode != "ignore" or obs.get else 0
-    return WriteReport(path, mode, int(rows), df.columns)
+    rows = int(obs.get.get("rows", 0)) if mode != "ignore" else 0
+    return WriteReport(path, mode, rows, df.columns, skipped=rows == 0)
 
 
 def replace_partition(
@@ -84,14 +89,14 @@ def replace_partition(
     path: str,
     run_date: str | date,
     col: str = "ingested_at",
-    skip_empty: bool = True,
 ) -> WriteReport:
     """SK-02: atomically replace one day partition, idempotently.
 
     Every row must carry ``col == run_date``; a row that does not fails the
     write job before any file is committed (the check is part of the write
     plan, not a separate pass).  Other partitions are untouched.  An empty
-    input leaves the existing partition as it is.
+    input touches no partition (dynamic overwrite), so the existing day stays
+    as it is without a separate emptiness probe.
     """
     d = F.lit(str(run_date)).cast("date")
     guarded = df.withColumn(
@@ -100,12 +105,11 @@ def replace_partition(
             F.raise_error(F.concat(F.lit(f"row outside partition {run_date}: {col}="), F.coalesce(F.col(col).cast("string"), F.lit("null"))))
         ).cast("date"),
     )
-    if skip_empty and df.isEmpty():
-        return WriteReport(path, "overwrite", 0, df.columns, skipped=True)
     obs = Observation()
     out = guarded.observe(obs, F.count(F.lit(1)).alias("rows"))
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(path)
-    return WriteReport(path, "overwrite", int(obs.get.get("rows", 0)), df.columns)
+    rows = int(obs.get.get("rows", 0))
+    return WriteReport(path, "overwrite", rows, df.columns, skipped=rows == 0)
 
 
 def replace_partitions(df: DataFrame, path: str, col: str = "ingested_at") -> WriteReport:
