@@ -16,6 +16,7 @@ from shelfscope.plans import views
 from shelfscope.session import apply_defaults, shared_dir
 from shelfscope.sinks import tables
 from shelfscope.sources import fixtures, raw
+from shelfscope.streaming.ingest import start_bronze_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -411,3 +412,16 @@ def q_replace_partition_rerun(spark, sf_dir):
     last = spark.read.parquet(path).agg(F.max("ingested_at")).first()[0]
     tables.replace_partition(s.filter(F.col("ingested_at") == F.lit(last)), path, last)
     return spark.read.parquet(path)
+
+
+@register("bronze_stream_roundtrip")
+def q_bronze_stream_roundtrip(spark, sf_dir):
+    """Streaming PL-01: the same envelopes ingested by the Structured Streaming
+    file source into a bronze Parquet table (exactly-once file sink)."""
+    root, bronze, ckpt = shared_dir(spark, "raw"), shared_dir(spark, "bronze"), shared_dir(spark, "stream-ckpt")
+    raw.write_card_envelopes(fixtures.raw_cards(spark, sf_dir), root)
+    stream = start_bronze_stream(
+        spark, root, "search", raw.CARD_ENVELOPE, raw.CARD_LIFT, bronze, ckpt, layout="{root}/{source}/d={date}", multi_line=False
+    )
+    stream.awaitTermination()
+    return spark.read.parquet(bronze).drop("source_file")
