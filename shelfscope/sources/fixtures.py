@@ -76,19 +76,41 @@ def raw_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Product-detail listings (bronze shape) from lineitem x part."""
-    li = table(spark, sf_dir, "lineitem")
-    p = table(spark, sf_dir, "part")
-    j = li.join(p, li.l_partkey == p.p_partkey)
-    pk, ln = F.col("l_partkey"), F.col("l_linenumber")
+    """Product-detail listings (bronze shape) from lineitem x part.
+
+    Columns that depend only on the part (identity, names, breadcrumbs,
+    image URLs) are built once per part row and joined, not once per line.
+    """
+    pk = F.col("p_partkey")
     asin = _asin(pk)
+    parts = table(spark, sf_dir, "part").select(
+        "p_partkey",
+        "p_type",
+        "p_name",
+        "p_size",
+        asin.alias("asin"),
+        _marketplace(pk).alias("marketplace"),
+        F.concat(F.col("p_name"), F.lit(" "), F.col("p_type")).alias("title"),
+        F.when(pk % 23 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("Brand: "), F.col("p_brand"))).alias("brand"),
+        F.concat(F.lit("P"), F.lpad((pk / 10).cast("long").cast("string"), 9, "0")).alias("parent_asin"),
+        F.array_repeat(F.lit("C"), F.col("p_size") % 4 + 1).alias("_colors"),
+        F.transform(
+            F.split(F.col("p_name"), " "),
+            lambda w, i: F.struct(w.alias("name"), F.concat(F.lit("/c/"), w).alias("url"), (i + 1).cast("long").alias("level")),
+        ).alias("categories"),
+        # image urls _2.._5; a line shows the first (line % 5) of them
+        F.array(*[F.concat(F.lit("https://img.example/"), asin, F.lit(f"_{i}.jpg")) for i in range(2, 6)]).alias("_imgs"),
+    )
+    li = table(spark, sf_dir, "lineitem")
+    j = li.join(parts, li.l_partkey == parts.p_partkey)
+    ln = F.col("l_linenumber")
     first_rank = F.concat(F.lit("#"), F.format_number(F.col("l_orderkey"), 0), F.lit(" in "), F.col("p_type"))
     second_rank = F.concat(F.lit("#"), ln.cast("string"), F.lit(" in"), F.col("p_name"))
     extracted = F.expr("timestampadd(SECOND, l_orderkey % 86400, l_shipdate)")
     return j.select(
-        asin.alias("asin"),
-        F.concat(F.col("p_name"), F.lit(" "), F.col("p_type")).alias("title"),
-        F.when(pk % 23 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("Brand: "), F.col("p_brand"))).alias("brand"),
+        "asin",
+        "title",
+        "brand",
         F.col("p_type").alias("category"),
         F.lit("n/a").alias("description"),
         F.when(ln == 7, F.array(first_rank, F.lit(None).cast("string")))
@@ -105,16 +127,10 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(ln % 3 == 1, F.date_format("l_shipdate", "MMM d, yyyy"))
         .otherwise(F.date_format("l_shipdate", ISO_DAY))
         .alias("date_first_available"),
-        F.concat(F.lit("P"), F.lpad((pk / 10).cast("long").cast("string"), 9, "0")).alias("parent_asin"),
+        "parent_asin",
         F.when(ln > 5, F.lit(2)).otherwise(F.lit(1)).cast("long").alias("variation_count"),
-        F.struct(
-            F.array_repeat(F.lit("S"), ln).alias("size_name"),
-            F.array_repeat(F.lit("C"), F.col("p_size") % 4 + 1).alias("color_name"),
-        ).alias("available_dimensions"),
-        F.transform(
-            F.sequence(F.lit(1), ln % 5 + 1),
-            lambda i: F.concat(F.lit("https://img.example/"), asin, F.lit("_"), i.cast("string"), F.lit(".jpg")),
-        ).alias("_img_all"),
+        F.struct(F.array_repeat(F.lit("S"), ln).alias("size_name"), F.col("_colors").alias("color_name")).alias("available_dimensions"),
+        F.slice("_imgs", 1, ln % 5).alias("images"),
         F.when(ln == 7, F.lit(None))
         .otherwise(
             F.struct(
@@ -129,19 +145,12 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linestatus") == "O", F.lit("In Stock")).otherwise(F.lit("Out of Stock")).alias("stock_status"),
         F.concat(F.lit("Seller#"), F.col("l_suppkey").cast("string")).alias("buybox_seller"),
         (F.col("l_returnflag") == "A").alias("is_fba"),
-        F.transform(
-            F.split(F.col("p_name"), " "),
-            lambda w, i: F.struct(w.alias("name"), F.concat(F.lit("/c/"), w).alias("url"), (i + 1).cast("long").alias("level")),
-        ).alias("categories"),
-        _marketplace(pk).alias("marketplace"),
+        "categories",
+        "marketplace",
         F.date_format(extracted, ISO_TS).alias("source_extracted_at"),
         F.date_format("l_shipdate", ISO_DAY).alias("ingested_at"),
         F.concat(F.lit("details_"), F.col("l_orderkey").cast("string"), F.lit("_"), ln.cast("string"), F.lit(".json")).alias("source_file"),
-    ).withColumn(
-        # images: 0..4 urls (a sequence of line%5+1 urls without its first element)
-        "images",
-        F.slice("_img_all", 2, 10),
-    ).drop("_img_all")
+    )
 
 
 def customer_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
