@@ -50,7 +50,7 @@ def keyword_daily(
 
 def brand_competitive(
     performance: DataFrame,
-    dim: DataFrame,
+    dim: DataFrame | None,
     versions: str = "current",
     audit_col: str | None = "gold_processed_at",
 ) -> DataFrame:
@@ -59,13 +59,17 @@ def brand_competitive(
     ``versions="current"`` joins the current dimension (daily-run form: facts
     holding an expired key find no brand and drop out).  ``versions="all"``
     joins every version by surrogate key, which reproduces day-by-day loading
-    when a whole history is rebuilt at once.
+    when a whole history is rebuilt at once.  With ``dim=None`` the facts
+    already carry ``brand`` and ``category_leaf`` of their version (attached
+    by the as-of lookup), so no second join and shuffle is needed.
     """
-    d = dim.filter(F.col("is_current")) if versions == "current" else dim
-    d = d.select("product_sk", "brand", "category_leaf")
+    if dim is None:
+        joined = performance
+    else:
+        d = dim.filter(F.col("is_current")) if versions == "current" else dim
+        joined = performance.join(d.select("product_sk", "brand", "category_leaf"), "product_sk", "left")
     mart = (
-        performance.join(d, "product_sk", "left")
-        .filter(F.col("brand").isNotNull())
+        joined.filter(F.col("brand").isNotNull())
         .groupBy(*BRAND_GRAIN)
         .agg(
             F.count_distinct("asin").alias("asin_count"),

@@ -93,8 +93,10 @@ def q_fact_product_performance(spark, sf_dir):
 def q_mart_brand_competitive(spark, sf_dir):
     """PL-09 over the rebuilt history (versions joined by surrogate key)."""
     dim = product_dim(spark, sf_dir)
-    perf = facts.fact_product_performance(silver_listings(spark, sf_dir), dim, lookup="asof", audit_col=None)
-    return marts.brand_competitive(perf, dim, versions="all", audit_col=None)
+    perf = dimension.asof_lookup(
+        facts.performance_rows(silver_listings(spark, sf_dir)), dim, cols=("product_sk", "brand", "category_leaf")
+    )
+    return marts.brand_competitive(perf, None, audit_col=None)
 
 
 # ---------------------------------------------------------------- per-rule parsing

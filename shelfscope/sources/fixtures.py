@@ -16,7 +16,19 @@ ISO_DAY = "yyyy-MM-dd"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, spread over the session's cores when its scan is narrow.
+
+    The generated tables are single Parquet files with one row group, which a
+    scan cannot split: every row would be parsed by one task.  When the scan
+    has fewer splits than the default parallelism the rows are spread
+    round-robin first; a large input (many splits) is used as it is, so no
+    shuffle is added at scale.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def _asin(key) -> F.Column:
