@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from shelfscope.functions import parse
 from shelfscope.operators import analytics, clean, dimension, facts, marts, quality, topk
 from shelfscope.plans import views
-from shelfscope.session import apply_defaults, shared_dir
+from shelfscope.session import apply_defaults, materialize, shared_dir
 from shelfscope.sinks import tables
 from shelfscope.sources import fixtures, raw
 from shelfscope.streaming.ingest import start_bronze_stream
@@ -83,19 +83,20 @@ def q_scd2_rebuild(spark, sf_dir):
 
 @register("fact_product_performance")
 def q_fact_product_performance(spark, sf_dir):
-    """PL-07 with the as-of version key (JN-06)."""
-    return facts.fact_product_performance(
-        silver_listings(spark, sf_dir), product_dim(spark, sf_dir), lookup="asof", audit_col=None
-    )
+    """PL-07 with the as-of version key (JN-06).  Silver is materialized once
+    and read by both the dimension and the fact, as the persisted table is."""
+    listings = materialize(spark, silver_listings(spark, sf_dir))
+    dim = dimension.scd2_rebuild(dimension.product_snapshots(listings))
+    return facts.fact_product_performance(listings, dim, lookup="asof", audit_col=None)
 
 
 @register("mart_brand_competitive")
 def q_mart_brand_competitive(spark, sf_dir):
-    """PL-09 over the rebuilt history (versions joined by surrogate key)."""
-    dim = product_dim(spark, sf_dir)
-    perf = dimension.asof_lookup(
-        facts.performance_rows(silver_listings(spark, sf_dir)), dim, cols=("product_sk", "brand", "category_leaf")
-    )
+    """PL-09 over the rebuilt history: facts keyed to the version valid on
+    their day, carrying that version's brand and leaf category."""
+    listings = materialize(spark, silver_listings(spark, sf_dir))
+    dim = dimension.scd2_rebuild(dimension.product_snapshots(listings))
+    perf = dimension.asof_lookup(facts.performance_rows(listings), dim, cols=("product_sk", "brand", "category_leaf"))
     return marts.brand_competitive(perf, None, audit_col=None)
 
 
@@ -225,7 +226,7 @@ def q_scd2_customer(spark, sf_dir):
 def q_scd2_apply_last_day(spark, sf_dir):
     """DM-04/05: rebuild up to the day before the last day, then load the last
     day incrementally; equals the rebuild of the whole history."""
-    snaps = dimension.product_snapshots(silver_listings(spark, sf_dir))
+    snaps = materialize(spark, dimension.product_snapshots(silver_listings(spark, sf_dir)))
     last = snaps.agg(F.max("ingested_at")).first()[0]
     before = dimension.scd2_rebuild(snaps.filter(F.col("ingested_at") < F.lit(last)))
     incoming = dimension.shape_incoming(snaps.filter(F.col("ingested_at") == F.lit(last)), last)

@@ -69,3 +69,13 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
         base = spark.sparkContext.getCheckpointDir() or base
     sub = f"{name or 'work'}-{uuid.uuid4().hex[:12]}"
     return base.rstrip("/") + "/" + sub
+
+
+def materialize(spark: SparkSession, df):
+    """Cut a DataFrame's lineage with a reliable checkpoint in the shared
+    checkpoint folder (registered only when the session names none).  Used
+    where several branches of one job read the same intermediate table, as
+    the persisted silver table is read by both the dimension and the facts."""
+    if not spark.sparkContext.getCheckpointDir():
+        shared_dir(spark, "checkpoint")
+    return df.checkpoint(eager=True)
