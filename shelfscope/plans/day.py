@@ -12,10 +12,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfscope.operators import clean, dimension, facts, marts
+from shelfscope.schemas import assert_schema
 from shelfscope.session import apply_defaults
 from shelfscope.sinks import tables
 from shelfscope.sources import raw
@@ -60,7 +61,11 @@ def run_silver(spark: SparkSession, lake: Lake, day: str) -> dict:
         if not tables.table_exists(spark, src):
             continue
         bronze = tables.read_table(spark, src, ("ingested_at", day)).withColumn("ingested_at", F.lit(day))
-        out[table] = tables.replace_partition(job(bronze), lake.path("silver", table), day)
+        source = Observation()  # bronze rows, counted inside the write job
+        silver = assert_schema(job(bronze.observe(source, F.count(F.lit(1)).alias("rows"))), f"silver/{table}")
+        report = tables.replace_partition(silver, lake.path("silver", table), day)
+        report.source_rows = int(source.get.get("rows", 0))
+        out[table] = report
     return out
 
 
@@ -70,13 +75,15 @@ def run_dim(spark: SparkSession, lake: Lake, day: str) -> dict:
     if not tables.table_exists(spark, src):
         return {"skipped": True}
     snaps = dimension.product_snapshots(tables.read_table(spark, src, ("ingested_at", day)))
-    incoming = dimension.shape_incoming(snaps, day)
-    return tables.scd2_load_day(spark, lake.path("gold", "dim_product"), incoming, day)
+    incoming = dimension.shape_incoming(snaps, day).withColumn("gold_processed_at", F.current_timestamp())
+    report = tables.scd2_load_day(spark, lake.path("gold", "dim_product"), incoming, day)
+    assert_schema(tables.read_dimension(spark, lake.path("gold", "dim_product")), "gold/dim_product")
+    return report
 
 
 def _dim(spark: SparkSession, lake: Lake) -> DataFrame | None:
     p = lake.path("gold", "dim_product")
-    return spark.read.parquet(p) if tables.table_exists(spark, p) else None
+    return tables.read_dimension(spark, p) if tables.table_exists(spark, p) else None
 
 
 def run_facts(spark: SparkSession, lake: Lake, day: str) -> dict:
@@ -86,18 +93,19 @@ def run_facts(spark: SparkSession, lake: Lake, day: str) -> dict:
     cards_p, listings_p = lake.path("silver", "search_results"), lake.path("silver", "product_details")
     if tables.table_exists(spark, cards_p):
         cards = tables.read_table(spark, cards_p, ("ingested_at", day))
+        ranking = facts.fact_search_ranking(cards, dim, broadcast_max_rows=lake.broadcast_max_rows)
+        price = facts.fact_price_snapshot(cards, dim, broadcast_max_rows=lake.broadcast_max_rows)
         out["fact_search_ranking"] = tables.replace_partition(
-            facts.fact_search_ranking(cards, dim, broadcast_max_rows=lake.broadcast_max_rows), lake.path("gold", "fact_search_ranking"), day
+            assert_schema(ranking, "gold/fact_search_ranking"), lake.path("gold", "fact_search_ranking"), day
         )
         out["fact_price_snapshot"] = tables.replace_partition(
-            facts.fact_price_snapshot(cards, dim, broadcast_max_rows=lake.broadcast_max_rows), lake.path("gold", "fact_price_snapshot"), day
+            assert_schema(price, "gold/fact_price_snapshot"), lake.path("gold", "fact_price_snapshot"), day
         )
     if tables.table_exists(spark, listings_p):
         listings = tables.read_table(spark, listings_p, ("ingested_at", day))
+        perf = facts.fact_product_performance(listings, dim, broadcast_max_rows=lake.broadcast_max_rows)
         out["fact_product_performance"] = tables.replace_partition(
-            facts.fact_product_performance(listings, dim, broadcast_max_rows=lake.broadcast_max_rows),
-            lake.path("gold", "fact_product_performance"),
-            day,
+            assert_schema(perf, "gold/fact_product_performance"), lake.path("gold", "fact_product_performance"), day
         )
     return out
 
@@ -108,13 +116,13 @@ def run_marts(spark: SparkSession, lake: Lake, day: str) -> dict:
     rank_p, perf_p = lake.path("gold", "fact_search_ranking"), lake.path("gold", "fact_product_performance")
     if tables.table_exists(spark, rank_p):
         ranking = tables.read_table(spark, rank_p, ("ingested_at", day))
-        out["mart_keyword_daily"] = tables.replace_partition(marts.keyword_daily(ranking), lake.path("gold", "mart_keyword_daily"), day)
+        mart = assert_schema(marts.keyword_daily(ranking), "gold/mart_keyword_daily")
+        out["mart_keyword_daily"] = tables.replace_partition(mart, lake.path("gold", "mart_keyword_daily"), day)
     dim = _dim(spark, lake)
     if tables.table_exists(spark, perf_p) and dim is not None:
         perf = tables.read_table(spark, perf_p, ("ingested_at", day))
-        out["mart_brand_competitive"] = tables.replace_partition(
-            marts.brand_competitive(perf, dim), lake.path("gold", "mart_brand_competitive"), day
-        )
+        brand = assert_schema(marts.brand_competitive(perf, dim), "gold/mart_brand_competitive")
+        out["mart_brand_competitive"] = tables.replace_partition(brand, lake.path("gold", "mart_brand_competitive"), day)
     return out
 
 
@@ -148,26 +156,19 @@ def rebuild(spark: SparkSession, lake: Lake) -> dict:
     joined to the version each fact holds.  Same tables as ``run_range``."""
     apply_defaults(spark)
     out = {}
-    cards = clean.clean_cards(spark.read.parquet(lake.path("bronze", "search_results")))
-    listings = clean.clean_listings(spark.read.parquet(lake.path("bronze", "product_details")))
-    out["silver_cards"] = tables.replace_partitions(cards, lake.path("silver", "search_results"))
-    out["silver_listings"] = tables.replace_partitions(listings, lake.path("silver", "product_details"))
-    cards = spark.read.parquet(lake.path("silver", "search_results"))
-    listings = spark.read.parquet(lake.path("silver", "product_details"))
+
+    def write(df: DataFrame, layer: str, name: str):
+        out[name] = tables.replace_partitions(assert_schema(df, f"{layer}/{name}"), lake.path(layer, name))
+        return spark.read.parquet(lake.path(layer, name))
+
+    cards = write(clean.clean_cards(spark.read.parquet(lake.path("bronze", "search_results"))), "silver", "search_results")
+    listings = write(clean.clean_listings(spark.read.parquet(lake.path("bronze", "product_details"))), "silver", "product_details")
     dim = dimension.scd2_rebuild(dimension.product_snapshots(listings)).withColumn("gold_processed_at", F.current_timestamp())
-    dim.write.mode("overwrite").partitionBy(tables.CURRENT).parquet(lake.path("gold", "dim_product"))
-    dim = spark.read.parquet(lake.path("gold", "dim_product"))
-    ranking = facts.fact_search_ranking(cards, dim, lookup="asof")
-    perf = facts.fact_product_performance(listings, dim, lookup="asof")
-    out["fact_search_ranking"] = tables.replace_partitions(ranking, lake.path("gold", "fact_search_ranking"))
-    out["fact_price_snapshot"] = tables.replace_partitions(
-        facts.fact_price_snapshot(cards, dim, lookup="asof"), lake.path("gold", "fact_price_snapshot")
-    )
-    out["fact_product_performance"] = tables.replace_partitions(perf, lake.path("gold", "fact_product_performance"))
-    ranking = spark.read.parquet(lake.path("gold", "fact_search_ranking"))
-    perf = spark.read.parquet(lake.path("gold", "fact_product_performance"))
-    out["mart_keyword_daily"] = tables.replace_partitions(marts.keyword_daily(ranking), lake.path("gold", "mart_keyword_daily"))
-    out["mart_brand_competitive"] = tables.replace_partitions(
-        marts.brand_competitive(perf, dim, versions="all"), lake.path("gold", "mart_brand_competitive")
-    )
+    assert_schema(dim, "gold/dim_product").write.mode("overwrite").partitionBy(tables.CURRENT).parquet(lake.path("gold", "dim_product"))
+    dim = tables.read_dimension(spark, lake.path("gold", "dim_product"))
+    ranking = write(facts.fact_search_ranking(cards, dim, lookup="asof"), "gold", "fact_search_ranking")
+    write(facts.fact_price_snapshot(cards, dim, lookup="asof"), "gold", "fact_price_snapshot")
+    perf = write(facts.fact_product_performance(listings, dim, lookup="asof"), "gold", "fact_product_performance")
+    write(marts.keyword_daily(ranking), "gold", "mart_keyword_daily")
+    write(marts.brand_competitive(perf, dim, versions="all"), "gold", "mart_brand_competitive")
     return out

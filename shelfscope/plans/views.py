@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfscope.operators.dimension import current_view
+from shelfscope.sinks import tables
 
 
 @dataclass(frozen=True)
@@ -33,18 +34,20 @@ VIEWS = (
 )
 
 
-def _frame(spark: SparkSession, src: DataFrame | str) -> DataFrame:
-    return spark.read.parquet(src) if isinstance(src, str) else src
+def _frame(spark: SparkSession, src: DataFrame | str, scd2: bool = False) -> DataFrame:
+    if not isinstance(src, str):
+        return src
+    return tables.read_dimension(spark, src) if scd2 else spark.read.parquet(src)
 
 
-def register_views(spark: SparkSession, tables: dict[str, DataFrame | str]) -> list[str]:
+def register_views(spark: SparkSession, sources: dict[str, DataFrame | str]) -> list[str]:
     """QL-01/02: create or replace every view whose table is given (a
     DataFrame or a table path).  Idempotent; returns the created names."""
     created = []
     for v in VIEWS:
-        if v.name not in tables:
+        if v.name not in sources:
             continue
-        df = _frame(spark, tables[v.name])
+        df = _frame(spark, sources[v.name], scd2=v.current_only)
         if v.current_only:
             df = current_view(df)
         df.createOrReplaceTempView(v.name)

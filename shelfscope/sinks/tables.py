@@ -31,6 +31,7 @@ class WriteReport:
     rows: int
     columns: list[str] = field(default_factory=list)
     skipped: bool = False
+    source_rows: int | None = None
 
     @property
     def n_columns(self) -> int:
@@ -132,6 +133,13 @@ def replace_partitions(df: DataFrame, path: str, col: str = "ingested_at") -> Wr
 CURRENT = "expiry_date"  # partition column; null (default partition) holds the current versions
 
 
+def read_dimension(spark: SparkSession, path: str) -> DataFrame:
+    """The SCD2 table with its partition column typed as a date (when only the
+    null partition exists, partition discovery cannot infer the type)."""
+    df = spark.read.parquet(path)
+    return df.withColumn(CURRENT, F.col(CURRENT).cast("date"))
+
+
 def scd2_load_day(
     spark: SparkSession,
     path: str,
@@ -160,7 +168,7 @@ def scd2_load_day(
         first = dimension.scd2_first_run(incoming, keys, sk)
         first.write.mode("overwrite").partitionBy(CURRENT).parquet(path)
     else:
-        full = spark.read.parquet(path)
+        full = read_dimension(spark, path)
         full = full.select(*[c for c in full.columns if c != CURRENT], CURRENT)
         closing = (date.fromisoformat(run_date) - timedelta(days=1)).isoformat()
         # Only the current partition and the one closing today are read and
@@ -177,5 +185,5 @@ def scd2_load_day(
         if touched.filter(F.col(CURRENT).isNull()).isEmpty():
             raise RuntimeError("current partition would become empty; refusing to overwrite")
         touched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(CURRENT).parquet(path)
-    totals = dimension.dim_totals(spark.read.parquet(path)).first()
+    totals = dimension.dim_totals(read_dimension(spark, path)).first()
     return {"skipped": False, "total_rows": totals["total_rows"], "current_rows": totals["current_rows"]}
