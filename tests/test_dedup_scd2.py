@@ -49,6 +49,8 @@ def _history(spark):
         for i, v in enumerate(seq):
             if key == "p3" and i < 2:
                 continue  # p3 first appears on day 3
+            if key == "p2" and i == 3:
+                continue  # p2 is absent on day 4 and stays current meanwhile
             rows.append((key, "US", start + timedelta(days=i), v, i))
     return spark.createDataFrame(rows, "asin string, marketplace string, ingested_at date, title string, untracked int")
 
