@@ -50,22 +50,9 @@ VERSION_COLS = ("effective_date", "expiry_date", "is_current")
 
 def product_snapshots(silver_listings: DataFrame) -> DataFrame:
     """DM-02 projection: silver listings -> one snapshot row per product day."""
+    primary = F.get(F.col("best_seller_ranks"), 0).getField("category").alias("bsr_primary_category")
     return silver_listings.select(
-        "asin",
-        "marketplace",
-        "ingested_at",
-        "title",
-        "brand",
-        "category_path",
-        "category_leaf",
-        "category_depth",
-        F.get(F.col("best_seller_ranks"), 0).getField("category").alias("bsr_primary_category"),
-        "date_first_available",
-        "variation_count",
-        "size_count",
-        "color_count",
-        "main_image_url",
-        "is_fba",
+        *PRODUCT_KEYS, "ingested_at", *[primary if c == "bsr_primary_category" else F.col(c) for c in PRODUCT_ATTRS]
     )
 
 
@@ -164,7 +151,7 @@ def scd2_apply(
             ]
         )
     still_current = cur2.filter(F.col("is_current")).select(*keys)
-    new_rows = incoming.join(still_current, keys, "left_anti")
+    new_rows = new_or_changed(incoming, still_current, keys)
     new_rows = new_rows.withColumn(sk, surrogate_key(keys)).select(*cols)
     return hist.unionByName(cur2).unionByName(new_rows)
 

@@ -92,7 +92,7 @@ def schema_issues(df: DataFrame, contract: list[tuple[str, str]]) -> list[tuple[
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     expected = dict(contract)
     issues = [(n, t, actual.get(n, "missing")) for n, t in contract if actual.get(n) != t]
-    issues += [(n, "absent", t) for n, t in actual.items() if n not in expected]
+    issues += [(n, "forbidden" if n in FORBIDDEN else "absent", t) for n, t in actual.items() if n not in expected]
     return issues
 
 

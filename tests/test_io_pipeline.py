@@ -128,6 +128,7 @@ def test_day_pipeline_matches_batch(spark, tmpdir_path):
     # views over the lake
     names = views.register_views(spark, {v.name: lake.path("gold", v.name) for v in views.VIEWS})
     assert names == [v.name for v in views.VIEWS] and views.missing_views(spark) == []
+    assert [v.name for v in views.describe_views()] == names
     assert views.keyword_daily_on(spark, d2, 5).count() <= 5
     assert views.price_lookup(spark, "US", d1).count() > 0
     # whole-history rebuild gives the same marts
