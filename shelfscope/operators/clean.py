@@ -1,7 +1,7 @@
 """Silver cleaning jobs (PL-02, PL-03): bronze text -> typed, deduplicated rows.
 
-Each job is one projection of built-in expressions followed by the
-skew-tolerant ``latest_per`` dedup; nothing leaves the JVM.
+Each job is the skew-tolerant ``latest_per`` dedup of the raw rows followed
+by one projection of built-in expressions; nothing leaves the JVM.
 """
 
 from __future__ import annotations
@@ -56,14 +56,25 @@ def type_cards(bronze: DataFrame) -> DataFrame:
     )
 
 
+def latest_raw(bronze: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """WN-01/02 on bronze rows: the latest extraction per grain, decided on the
+    typed day and timestamp (ties: source file), before any text is parsed.
+
+    Picking the survivor first means re-run duplicates of an append-only
+    bronze table are never parsed, and the dedup shuffle carries the raw
+    record.  The survivor is the same row the typed dedup would keep.
+    """
+    keyed = bronze.withColumn("ingested_at", P.to_day("ingested_at")).withColumn("_ts", P.to_ts("source_extracted_at"))
+    return latest_per(keyed, keys, ["_ts", "source_file"]).drop("_ts")
+
+
 def clean_cards(
     bronze: DataFrame,
     keys: Sequence[str] = CARD_KEYS,
     audit_col: str | None = "silver_processed_at",
 ) -> DataFrame:
     """Search-result cards -> silver (grain ``keys``, latest extraction wins)."""
-    typed = type_cards(bronze)
-    out = latest_per(typed, keys, ["source_extracted_at", "_source_file"]).drop("_source_file")
+    out = type_cards(latest_raw(bronze, keys)).drop("_source_file")
     return _audit(out, audit_col)
 
 
@@ -115,6 +126,5 @@ def clean_listings(
     audit_col: str | None = "silver_processed_at",
 ) -> DataFrame:
     """Product-detail listings -> silver (grain ``keys``, latest extraction wins)."""
-    typed = type_listings(bronze)
-    out = latest_per(typed, keys, ["source_extracted_at", "_source_file"]).drop("_source_file")
+    out = type_listings(latest_raw(bronze, keys)).drop("_source_file")
     return _audit(out, audit_col)
