@@ -31,6 +31,9 @@ class Lake:
     raw_layout: str = "{root}/{source}/{date}"
     raw_multi_line: bool = True
     broadcast_max_rows: int | None = None
+    # "replace": a re-run replaces the day (idempotent); "append": every run adds
+    # its rows and the silver dedup removes the repeats.
+    bronze_mode: str = "replace"
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{name}"
@@ -48,7 +51,10 @@ def run_bronze(spark: SparkSession, lake: Lake, day: str) -> dict:
     for table, (source, schema, lift) in SOURCES.items():
         rows, bad = raw.ingest(spark, lake.raw_root, source, schema, lift, day, lake.raw_layout, lake.raw_multi_line)
         rows = rows.withColumn("ingested_at", F.col("ingested_at").cast("date"))
-        out[table] = tables.replace_partition(rows, lake.path("bronze", table), day)
+        if lake.bronze_mode == "append":
+            out[table] = tables.write_table(rows, lake.path("bronze", table), mode="append", partition_by=["ingested_at"])
+        else:
+            out[table] = tables.replace_partition(rows, lake.path("bronze", table), day)
         tables.write_table(bad, lake.path("bronze", f"_quarantine_{table}"), mode="append")
     return out
 

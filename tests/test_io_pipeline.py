@@ -120,9 +120,13 @@ def test_day_pipeline_matches_batch(spark, tmpdir_path):
     assert mart.select("ingested_at").distinct().count() == 2
     dim = spark.read.parquet(lake.path("gold", "dim_product"))
     assert dim.filter("is_current").groupBy("asin", "marketplace").count().filter("count > 1").count() == 0
-    # re-running a day changes nothing
+    # re-running a day changes nothing, also when bronze appends duplicates
     before = sorted(tuple(r) for r in mart.drop("gold_processed_at").collect())
     plans.run_day(spark, lake, d2)
+    appending = plans.Lake(raw_root, lake_root, raw_layout=lake.raw_layout, raw_multi_line=False, bronze_mode="append")
+    plans.run_day(spark, appending, d2)
+    bronze_rows = spark.read.parquet(lake.path("bronze", "search_results")).filter(F.col("ingested_at") == d2).count()
+    assert bronze_rows == 2 * cards.filter(F.col("ingested_at") == d2).count()
     after = sorted(tuple(r) for r in spark.read.parquet(lake.path("gold", "mart_keyword_daily")).drop("gold_processed_at").collect())
     assert before == after
     # views over the lake
