@@ -3,7 +3,7 @@
 Runs each query over ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``local[$BENCH_CPUS]`` and prints one JSON line.  Every query is executed in
 full through the ``noop`` sink (all rows computed, nothing collected); the
-reported time per query is the best of ``$BENCH_REPEAT`` runs (default 1)
+reported time per query is the best of ``$BENCH_REPEAT`` runs (default 2)
 after warm-up runs of the flagship and of the shared listing pipeline.
 """
 
@@ -49,7 +49,7 @@ def run(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "1"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     names = sys.argv[1:] or HEADLINE
     spark = get_spark(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
     for w in ("mart_keyword_daily", "silver_listings"):  # warm-up: JIT, file listing caches
