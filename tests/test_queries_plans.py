@@ -100,3 +100,14 @@ def test_price_snapshot_single_shuffle(spark):
     text = plan_text(facts.price_snapshot_rows(silver_cards(spark, SMALL)))
     # dedup by (asin, keyword, day) and the snapshot aggregation: no self-join for the latest price
     assert "SortMergeJoin" not in text and "BroadcastHashJoin" not in text
+
+
+def test_price_snapshot_join_form_agrees(spark):
+    from shelfscope.operators import facts
+    from shelfscope.plans.queries import silver_cards
+
+    cards = silver_cards(spark, SMALL)
+    a = facts.price_snapshot_rows(cards)
+    b = facts.price_snapshot_rows(cards, latest_by="join")
+    assert a.columns == b.columns
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
