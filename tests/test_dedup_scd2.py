@@ -159,3 +159,18 @@ def test_update_untracked_type1(spark):
     upd = dimension.scd2_apply(dim, inc, d2, update_untracked=True).collect()
     assert [(r.main_image_url, str(r.effective_date)) for r in keep] == [("img1", "2024-06-01")]
     assert [(r.main_image_url, str(r.effective_date)) for r in upd] == [("img2", "2024-06-01")]
+
+
+def test_lookup_falls_back_to_shuffle_join_when_too_big(spark):
+    hist = _history(spark)
+    dim = dimension.scd2_rebuild(hist, tracked=["title"], attrs=["title", "untracked"])
+    fact = hist.select("asin", "marketplace", "ingested_at")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only an explicit hint could broadcast now
+    try:
+        big = dimension.lookup_sk(fact, dim, broadcast_max_rows=1)  # 3 current rows > 1: no hint
+        text = plan_text(big)
+        assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
+        assert big.count() == fact.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
