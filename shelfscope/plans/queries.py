@@ -103,19 +103,10 @@ def q_mart_brand_competitive(spark, sf_dir):
 # ---------------------------------------------------------------- per-rule parsing
 
 
-def typed_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.type_cards(fixtures.raw_cards(spark, sf_dir)).drop("_source_file")
-
-
-def typed_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.type_listings(fixtures.raw_listings(spark, sf_dir)).drop("_source_file")
-
-
 @register("pr_price")
 def q_pr_price(spark, sf_dir):
     """PR-01, PR-06 on every card."""
-    raw = fixtures.raw_cards(spark, sf_dir)
-    t = clean.type_cards(raw)
+    t = clean.type_cards(fixtures.raw_cards(spark, sf_dir))
     return t.select("asin", "keyword", "source_extracted_at", "price_raw", "price_currency", "price_amount",
                     "original_price_amount", "discount_pct")
 
@@ -123,10 +114,10 @@ def q_pr_price(spark, sf_dir):
 @register("pr_social_proof")
 def q_pr_social_proof(spark, sf_dir):
     """PR-02..05: rating, ratings count, monthly sales floor, coupon."""
-    raw = fixtures.raw_cards(spark, sf_dir)
+    cards = fixtures.raw_cards(spark, sf_dir)
     P = parse
     has_coupon, coupon = P.parse_coupon("coupon")
-    return raw.select(
+    return cards.select(
         "asin", "keyword", "source_extracted_at", "rating", "ratings_count", "monthly_sales", F.col("coupon").alias("coupon_raw"),
         P.parse_rating("rating").alias("rating_value"),
         P.parse_ratings_count("ratings_count").alias("ratings_count_value"),
@@ -139,11 +130,11 @@ def q_pr_social_proof(spark, sf_dir):
 @register("pr_listing_text")
 def q_pr_listing_text(spark, sf_dir):
     """PR-07, PR-09, PR-10, PR-12, PR-13, PR-16 on every listing."""
-    raw = fixtures.raw_listings(spark, sf_dir)
+    listings = fixtures.raw_listings(spark, sf_dir)
     P = parse
     length, width, height, unit = P.parse_dimensions("dimensions")
     wv, wu = P.parse_weight("weight")
-    return raw.select(
+    return listings.select(
         "asin", "source_file",
         P.clean_brand("brand").alias("brand"),
         P.category_depth("categories").alias("category_depth"),
@@ -158,8 +149,8 @@ def q_pr_listing_text(spark, sf_dir):
 @register("pr_rating_breakdown")
 def q_pr_rating_breakdown(spark, sf_dir):
     """PR-11, PR-14, PR-15: star shares, weighted mean, variation and media counts."""
-    raw = fixtures.raw_listings(spark, sf_dir)
-    return raw.select(
+    listings = fixtures.raw_listings(spark, sf_dir)
+    return listings.select(
         "asin", "source_file", *parse.rating_breakdown("rating_overview"),
         F.size("available_dimensions.size_name").alias("size_count"),
         F.size("available_dimensions.color_name").alias("color_count"),
