@@ -10,11 +10,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfscope.functions import parse as P
 from shelfscope.operators.dedup import latest_per
 
 CARD_KEYS = ("asin", "keyword", "ingested_at")
+TS = "_ts"
 LISTING_KEYS = ("asin", "ingested_at")
 
 
@@ -22,6 +24,15 @@ def _audit(df: DataFrame, audit_col: str | None) -> DataFrame:
     return df.withColumn(audit_col, F.current_timestamp()) if audit_col else df
 
 
+def _provenance(bronze: DataFrame) -> tuple[F.Column, F.Column]:
+    """PR-17 typed (extraction time, day); reuses the values ``latest_raw``
+    already parsed for the dedup instead of parsing the text twice."""
+    ts = F.col(TS) if TS in bronze.columns else P.to_ts("source_extracted_at")
+    typed_day = isinstance(bronze.schema["ingested_at"].dataType, T.DateType)
+    day = F.col("ingested_at") if typed_day else P.to_day("ingested_at")
+    return ts.alias("source_extracted_at"), day.alias("ingested_at")
+
+
 def type_cards(bronze: DataFrame) -> DataFrame:
     """PR-01..06, PR-17, PR-18: typed card columns, one row per bronze row
     (``_source_file`` kept as the dedup tie-break)."""
@@ -50,8 +61,7 @@ def type_cards(bronze: DataFrame) -> DataFrame:
         "image_url",
         "keyword",
         "marketplace",
-        P.to_ts("source_extracted_at").alias("source_extracted_at"),
-        P.to_day("ingested_at").alias("ingested_at"),
+        *_provenance(bronze),
         F.col("source_file").alias("_source_file"),
     )
 
@@ -64,8 +74,8 @@ def latest_raw(bronze: DataFrame, keys: Sequence[str]) -> DataFrame:
     bronze table are never parsed, and the dedup shuffle carries the raw
     record.  The survivor is the same row the typed dedup would keep.
     """
-    keyed = bronze.withColumn("ingested_at", P.to_day("ingested_at")).withColumn("_ts", P.to_ts("source_extracted_at"))
-    return latest_per(keyed, keys, ["_ts", "source_file"]).drop("_ts")
+    keyed = bronze.withColumn("ingested_at", P.to_day("ingested_at")).withColumn(TS, P.to_ts("source_extracted_at"))
+    return latest_per(keyed, keys, [TS, "source_file"])
 
 
 def clean_cards(
@@ -114,8 +124,7 @@ def type_listings(bronze: DataFrame) -> DataFrame:
         "buybox_seller",
         "is_fba",
         "marketplace",
-        P.to_ts("source_extracted_at").alias("source_extracted_at"),
-        P.to_day("ingested_at").alias("ingested_at"),
+        *_provenance(bronze),
         F.col("source_file").alias("_source_file"),
     )
 
