@@ -161,9 +161,16 @@ def scd2_first_run(incoming: DataFrame, keys: Sequence[str] = PRODUCT_KEYS, sk:
     return incoming.select(surrogate_key(list(keys)).alias(sk), *incoming.columns)
 
 
+def current_only(dim: DataFrame) -> DataFrame:
+    """FL-02: current versions.  ``expiry_date IS NULL`` is equivalent (a
+    version is current exactly while it has no expiry) and is the partition
+    column of the stored dimension, so the scan reads only that partition."""
+    return dim.filter(F.col("expiry_date").isNull() & F.col("is_current"))
+
+
 def current_view(dim: DataFrame) -> DataFrame:
     """DM-07: active versions only, change hash hidden."""
-    return dim.filter(F.col("is_current")).drop("_attr_hash")
+    return current_only(dim).drop("_attr_hash")
 
 
 def dim_totals(dim: DataFrame) -> DataFrame:
@@ -193,7 +200,7 @@ def lookup_sk(
     after a bounded count proves it has at most that many rows; otherwise the
     join stays a shuffle join.
     """
-    cur = dim.filter(F.col("is_current")).select(*keys, *cols)
+    cur = current_only(dim).select(*keys, *cols)
     if broadcast_max_rows is not None and fits_broadcast(cur, broadcast_max_rows):
         cur = F.broadcast(cur)
     return fact.join(cur, list(keys), "left")

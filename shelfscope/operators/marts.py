@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfscope.functions.numeric import flag_count, flag_rate, guarded_pct, round_to, round_to_long
+from shelfscope.operators.dimension import current_only
 
 KEYWORD_GRAIN = ("keyword", "marketplace", "ingested_at")
 BRAND_GRAIN = ("brand", "category_leaf", "marketplace", "ingested_at")
@@ -66,7 +67,7 @@ def brand_competitive(
     if dim is None:
         joined = performance
     else:
-        d = dim.filter(F.col("is_current")) if versions == "current" else dim
+        d = current_only(dim) if versions == "current" else dim
         joined = performance.join(d.select("product_sk", "brand", "category_leaf"), "product_sk", "left")
     mart = (
         joined.filter(F.col("brand").isNotNull())

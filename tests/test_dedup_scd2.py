@@ -174,3 +174,13 @@ def test_lookup_falls_back_to_shuffle_join_when_too_big(spark):
         assert big.count() == fact.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_current_lookup_prunes_to_the_current_partition(spark, tmpdir_path):
+    hist = _history(spark)
+    dim = dimension.scd2_rebuild(hist, tracked=["title"], attrs=["title", "untracked"])
+    dim.write.mode("overwrite").partitionBy(tables.CURRENT).parquet(f"{tmpdir_path}/dim")
+    stored = tables.read_dimension(spark, f"{tmpdir_path}/dim")
+    text = plan_text(dimension.lookup_sk(hist.select("asin", "marketplace", "ingested_at"), stored))
+    assert "PartitionFilters: [isnull(expiry_date" in text
+    assert dimension.current_view(stored).count() == 3
