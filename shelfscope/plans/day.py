@@ -170,7 +170,7 @@ def rebuild(spark: SparkSession, lake: Lake) -> dict:
     cards = write(clean.clean_cards(spark.read.parquet(lake.path("bronze", "search_results"))), "silver", "search_results")
     listings = write(clean.clean_listings(spark.read.parquet(lake.path("bronze", "product_details"))), "silver", "product_details")
     dim = dimension.scd2_rebuild(dimension.product_snapshots(listings)).withColumn("gold_processed_at", F.current_timestamp())
-    assert_schema(dim, "gold/dim_product").write.mode("overwrite").partitionBy(tables.CURRENT).parquet(lake.path("gold", "dim_product"))
+    tables.write_dimension(assert_schema(dim, "gold/dim_product"), lake.path("gold", "dim_product"))
     dim = tables.read_dimension(spark, lake.path("gold", "dim_product"))
     ranking = write(facts.fact_search_ranking(cards, dim, lookup="asof"), "gold", "fact_search_ranking")
     write(facts.fact_price_snapshot(cards, dim, lookup="asof"), "gold", "fact_price_snapshot")

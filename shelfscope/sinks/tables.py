@@ -133,6 +133,15 @@ def replace_partitions(df: DataFrame, path: str, col: str = "ingested_at") -> Wr
 CURRENT = "expiry_date"  # partition column; null (default partition) holds the current versions
 
 
+def write_dimension(dim: DataFrame, path: str) -> None:
+    """Write a whole type-2 table (first run, rebuild), partitioned by expiry
+    date.  Range-partitioning by (expiry date, row hash) first keeps each task
+    to a few expiry days, so files per day follow rows per day; the large
+    current (null) partition is spread by the hash."""
+    spread = F.xxhash64(*[F.col(c) for c in dim.columns if c != CURRENT])
+    dim.repartitionByRange(F.col(CURRENT), spread).write.mode("overwrite").partitionBy(CURRENT).parquet(path)
+
+
 def read_dimension(spark: SparkSession, path: str) -> DataFrame:
     """The SCD2 table with its partition column typed as a date (when only the
     null partition exists, partition discovery cannot infer the type)."""
@@ -165,8 +174,7 @@ def scd2_load_day(
     if incoming.isEmpty():
         return {"skipped": True, "total_rows": None, "current_rows": None}
     if not table_exists(spark, path):
-        first = dimension.scd2_first_run(incoming, keys, sk)
-        first.write.mode("overwrite").partitionBy(CURRENT).parquet(path)
+        write_dimension(dimension.scd2_first_run(incoming, keys, sk), path)
     else:
         full = read_dimension(spark, path)
         full = full.select(*[c for c in full.columns if c != CURRENT], CURRENT)
