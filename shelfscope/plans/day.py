@@ -46,16 +46,27 @@ SOURCES = {
 
 
 def run_bronze(spark: SparkSession, lake: Lake, day: str) -> dict:
-    """PL-01: both raw sources of ``day`` -> bronze partitions (+ quarantine)."""
+    """PL-01: both raw sources of ``day`` -> bronze partitions (+ quarantine).
+
+    Malformed envelopes are counted with ``observe`` while the bronze rows
+    are written; the raw files are scanned a second time for the quarantine
+    table only when that count is not zero.
+    """
     out = {}
     for table, (source, schema, lift) in SOURCES.items():
-        rows, bad = raw.ingest(spark, lake.raw_root, source, schema, lift, day, lake.raw_layout, lake.raw_multi_line)
+        envelopes = raw.read_raw(spark, lake.raw_root, source, schema, day, lake.raw_layout, lake.raw_multi_line)
+        seen = Observation()
+        watched = envelopes.observe(seen, F.count_if(F.col(raw.CORRUPT).isNotNull()).alias("bad"))
+        good, _ = raw.quarantine(watched)
+        rows = raw.normalise_null_columns(raw.explode_records(good, lift, day))
         rows = rows.withColumn("ingested_at", F.col("ingested_at").cast("date"))
         if lake.bronze_mode == "append":
             out[table] = tables.write_table(rows, lake.path("bronze", table), mode="append", partition_by=["ingested_at"])
         else:
             out[table] = tables.replace_partition(rows, lake.path("bronze", table), day)
-        tables.write_table(bad, lake.path("bronze", f"_quarantine_{table}"), mode="append")
+        if (seen.get.get("bad") or 0) > 0:
+            _, bad = raw.quarantine(envelopes)
+            tables.write_table(bad, lake.path("bronze", f"_quarantine_{table}"), mode="append")
     return out
 
 

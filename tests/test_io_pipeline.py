@@ -202,3 +202,19 @@ def test_streaming_restart_is_exactly_once(spark, tmpdir_path):
     run()
     expected = first.count() + rest.filter(F.col("ingested_at").isin(days[1:3])).count()
     assert spark.read.parquet(bronze).count() == expected
+
+
+def test_bronze_day_quarantines_only_bad_files(spark, tmpdir_path):
+    raw_root, lake_root = f"{tmpdir_path}/raw", f"{tmpdir_path}/lake"
+    cards = _cards(spark)
+    d1, d2 = "2024-01-01", "2024-01-02"
+    raw.write_card_envelopes(cards.filter(F.col("ingested_at").isin(d1, d2)), raw_root)
+    with open(os.path.join(f"{raw_root}/search/d={d2}", "truncated.json"), "w") as fh:
+        fh.write('{"metadata": {"keyword": "view", "mark')
+    lake = plans.Lake(raw_root, lake_root, raw_layout="{root}/{source}/d={date}", raw_multi_line=False)
+    plans.run_bronze(spark, lake, d1)
+    assert not tables.table_exists(spark, lake.path("bronze", "_quarantine_search_results"))
+    plans.run_bronze(spark, lake, d2)
+    q = spark.read.parquet(lake.path("bronze", "_quarantine_search_results"))
+    assert q.count() == 1 and q.first().source_file.endswith("truncated.json")
+    assert spark.read.parquet(lake.path("bronze", "search_results")).count() == cards.filter(F.col("ingested_at").isin(d1, d2)).count()
