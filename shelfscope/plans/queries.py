@@ -235,8 +235,10 @@ def q_new_keys(spark, sf_dir):
 
 
 def _gold_views(spark, sf_dir):
+    """The served views over gold frames; the dimension is materialized once
+    (it feeds the price fact's key and the view join, as the stored table does)."""
     cards = silver_cards(spark, sf_dir)
-    dim = product_dim(spark, sf_dir)
+    dim = materialize(spark, product_dim(spark, sf_dir))
     ranking = facts.ranking_rows(cards)
     views.register_views(
         spark,
