@@ -46,6 +46,16 @@ def run(spark, name: str, sf_dir: str) -> float:
     return time.perf_counter() - t0
 
 
+def calibration() -> float:
+    """Seconds for a fixed pure-Python loop: a host-speed reference that lets
+    runs on differently loaded machines be compared."""
+    t0 = time.perf_counter()
+    total = 0
+    for i in range(5_000_000):
+        total += i
+    return round(time.perf_counter() - t0, 3)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -67,6 +77,7 @@ def main() -> None:
                 "queries": times,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": int(cpus),
+                "calibration_sec": calibration(),
             }
         )
     )
