@@ -7,11 +7,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import embedding_dedup, hilbert, simhash
 from .bpe import encode_documents
 from .common import read
 from .token_counts import count_tokens
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"), words=3, radius=3)
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = encode_documents(
         read(spark, sf_dir, "documents"),
@@ -28,9 +33,40 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.shard(read(spark, sf_dir, "documents"), {"lang": "hash", "source": "hash", "size": "log"}, bits=6, shards=16)
+
+
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 QUERIES = {
+    "op2_simhash": op2_simhash,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_token_counts": op6_token_counts,
+    "op7_hilbert_shards": op7_hilbert_shards,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Cosines of all pairs of a label, and smallest reachable ids by recursion.
+OP10_SQL = """
+WITH RECURSIVE good AS (
+    SELECT vec_id, label, [x::DOUBLE FOR x IN embedding] AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, x -> x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+), reach AS (
+    SELECT vec_id AS node, vec_id AS top FROM embeddings
+    UNION
+    SELECT l.b, r.top FROM reach r JOIN links l ON l.a = r.node WHERE r.top < l.b
+), least AS (SELECT node, min(top) AS component_id FROM reach GROUP BY node)
+SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN least c ON c.node = e.vec_id
+LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) n ON n.a = e.vec_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op10_embedding_dedup": OP10_SQL}
