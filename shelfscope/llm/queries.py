@@ -7,16 +7,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, hilbert, simhash
+from ..session import shared_dir
+from . import embedding_dedup, hilbert, quality, simhash, toxicity, warc
 from .bpe import encode_documents
 from .common import read
 from .token_counts import count_tokens
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages"), shared_dir(spark, "warc"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), words=3, radius=3)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = encode_documents(
         read(spark, sf_dir, "documents"),
@@ -37,15 +47,23 @@ def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.shard(read(spark, sf_dir, "documents"), {"lang": "hash", "source": "hash", "size": "log"}, bits=6, shards=16)
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
+
+
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_simhash": op2_simhash,
+    "op4_toxicity": op4_toxicity,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_token_counts": op6_token_counts,
     "op7_hilbert_shards": op7_hilbert_shards,
+    "op8_quality": op8_quality,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
 
@@ -69,4 +87,16 @@ FROM embeddings e JOIN least c ON c.node = e.vec_id
 LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) n ON n.a = e.vec_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op10_embedding_dedup": OP10_SQL}
+OP1_SQL = """
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), m AS (
+    SELECT payload_digest AS d, max(page_id) AS first, count(*) AS n FROM p WHERE payload_bytes >= 1000 GROUP BY 1
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN n > 1 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n > 1 AND page_id <> first THEN first END AS refers_to
+FROM p LEFT JOIN m ON m.d = p.payload_digest
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op10_embedding_dedup": OP10_SQL}

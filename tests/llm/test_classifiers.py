@@ -1,0 +1,103 @@
+"""Quality and toxicity classifiers: held-out accuracy, brute-force scores,
+odd rows."""
+
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from shelfscope.llm import quality, queries, toxicity
+from tests.conftest import MEDIUM
+
+SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), *[T.StructField(c, T.StringType()) for c in ("text", "score", "stratum", "p_toxic")]])
+
+
+@pytest.fixture(scope="module")
+def truth():
+    return {r["doc_id"]: r for r in pq.read_table(f"{MEDIUM}/labels.parquet").to_pylist()}
+
+
+def held(doc_id) -> bool:
+    return zlib.crc32(str(doc_id).encode()) % 5 == 0
+
+
+def test_op8_held_out_quality(spark, truth):
+    rows = {r.doc_id: r for r in queries.op8_quality(spark, MEDIUM).collect()}
+    assert len(rows) == pq.read_metadata(f"{MEDIUM}/documents.parquet").num_rows
+    assert all(r.held_out == held(i) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for i, r in rows.items())
+    test = [(rows[i].predicted, t["quality"]) for i, t in truth.items() if held(i)]
+    assert sum(a == b for a, b in test) / len(test) >= 0.95
+
+
+def test_quality_learns_from_positives_and_all_text_only(spark):
+    docs, labels = (spark.read.parquet(f"{MEDIUM}/{t}.parquet") for t in ("documents", "labels"))
+    both = quality.fit(docs, labels)
+    moved = labels.withColumn("quality", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, 1 - F.col("quality")).otherwise(F.col("quality")))
+    assert quality.fit(docs, moved) == both, "held-out labels reached the fit"
+    only = quality.fit(docs, labels.where("quality = 1"))
+    assert 0 < only.prior < 1
+    junk = " | ".join(f"word{i}" for i in range(30))
+    clean = "The plain words of a clean text stand here, one after the other."
+    low, high = both.scores(np.array([quality.measures(junk), quality.measures(clean)]))
+    assert low < 0.3 < high
+
+
+def test_the_risk_separates_junk_without_negative_labels():
+    rng = np.random.default_rng(2)
+    good = rng.uniform(0, 0.2, (6000, 3))
+    junk = np.column_stack([rng.uniform(0.6, 1, 2000), rng.uniform(0, 1, 2000), rng.uniform(0, 0.2, 2000)])
+    m = quality.nn_pu(good[:3000], np.vstack([good[3000:], junk[:1000]]), prior=0.75)
+    assert (m.scores(good[3000:]) >= 0.3).mean() > 0.98
+    assert (m.scores(junk[1000:]) < 0.3).mean() > 0.9
+
+
+def test_op4_held_out_toxicity(spark, truth):
+    rows = {r.doc_id: r for r in queries.op4_toxicity(spark, MEDIUM).collect()}
+    test = [(rows[i].toxic, t["toxic"]) for i, t in truth.items() if held(i)]
+    assert sum(a == b for a, b in test) / len(test) >= 0.93
+    assert {f"p_{n}" for n, _ in toxicity.CHAIN} <= set(next(iter(rows.values())).asDict())
+
+
+def test_the_chain_feeds_earlier_categories_on():
+    """The last label follows the first category, not its own features."""
+    rng = np.random.default_rng(3)
+    n = 600
+    hits = [sorted(rng.choice(6, 2, replace=False).tolist()) for _ in range(n)]
+    first = np.array([0 in h or 1 in h for h in hits], float)
+    chain = toxicity.fit_chain(hits, {f"w{i}": i for i in range(6)}, np.column_stack([first, first]), ("a", "b"), np.ones(n))
+    assert len(chain.weights[1]) == len(chain.weights[0]) + 1 and chain.weights[1][6] > 0.5
+    p = chain.predict(["w0 w4", "w3 w4", ""])
+    assert p.shape == (3, 2)
+
+
+def test_hits_are_the_features_of_the_text():
+    words = toxicity.features("Abcdefghijk abcde, ÉÉÉÉÉ abc")
+    chain = toxicity.Chain(("x",), {w: i for i, w in enumerate(sorted(words))}, ())
+    assert sorted(chain.hits("Abcdefghijk abcde, ÉÉÉÉÉ abc")) == list(range(len(words)))
+
+
+def test_odd_rows(spark):
+    docs, labels = (spark.read.parquet(f"{MEDIUM}/{t}.parquet") for t in ("documents", "labels"))
+    rows = [(0, ""), (1, None), (2, " \n"), (None, "plain words here"), (3, "x " * 200_000), (3, "x " * 200_000), (4, "you idiot, pathetic worthless scum"), (5, "日本 🙂")]
+    df = spark.createDataFrame([(*r, "a", "b", "c") for r in rows], SCHEMA)
+    q, t = quality.fit(docs, labels), toxicity.fit(docs, labels)
+    got = quality.score(df, q).collect()
+    assert sorted((str(r.doc_id), r.held_out) for r in got) == sorted((str(i), i is not None and held(i)) for i, _ in rows)
+    want = {str(i): q.scores(quality.measures(x or "")[None])[0] for i, x in rows}
+    assert all(abs(r.score - want[str(r.doc_id)]) < 1e-12 for r in got)
+    tox = toxicity.score(df, t).collect()
+    assert len(tox) == len(rows) and {r.doc_id for r in tox if r.toxic} == {4}
+    assert quality.score(df.limit(0), q).count() == 0 and toxicity.score(df.limit(0), t).count() == 0
+    none = labels.limit(0)
+    assert {r.score for r in quality.score(df, quality.fit(docs, none)).collect()} == {0.5}
+    assert {r.toxic for r in toxicity.score(df, toxicity.fit(docs, none)).collect()} == {0}
+    empty = docs.limit(0)
+    assert quality.score(empty, quality.fit(empty, labels)).count() == 0
+    assert toxicity.score(empty, toxicity.fit(empty, labels)).count() == 0
+    twice = labels.unionByName(labels).unionByName(spark.createDataFrame([(None, 1, 1), (7, None, None)], labels.schema))
+    assert quality.fit(docs, twice).weights == pytest.approx(q.weights, abs=0.3)
