@@ -28,7 +28,9 @@ from pyspark.sql import types as T
 from . import common
 
 #: Encoded pieces that a worker remembers; the memory is emptied when full.
-CACHE_PIECES = 200_000
+CACHE_PIECES = 300_000
+#: Bytes of a piece's beginning whose prefixes are remembered by themselves.
+STEM_BYTES = 5
 #: Text bytes per output batch.
 BATCH_BYTES = 4 << 20
 
@@ -39,14 +41,15 @@ class Vocabulary:
     def __init__(self, lines: bytes):
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines.splitlines()) if a}
         self.tokens: list[bytes] = [b""] * (max(self.ranks.values(), default=-1) + 1)
-        #: Longest token that ends in the last two bytes (or the only byte).
-        self.reach: dict[bytes, int] = {}
+        #: Lengths of the tokens that end in three bytes, longest first.
+        ends: dict[bytes, set[int]] = {}
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
-            end = token[-2:]
-            self.reach[end] = max(self.reach.get(end, 0), len(token))
+            if len(token) >= 3:
+                ends.setdefault(token[-3:], {2, 1}).add(len(token))
+        self.lengths = {e: tuple(sorted(n, reverse=True)) for e, n in ends.items()}
         self.longest = max(map(len, self.ranks), default=0)
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}
         self._alone: dict[int, bool] = {}
 
     def merge(self, data: bytes) -> list[int]:
@@ -65,11 +68,12 @@ class Vocabulary:
 
     def pair(self, a: int, b: int) -> bool:
         """Whether BPE leaves tokens ``a`` and ``b`` side by side."""
-        got = self._pairs.get((a, b))
+        key = a << 32 | b
+        got = self._pairs.get(key)
         if got is None:
             if len(self._pairs) > 1_000_000:
                 self._pairs.clear()
-            got = self._pairs[a, b] = self.merge(self.tokens[a] + self.tokens[b]) == [a, b]
+            got = self._pairs[key] = self.merge(self.tokens[a] + self.tokens[b]) == [a, b]
         return got
 
     def alone(self, a: int) -> bool:
@@ -78,15 +82,22 @@ class Vocabulary:
             got = self._alone[a] = self.merge(self.tokens[a]) == [a]
         return got
 
-    def last_token(self, data: bytes, i: int, last: list[int]) -> int:
-        """The one token that can end the encoding of ``data[:i]``."""
-        ranks = self.ranks
-        most = self.reach.get(data[i - 2 : i], 1) if i > 1 else 1
-        for n in range(min(i, most), 0, -1):
-            t = ranks.get(data[i - n : i])
-            if t is not None and (self.alone(t) if n == i else self.pair(last[i - n - 1], t)):
-                return t
-        raise ValueError(f"the vocabulary has no token for byte {data[i - 1]}")
+    def extend(self, data: bytes, last: list[int], end: int) -> None:
+        """Append to ``last``, the last tokens of the prefixes of ``data``, up
+        to the prefix of ``end`` bytes: each is the one token that can end it."""
+        rank, lengths, known = self.ranks.get, self.lengths.get, self._pairs.get
+        for i in range(len(last) + 1, end + 1):
+            for n in lengths(data[i - 3 : i], (2, 1)) if i > 2 else (2, 1)[2 - i :]:
+                if n > i or (t := rank(data[i - n : i])) is None:
+                    continue
+                if n == i:
+                    if self.alone(t):
+                        break
+                elif known((a := last[i - n - 1]) << 32 | t) or self.pair(a, t):
+                    break
+            else:
+                raise ValueError(f"the vocabulary has no token for byte {data[i - 1]}")
+            last.append(t)
 
 
 class Piece:
@@ -97,10 +108,8 @@ class Piece:
         self.append(data)
 
     def append(self, more: bytes) -> None:
-        start = len(self.data)
         self.data += more
-        for i in range(start + 1, len(self.data) + 1):
-            self.last.append(self.vocab.last_token(self.data, i, self.last))
+        self.vocab.extend(self.data, self.last, len(self.data))
 
     def replace(self, start: int, end: int, new: bytes) -> int:
         """Replace bytes ``start:end`` and return how many prefixes were
@@ -113,7 +122,7 @@ class Piece:
             if same >= self.vocab.longest:
                 last += old[i - 1 - shift :]
                 break
-            last.append(self.vocab.last_token(self.data, i, last))
+            self.vocab.extend(self.data, last, i)
             work += 1
             was = i - 1 - shift
             same = same + 1 if i > start + len(new) and was >= 0 and old[was] == last[-1] else 0
@@ -194,11 +203,25 @@ class Encoder(dict):
         import regex
 
         self.vocab, self.find = vocab, regex.compile(pattern).findall
+        self.stems: dict[bytes, list[int]] = {}
+
+    def piece(self, data: bytes) -> Piece:
+        """A new piece that takes over the prefixes of a known beginning."""
+        out, stem = Piece(self.vocab), data[:STEM_BYTES]
+        known = self.stems.get(stem)
+        if known is None:
+            if len(self.stems) >= CACHE_PIECES:
+                self.stems.clear()
+            known = self.stems[stem] = []
+            self.vocab.extend(stem, known, len(stem))
+        out.last = known.copy()
+        out.append(data)
+        return out
 
     def __missing__(self, piece: str) -> bytes:
         data = piece.encode()
         whole = self.vocab.ranks.get(data)
-        packed = np.asarray([whole] if whole is not None else Piece(self.vocab, data).ids(), "<u4").tobytes()
+        packed = np.asarray([whole] if whole is not None else self.piece(data).ids(), "<u4").tobytes()
         if len(self) >= CACHE_PIECES:
             self.clear()
         if len(piece) <= 64:
