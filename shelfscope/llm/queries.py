@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import embedding_dedup, hilbert, quality, simhash, toxicity, warc
+from . import embedding_dedup, hilbert, mixing, quality, simhash, toxicity, warc
 from .bpe import encode_documents
 from .common import read
 from .token_counts import count_tokens
 
+#: Target shares of the languages in the mix.
+MIX_WEIGHTS = {"en": 0.55, "de": 0.16, "fr": 0.16, "es": 0.13}
+
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read(spark, sf_dir, "pages"), shared_dir(spark, "warc"))
@@ -22,6 +25,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), words=3, radius=3)
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return mixing.document_rates(docs, mixing.labelled_by(docs, read(spark, sf_dir, "labels"), "lang"), MIX_WEIGHTS)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
@@ -59,6 +67,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_simhash": op2_simhash,
+    "op3_mixing": op3_mixing,
     "op4_toxicity": op4_toxicity,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_token_counts": op6_token_counts,
