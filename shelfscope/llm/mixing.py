@@ -90,12 +90,12 @@ def measured(df: DataFrame, text_col: str) -> DataFrame:
     return df.drop("__short", "__len", *[f"__c{i}" for i in range(n + 1)])
 
 
-def fit_domains(labelled: DataFrame, text_col: str = "text", domain_col: str = "domain") -> Domains:
-    """The classifier from a labelled table (text, domain); null domains are
-    left out.  One aggregation, a row per domain."""
+def fit_domains(labelled: DataFrame, domain_col: str = "domain") -> Domains:
+    """The classifier from measured rows (``__letters``) with a domain; null
+    domains are left out.  One aggregation, a row per domain."""
     sums = [F.sum(F.col("__letters")[i]).alias(f"g{i}") for i in range(len(GROUPS) + 1)]
     rows = (
-        measured(labelled.where(F.col(domain_col).isNotNull()), text_col)
+        labelled.where(F.col(domain_col).isNotNull())
         .groupBy(F.col(domain_col).cast("string").alias("domain"))
         .agg(F.count("*").alias("n"), *sums)
         .orderBy("domain")
@@ -177,10 +177,15 @@ def copies(rate: Column, key: Column) -> Column:
 
 
 def fit(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], id_col: str, text_col: str, domain_col: str) -> tuple[Domains, Rates, DataFrame]:
-    """Domains from ``labelled`` (text, domain), rates over all of ``docs``,
-    and the narrow table of ids, tokens and posteriors."""
-    domains = fit_domains(labelled, text_col, domain_col)
-    rows = measured(docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")), "text")
+    """Domains from the documents that ``labelled`` (id, domain) covers, rates
+    over all of ``docs``, and the narrow table of ids, tokens and posteriors.
+    Texts are measured once; only measures meet the labelled table.  Ids with
+    contradicting domains count as unlabelled."""
+    rows = stored(measured(docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")), "text").drop("text"), "mixing-measures")
+    tags = labelled.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(
+        F.when(F.min(domain_col) == F.max(domain_col), F.min(domain_col)).alias("domain")
+    )
+    domains = fit_domains(rows.join(tags, "id"))
     if not domains.names:
         rows = rows.withColumn("p", F.array().cast("array<double>"))
     else:
@@ -189,11 +194,11 @@ def fit(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], id_col:
     return domains, fit_rates(rows, domains.names, weights), rows
 
 
-def labelled_by(docs: DataFrame, labels: DataFrame, domain: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(text, domain) of the documents that the labelled table covers: their
+def labelled_by(docs: DataFrame, labels: DataFrame, domain: str, id_col: str = "doc_id") -> DataFrame:
+    """(id, domain) of the documents that the labelled table covers: their
     ``domain`` tag is trusted, that of the others is not used."""
     ids = labels.where(F.col(id_col).isNotNull()).select(id_col).distinct()
-    return docs.join(ids, id_col, "left_semi").select(docs[text_col].alias(text_col), docs[domain].alias("domain"))
+    return docs.select(id_col, docs[domain].alias("domain")).join(ids, id_col, "left_semi")
 
 
 def document_rates(

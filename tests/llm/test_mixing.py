@@ -99,9 +99,11 @@ def test_mix_keeps_columns_and_copies(spark):
 def test_odd_rows(spark):
     rows = [(1, "the white whale", "en", "x"), (2, None, "en", "x"), (3, "", None, "x"), (None, "año ñandú ó", "es", "x"), (4, "año ñandú ó", "es", "x"), (4, "año ñandú ó", "es", "x"), (5, "q " * 100_000, "es", "x"), (6, "日本 🙂", None, "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, rate string")
-    labelled = df.select("text", F.col("lang").alias("domain"))
+    labelled = df.select("doc_id", F.col("lang").alias("domain")).unionByName(df.limit(1).select(F.lit(6).cast("long").alias("doc_id"), F.lit("en").alias("domain"))).unionByName(
+        df.limit(1).select(F.lit(6).cast("long").alias("doc_id"), F.lit("es").alias("domain"))
+    )
     got = mixing.document_rates(df, labelled, {"en": 0.5, "es": 0.5, "xx": 3.0}).collect()
-    tokens, post, rate, _ = brute([(i, t) for i, t, *_ in rows], [(t, d) for _, t, d, _ in rows], {"en": 0.5, "es": 0.5})
+    tokens, post, rate, _ = brute([(i, t) for i, t, *_ in rows], [(t, d) for i, t, d, _ in rows if i is not None], {"en": 0.5, "es": 0.5})
     assert sorted((str(r.doc_id), r.n_tokens, round(r.p_es, 6), round(r.rate, 4)) for r in got) == sorted(
         (str(x[0]), n, round(p[1], 6), round(r, 4)) for x, n, p, r in zip(rows, tokens, post, rate)
     )
