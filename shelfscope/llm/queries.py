@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import embedding_dedup, hilbert, mixing, quality, simhash, toxicity, warc
+from . import embedding_dedup, hilbert, mixing, nn_descent, quality, simhash, toxicity, warc
 from .bpe import encode_documents
 from .common import read
 from .token_counts import count_tokens
@@ -60,6 +60,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.nearest(read(spark, sf_dir, "embeddings"), every=20, top=20)
+
+
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"), threshold=0.93)
 
@@ -73,6 +77,7 @@ QUERIES = {
     "op6_token_counts": op6_token_counts,
     "op7_hilbert_shards": op7_hilbert_shards,
     "op8_quality": op8_quality,
+    "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
 
