@@ -18,7 +18,6 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -44,9 +43,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None)
 
 def apply_defaults(spark: SparkSession) -> None:
     """Set the runtime SQL settings we depend on, keeping any caller value
-    except the time zone, which must be UTC for date parity.  Partition
-    overwrites pass ``partitionOverwriteMode`` on each write instead of
-    changing the session."""
+    except the time zone, which must be UTC for date parity.  Every overwrite
+    names its ``partitionOverwriteMode``; the session's mode plays no part."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     for k, v in DEFAULTS.items():
         if spark.conf.get(k, None) is None:
@@ -56,13 +54,15 @@ def apply_defaults(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    The checkpoint location is read from the session; only when it is unset
-    (local tests) do we create one and register it.  Machine-local temporary
-    folders are never used when the cluster names a shared folder.
+    The checkpoint location is read from the session.  A local session without
+    one gets a temporary folder, which is registered; on a cluster, where a
+    temporary folder would lie on one machine, that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
+    if not base and not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
     if not base:
         base = tempfile.mkdtemp(prefix="shelfscope-")
         spark.sparkContext.setCheckpointDir(base)
@@ -72,10 +72,10 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
 
 
 def materialize(spark: SparkSession, df):
-    """Cut a DataFrame's lineage with a reliable checkpoint in the shared
-    checkpoint folder (registered only when the session names none).  Used
-    where several branches of one job read the same intermediate table, as
-    the persisted silver table is read by both the dimension and the facts."""
-    if not spark.sparkContext.getCheckpointDir():
-        shared_dir(spark, "checkpoint")
-    return df.checkpoint(eager=True)
+    """Write an intermediate table as Parquet into the shared folder and read
+    it back.  Used where several branches of one job read the same table, as
+    the persisted silver table is read by both the dimension and the facts;
+    each branch then scans only the columns it needs."""
+    path = shared_dir(spark, "table")
+    df.write.mode("error").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

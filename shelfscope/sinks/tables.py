@@ -12,12 +12,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date, timedelta
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfscope.operators import dimension
-from shelfscope.session import shared_dir
 
 MODES = ("append", "overwrite", "error", "ignore")
 
@@ -39,12 +39,18 @@ class WriteReport:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """SK-05: a readable Parquet table is present at ``path``."""
+    """SK-05: a Parquet table is present at ``path``.  Only a missing path
+    counts as absent; a folder that cannot be read as a table is an error, so
+    no load takes it for a first run and overwrites it."""
     try:
         spark.read.parquet(path).schema  # noqa: B018 - metadata only
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise RuntimeError(f"{path} exists but is no readable table") from e
+    except Py4JJavaError as e:
+        raise RuntimeError(f"{path} exists but is no readable table") from e
 
 
 def read_table(spark: SparkSession, path: str, partition: tuple[str, str] | None = None) -> DataFrame:
@@ -75,13 +81,15 @@ def write_table(
         raise ValueError(f"mode must be one of {MODES}")
     if skip_empty and mode == "overwrite" and df.isEmpty():
         return WriteReport(path, mode, 0, df.columns, skipped=True)
+    if mode == "ignore" and table_exists(df.sparkSession, path):
+        return WriteReport(path, mode, 0, df.columns, skipped=True)
     obs = Observation()
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    w = observed.write.mode(mode)
+    w = observed.write.mode(mode).option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    rows = int(obs.get.get("rows", 0)) if mode != "ignore" else 0
+    rows = int(obs.get.get("rows", 0))
     return WriteReport(path, mode, rows, df.columns, skipped=rows == 0)
 
 
@@ -91,7 +99,7 @@ def replace_partition(
     run_date: str | date,
     col: str = "ingested_at",
 ) -> WriteReport:
-    """SK-02: atomically replace one day partition, idempotently.
+    """SK-02: replace one day partition, idempotently.
 
     Every row must carry ``col == run_date``; a row that does not fails the
     write job before any file is committed (the check is part of the write
@@ -139,7 +147,36 @@ def write_dimension(dim: DataFrame, path: str) -> None:
     to a few expiry days, so files per day follow rows per day; the large
     current (null) partition is spread by the hash."""
     spread = F.xxhash64(*[F.col(c) for c in dim.columns if c != CURRENT])
-    dim.repartitionByRange(F.col(CURRENT), spread).write.mode("overwrite").partitionBy(CURRENT).parquet(path)
+    out = dim.repartitionByRange(F.col(CURRENT), spread).write.mode("overwrite")
+    out.option("partitionOverwriteMode", "static").partitionBy(CURRENT).parquet(path)
+
+
+LOADS = "load_id long, staged string, state string"
+
+
+def _log(spark: SparkSession, path: str, load_id: int, staged: str, state: str) -> None:
+    spark.createDataFrame([(load_id, staged, state)], LOADS).coalesce(1).write.mode("append").parquet(f"{path}__loads")
+
+
+def _swap(spark: SparkSession, path: str, load_id: int, staged: str) -> None:
+    """Put the staged partitions into the table; can be repeated."""
+    rows = spark.read.parquet(staged)
+    rows = rows.withColumn(CURRENT, F.col(CURRENT).cast("date"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(CURRENT).parquet(path)
+    _log(spark, path, load_id, staged, "done")
+
+
+def finish_loads(spark: SparkSession, path: str) -> int:
+    """Complete a load that was cut off between its staged write and the end
+    of its swap; returns the number of the last load.  The log holds two rows
+    per load."""
+    if not table_exists(spark, f"{path}__loads"):
+        return 0
+    log = spark.read.schema(LOADS).parquet(f"{path}__loads")
+    last = log.groupBy("load_id").agg(F.max("staged").alias("staged"), F.max(F.col("state") == "done").alias("done")).orderBy(F.desc("load_id")).first()
+    if not last["done"]:
+        _swap(spark, path, last["load_id"], last["staged"])
+    return last["load_id"]
 
 
 def read_dimension(spark: SparkSession, path: str) -> DataFrame:
@@ -164,15 +201,17 @@ def scd2_load_day(
 
     The table is partitioned by ``expiry_date``: the current versions live in
     the null partition and each load closes versions into partition
-    ``run_date - 1``.  A day load rewrites exactly those two partitions with
-    one dynamic overwrite; the new state is checkpointed first because it is
-    computed from the table being overwritten.  Loading a day older than the
+    ``run_date - 1``.  A day load rewrites exactly those two partitions.  The
+    new state is written whole beside the table first (two slots in turn) and
+    noted in the load log, then swapped in by one dynamic overwrite; a load
+    that was cut off in between is completed by the next one.  Loading a day older than the
     newest version would invert history, so it is refused unless
     ``allow_backfill``; rebuild with ``scd2_rebuild`` instead.
     """
     run_date = str(run_date)
     if incoming.isEmpty():
         return {"skipped": True, "total_rows": None, "current_rows": None}
+    last_load = finish_loads(spark, path)
     if not table_exists(spark, path):
         write_dimension(dimension.scd2_first_run(incoming, keys, sk), path)
     else:
@@ -187,11 +226,12 @@ def scd2_load_day(
             raise ValueError(f"run_date {run_date} is older than the newest version {newest}; use scd2_rebuild")
         dim = full.filter(F.col(CURRENT).isNull() | (F.col(CURRENT) == F.lit(closing).cast("date")))
         touched = dimension.scd2_apply(dim, incoming, run_date, keys, sk, update_untracked)
-        if spark.sparkContext.getCheckpointDir() is None:
-            shared_dir(spark, "scd2")
-        touched = touched.select(*full.columns).checkpoint(eager=True)
-        if touched.filter(F.col(CURRENT).isNull()).isEmpty():
+        load_id = last_load + 1
+        staged = f"{path}__staged/slot={load_id % 2}"
+        touched.select(*full.columns).write.mode("overwrite").parquet(staged)
+        if spark.read.parquet(staged).filter(F.col(CURRENT).isNull()).isEmpty():
             raise RuntimeError("current partition would become empty; refusing to overwrite")
-        touched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(CURRENT).parquet(path)
+        _log(spark, path, load_id, staged, "staged")
+        _swap(spark, path, load_id, staged)
     totals = dimension.dim_totals(read_dimension(spark, path)).first()
     return {"skipped": False, "total_rows": totals["total_rows"], "current_rows": totals["current_rows"]}

@@ -16,21 +16,8 @@ ISO_DAY = "yyyy-MM-dd"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, spread over the session's cores when its scan is narrow.
-
-    The generated tables are single Parquet files with one row group, which a
-    scan cannot split: every row would be parsed by one task.  When the scan
-    has fewer splits than the default parallelism the rows are spread
-    round-robin first; a large input (many splits) is used as it is, so no
-    shuffle is added at scale.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()  # planning only, no job
-    except Exception:  # noqa: BLE001 - sessions without RDD access: keep the scan as it is
-        return df
-    return df.repartition(cores) if splits < cores else df
+    """A driver table, as its files lie: the same plan at every size."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _asin(key) -> F.Column:

@@ -1,5 +1,5 @@
 """The fixture adapters keep every row of the driver tables (no sampling, id
-subsets or caps) and spread narrow single-row-group scans over the cores."""
+subsets or caps)."""
 
 from __future__ import annotations
 
@@ -19,8 +19,3 @@ def test_cards_and_listings_cover_whole_tables(spark):
     orders = fixtures.table(spark, SMALL, "orders")
     days = orders.select("o_custkey", F.to_date("o_orderdate")).distinct().count()
     assert fixtures.customer_snapshots(spark, SMALL).count() == days
-
-
-def test_narrow_scan_is_spread(spark):
-    df = fixtures.table(spark, SMALL, "lineitem")
-    assert df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
