@@ -37,22 +37,41 @@ def start_bronze_stream(
 
     ``available_now`` processes every file present and stops (scheduled
     catch-up); otherwise the query keeps running and picks up new files.
-    Malformed files are dropped from the stream (the batch ``ingest`` keeps
-    them in a quarantine table).
+    Malformed files go to the table of ``start_quarantine_stream``, which reads
+    the same folders.
     """
+    good, _ = raw.quarantine(_envelopes(spark, raw_root, source, schema, layout, multi_line, max_files_per_trigger))
+    rows = raw.explode_records(good, lift).withColumn("ingested_at", F.col("ingested_at").cast("date"))
+    return _start(rows.writeStream.partitionBy("ingested_at"), bronze_path, checkpoint, available_now)
+
+
+def start_quarantine_stream(
+    spark: SparkSession,
+    raw_root: str,
+    source: str,
+    schema: T.StructType,
+    quarantine_path: str,
+    checkpoint: str,
+    layout: str = "{root}/{source}/{date}",
+    multi_line: bool = True,
+    available_now: bool = True,
+    max_files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """SC-07 for the stream: envelopes that do not parse, are blank or hold no
+    products, with file and raw text, into a Parquet table of their own."""
+    _, bad = raw.quarantine(_envelopes(spark, raw_root, source, schema, layout, multi_line, max_files_per_trigger))
+    return _start(bad.writeStream, quarantine_path, checkpoint, available_now)
+
+
+def _envelopes(spark, raw_root, source, schema, layout, multi_line, max_files_per_trigger):
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     text = reader.text(raw.raw_path(raw_root, source, None, layout), wholetext=multi_line)
-    envelopes = raw.parse_envelopes(text, schema)
-    good = envelopes.filter(F.col(raw.CORRUPT).isNull()).drop(raw.CORRUPT)
-    rows = raw.explode_records(good, lift).withColumn("ingested_at", F.col("ingested_at").cast("date"))
-    writer = (
-        rows.writeStream.format("parquet")
-        .option("path", bronze_path)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("ingested_at")
-        .outputMode("append")
-    )
+    return raw.parse_envelopes(text, schema)
+
+
+def _start(writer, path: str, checkpoint: str, available_now: bool) -> StreamingQuery:
+    writer = writer.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
