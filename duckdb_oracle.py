@@ -3,18 +3,18 @@
 Written from the documented semantics, not from the Spark code: the raw
 fixtures, the text rules as SQL regex, dedup as ``row_number()``, SCD2 as
 ``lag``/``lead``, as-of lookup as a range join.  Rounding follows the
-project rule: fix to 6 decimals, then round half-up (``R2``/``R1``/...).
+project rule: fix to 12 decimals, then round half-up (``R2``/``R1``/...).
 """
 
 from __future__ import annotations
 
 
 def rnd(expr: str, n: int) -> str:
-    return f"CAST(round(TRY_CAST(({expr}) AS DECIMAL(38,6)), {n}) AS DOUBLE)"
+    return f"coalesce(CAST(round(TRY_CAST(({expr}) AS DECIMAL(38,12)), {n}) AS DOUBLE), round(CAST(({expr}) AS DOUBLE), {n}))"
 
 
 def rnd_long(expr: str) -> str:
-    return f"CAST(round(TRY_CAST(({expr}) AS DECIMAL(38,6)), 0) AS BIGINT)"
+    return f"CAST(round(TRY_CAST(({expr}) AS DECIMAL(38,12)), 0) AS BIGINT)"
 
 
 def pct(num: str, den: str) -> str:

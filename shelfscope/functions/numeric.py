@@ -1,9 +1,11 @@
 """Numeric helpers shared by facts, marts and analytics.
 
-Rounding rule: values are first fixed to 6 decimals, then rounded half-up to
+Rounding rule: values are first fixed to 12 decimals, then rounded half-up to
 ``n`` places.  Plain ``round(double, n)`` rounds the binary value and differs
-between engines at half-way points; going through a decimal makes the result
-independent of summation order noise and of the engine.
+between engines at half-way points; the decimal makes the result independent
+of summation noise and of the engine, and its 12 places lie far below any
+digit that decides.  Values too large for it have no such digits and are
+rounded as they are.
 """
 
 from __future__ import annotations
@@ -14,13 +16,13 @@ from pyspark.sql import functions as F
 
 def round_to(col: Column | str, n: int) -> Column:
     c = F.col(col) if isinstance(col, str) else col
-    return F.round(c.try_cast("decimal(38,6)"), n).cast("double")
+    return F.coalesce(F.round(c.try_cast("decimal(38,12)"), n).cast("double"), F.round(c.cast("double"), n))
 
 
 def round_to_long(col: Column | str) -> Column:
     """Round to 0 decimals and return a long (``avg_*_count`` style)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.round(c.try_cast("decimal(38,6)"), 0).cast("long")
+    return F.round(c.try_cast("decimal(38,12)"), 0).try_cast("long")
 
 
 def guarded_pct(num: Column | str, den: Column | str, n: int = 2) -> Column:

@@ -68,14 +68,17 @@ def type_cards(bronze: DataFrame) -> DataFrame:
 
 def latest_raw(bronze: DataFrame, keys: Sequence[str]) -> DataFrame:
     """WN-01/02 on bronze rows: the latest extraction per grain, decided on the
-    typed day and timestamp (ties: source file), before any text is parsed.
+    typed day and timestamp, before any text is parsed.  Ties (a product twice
+    on one page has one extraction time and one file) go by source file and
+    then by a hash of the whole row, so the input's order never decides.
 
     Picking the survivor first means re-run duplicates of an append-only
     bronze table are never parsed, and the dedup shuffle carries the raw
     record.  The survivor is the same row the typed dedup would keep.
     """
     keyed = bronze.withColumn("ingested_at", P.to_day("ingested_at")).withColumn(TS, P.to_ts("source_extracted_at"))
-    return latest_per(keyed, keys, [TS, "source_file"])
+    tie = "_row_hash"
+    return latest_per(keyed.withColumn(tie, F.xxhash64(*bronze.columns)), keys, [TS, "source_file", tie]).drop(tie)
 
 
 def clean_cards(

@@ -218,3 +218,89 @@ def test_bronze_day_quarantines_only_bad_files(spark, tmpdir_path):
     q = spark.read.parquet(lake.path("bronze", "_quarantine_search_results"))
     assert q.count() == 1 and q.first().source_file.endswith("truncated.json")
     assert spark.read.parquet(lake.path("bronze", "search_results")).count() == cards.filter(F.col("ingested_at").isin(d1, d2)).count()
+
+
+def _dim(spark, rows):
+    return spark.createDataFrame(rows, "product_sk string, asin string, effective_date string, expiry_date string").selectExpr(
+        "product_sk", "asin", "cast(effective_date as date) as effective_date", "cast(expiry_date as date) as expiry_date"
+    )
+
+
+def test_whole_dimension_write_leaves_no_stale_version(spark, tmpdir_path):
+    path = f"{tmpdir_path}/dim"
+    tables.write_dimension(_dim(spark, [("s1", "A", "2026-01-01", "2026-01-05"), ("s2", "A", "2026-01-06", None)]), path)
+    tables.write_dimension(_dim(spark, [("s1", "A", "2026-01-01", "2026-01-09"), ("s2", "A", "2026-01-10", None)]), path)
+    rows = sorted((r.product_sk, str(r.expiry_date)) for r in tables.read_dimension(spark, path).collect())
+    assert rows == [("s1", "2026-01-09"), ("s2", "None")]
+
+
+def test_partitioned_overwrite_replaces_the_table(spark, tmpdir_path):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "x int, d string")
+    tables.write_table(df, f"{tmpdir_path}/t", "overwrite", partition_by=["d"])
+    tables.write_table(df.where("d = 'b'"), f"{tmpdir_path}/t", "overwrite", partition_by=["d"])
+    assert [r.x for r in spark.read.parquet(f"{tmpdir_path}/t").collect()] == [2]
+    assert tables.write_table(df, f"{tmpdir_path}/new", "ignore").rows == 2
+    again = tables.write_table(df, f"{tmpdir_path}/new", "ignore")
+    assert again.skipped and again.rows == 0
+
+
+def test_a_folder_that_is_no_table_stops_the_load(spark, tmpdir_path):
+    import os
+
+    os.makedirs(f"{tmpdir_path}/empty")
+    with pytest.raises(RuntimeError, match="no readable table"):
+        tables.table_exists(spark, f"{tmpdir_path}/empty")
+    assert not tables.table_exists(spark, f"{tmpdir_path}/absent")
+
+
+def test_a_load_cut_off_in_its_swap_is_completed(spark, tmpdir_path):
+    """The current partition is lost between delete and rename; the next load
+    puts the staged state back first, so a product absent that day survives."""
+    import shutil
+
+    path = f"{tmpdir_path}/dim"
+    tables.write_dimension(_dim(spark, [("z", "Z", "2026-01-01", None), ("a", "A", "2026-01-01", None)]), path)
+    staged = f"{path}__staged/slot=1"
+    _dim(spark, [("z", "Z", "2026-01-01", None), ("a2", "A", "2026-01-02", None), ("a", "A", "2026-01-01", "2026-01-01")]).write.parquet(staged)
+    tables._log(spark, path, 1, staged, "staged")
+    shutil.rmtree(f"{path}/expiry_date=__HIVE_DEFAULT_PARTITION__")
+    assert tables.finish_loads(spark, path) == 1
+    rows = sorted((r.product_sk, str(r.expiry_date)) for r in tables.read_dimension(spark, path).collect())
+    assert rows == [("a", "2026-01-01"), ("a2", "None"), ("z", "None")]
+    assert tables.finish_loads(spark, path) == 1
+
+
+def test_blank_and_productless_files_are_quarantined(spark, tmpdir_path):
+    import os
+
+    folder = f"{tmpdir_path}/search/2026-03-04"
+    os.makedirs(folder)
+    files = {
+        "good.json": '{"metadata": {"keyword": "k", "marketplace": "US", "extracted_at": "2026-03-04T00:00:00"}, "products": [{"asin": "A"}]}',
+        "blank.json": " \n",
+        "noprod.json": '{"metadata": {"keyword": "k"}}',
+        "cut.json": '{"metadata": {"keyw',
+    }
+    for name, text in files.items():
+        with open(f"{folder}/{name}", "w") as f:
+            f.write(text)
+    rows, bad = raw.ingest(spark, tmpdir_path, "search", raw.CARD_ENVELOPE, raw.CARD_LIFT, "2026-03-04")
+    assert [r.asin for r in rows.collect()] == ["A"]
+    assert sorted(r.source_file.rsplit("/", 1)[1] for r in bad.collect()) == ["blank.json", "cut.json", "noprod.json"]
+
+
+def test_tied_rows_do_not_depend_on_input_order(spark):
+    from shelfscope.operators import clean
+
+    rows = [("A", f"t{i}", "k", "US", "2026-03-04T00:00:00", "2026-03-04", "f.json") for i in range(6)]
+    cols = ["asin", "title", "keyword", "marketplace", "source_extracted_at", "ingested_at", "source_file"]
+    one, two = (spark.createDataFrame(r, cols) for r in (rows, rows[::-1]))
+    keys = ["asin", "keyword", "marketplace", "ingested_at"]
+    assert [r.title for r in clean.latest_raw(one, keys).collect()] == [r.title for r in clean.latest_raw(two.repartition(3), keys).collect()]
+
+
+def test_rounding_decides_on_the_value_itself(spark):
+    from shelfscope.functions.numeric import round_to
+
+    df = spark.createDataFrame([(1.0049996,), (2.6749997,), (2.675,), (1e33,)], "x double")
+    assert [r.y for r in df.select(round_to("x", 2).alias("y")).collect()] == [1.0, 2.67, 2.68, 1e33]

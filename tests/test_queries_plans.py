@@ -102,12 +102,16 @@ def test_price_snapshot_single_shuffle(spark):
     assert "SortMergeJoin" not in text and "BroadcastHashJoin" not in text
 
 
-def test_price_snapshot_join_form_agrees(spark):
+def test_price_snapshot_takes_the_latest_row(spark):
     from shelfscope.operators import facts
     from shelfscope.plans.queries import silver_cards
 
     cards = silver_cards(spark, SMALL)
-    a = facts.price_snapshot_rows(cards)
-    b = facts.price_snapshot_rows(cards, latest_by="join")
-    assert a.columns == b.columns
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    got = {(r.asin, r.marketplace, r.ingested_at): (r.latest_price, r.discount_pct_latest) for r in facts.price_snapshot_rows(cards).collect()}
+    want: dict = {}
+    for r in cards.collect():
+        key = (r.asin, r.marketplace, r.ingested_at)
+        at = (r.source_extracted_at is not None, r.source_extracted_at, r.keyword)
+        if key not in want or at > want[key][0]:
+            want[key] = (at, (r.price_amount, r.discount_pct))
+    assert got == {k: v for k, (_, v) in want.items()}
