@@ -86,8 +86,8 @@ OP10_SQL = """
 WITH RECURSIVE good AS (
     SELECT vec_id, label, [x::DOUBLE FOR x IN embedding] AS v FROM embeddings
     WHERE label IS NOT NULL AND embedding IS NOT NULL
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-      AND len(list_filter(embedding, x -> x <> 0)) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), links AS (
     SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
     WHERE list_cosine_similarity(a.v, b.v) >= 0.93
