@@ -613,3 +613,5 @@ SELECT 'silver_cards' AS check_name, count(*) AS rows, CAST(0 AS BIGINT) AS fail
 SQL["bronze_roundtrip"] = with_(CARDS) + "SELECT * EXCLUDE (source_file) FROM cards"
 SQL["replace_partition_rerun"] = SQL["silver_cards"]
 SQL["bronze_stream_roundtrip"] = with_(CARDS) + "SELECT * EXCLUDE (source_file, ingested_at), CAST(ingested_at AS DATE) AS ingested_at FROM cards"
+
+SQL["write_modes"] = with_(*CARD_CHAIN) + "SELECT * FROM silver_cards WHERE marketplace = 'US'"

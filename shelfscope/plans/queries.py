@@ -425,6 +425,18 @@ def q_replace_partition_rerun(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@register("write_modes")
+def q_write_modes(spark, sf_dir):
+    """SK-01/06/07: two appends, a partitioned overwrite with fewer rows, an
+    ignored write and an empty append leave the overwrite's rows."""
+    path = shared_dir(spark, "modes")
+    s = materialize(spark, silver_cards(spark, sf_dir))
+    us = s.filter(F.col("marketplace") == "US")
+    for df, mode in ((s, "append"), (s, "append"), (us, "overwrite"), (s, "ignore"), (s.limit(0), "append"), (s.limit(0), "overwrite")):
+        tables.write_table(df, path, mode, partition_by=["ingested_at"])
+    return spark.read.parquet(path)
+
+
 @register("bronze_stream_roundtrip")
 def q_bronze_stream_roundtrip(spark, sf_dir):
     """Streaming PL-01: the same envelopes ingested by the Structured Streaming
