@@ -37,9 +37,9 @@ REVERSE = 16
 ROUNDS = 3
 #: Edges that one neighbourhood may offer to a member in a round.
 OFFERS = 12
-BEAM = 160
-FRONTIER = 48
-HOPS = 6
+BEAM = 224
+FRONTIER = 56
+HOPS = 7
 
 _EDGE = "u long, v long, s float"
 _ARROW_EDGE = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("s", pa.float32())])
