@@ -6,9 +6,10 @@ neighbours with each other - neighbours of neighbours - as a Spark join and
 aggregation: members of a node's neighbourhood (its neighbours, and a hashed
 choice of those that point to it) come together with half-precision codes of
 their vectors, and pairs that beat a member's worst neighbour become edges.
-Queries walk the graph greedily: the best unexpanded nodes of a query's beam
-hand over their neighbours, which are scored block by block.  The beam's
-vectors are scored again in double precision at the end.
+Rounds go on until at most ``DELTA`` of the edges are new.  Queries walk the
+graph greedily: the best unexpanded nodes of a query's beam hand over their
+neighbours, which are scored block by block, until at most ``DELTA`` of the
+beams' nodes are unexpanded.  The beam's vectors are scored again in double precision at the end.
 
 Equal vectors are one node.  Of a node's ids only the smallest ``top + 1``
 can be among anyone's ``top`` nearest (ties go to smaller ids), so keeping
@@ -17,6 +18,7 @@ those loses nothing.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,12 +36,11 @@ SEARCH_BLOCK = 2048
 CELLS_EACH = 3
 NEIGHBOURS = 32
 REVERSE = 16
-ROUNDS = 3
-#: Edges that one neighbourhood may offer to a member in a round.
-OFFERS = 12
+#: Share of new edges at which the descent ends, and of unexpanded beam nodes at
+#: which the search ends.
+DELTA = 0.01
 BEAM = 224
 FRONTIER = 56
-HOPS = 7
 
 _EDGE = "u long, v long, s float"
 _ARROW_EDGE = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("s", pa.float32())])
@@ -86,8 +87,9 @@ def _coded(nodes: DataFrame, centroids: np.ndarray) -> DataFrame:
 
 
 def _best(edges: DataFrame, k: int) -> DataFrame:
-    """The ``k`` best distinct neighbours of every node."""
-    one = edges.groupBy("u", "v").agg(F.max("s").alias("s"))
+    """The ``k`` best distinct neighbours of every node; an edge is ``fresh``
+    if none of its copies is old."""
+    one = edges.groupBy("u", "v").agg(F.max("s").alias("s"), F.min("fresh").alias("fresh"))
     place = Window.partitionBy("u").orderBy(F.desc("s"), "v")
     return one.withColumn("_n", F.row_number().over(place)).where(F.col("_n") <= k).drop("_n")
 
@@ -112,7 +114,7 @@ def _first_graph(coded: DataFrame, k: int) -> DataFrame:
                 at = np.argpartition(-sim, take - 1, axis=1)[:, :take]
                 yield _edges([np.repeat(ids, take)], [ids[at].ravel()], [np.take_along_axis(sim, at, axis=1).ravel()])
 
-    return _best(blocks.select("rows").mapInArrow(run, _EDGE), k)
+    return _best(blocks.select("rows").mapInArrow(run, _EDGE).withColumn("fresh", F.lit(True)), k)
 
 
 def _reverse(graph: DataFrame, most: int, seed: int) -> DataFrame:
@@ -141,11 +143,11 @@ def _round(graph: DataFrame, coded: DataFrame, k: int, seed: int) -> DataFrame:
                 ids, x = rows.field("m").to_numpy(), _codes(rows.field("scale"), rows.field("code"))
                 sim = x @ x.T
                 np.fill_diagonal(sim, -np.inf)
-                take = min(OFFERS, len(ids) - 1)
+                # A member keeps k edges, so its k best here are all that can matter.
+                take = min(k, len(ids) - 1)
                 if take < 1:
                     continue
-                # Edges that exist are no gain: only pairs above the worst count,
-                # and each member takes the best of them.
+                # Only pairs above a member's worst neighbour are a gain.
                 sim[sim <= np.asarray(rows.field("worst"), np.float32)[:, None]] = -np.inf
                 at = np.argpartition(-sim, take - 1, axis=1)[:, :take]
                 got = np.take_along_axis(sim, at, axis=1)
@@ -155,16 +157,19 @@ def _round(graph: DataFrame, coded: DataFrame, k: int, seed: int) -> DataFrame:
                 s.append(got[a, j])
             yield _edges(u, v, s)
 
-    offers = hoods.select("rows").mapInArrow(run, _EDGE)
-    return _best(graph.unionByName(offers), k)
+    offers = hoods.select("rows").mapInArrow(run, _EDGE).withColumn("fresh", F.lit(True))
+    return _best(graph.withColumn("fresh", F.lit(False)).unionByName(offers), k)
 
 
-def build_graph(coded: DataFrame, k: int = NEIGHBOURS, rounds: int = ROUNDS) -> DataFrame:
-    """(u, v, s): the ``k`` nearest found for every node."""
+def build_graph(coded: DataFrame, k: int = NEIGHBOURS, delta: float = DELTA) -> DataFrame:
+    """(u, v, s): the ``k`` nearest found for every node, by rounds until at
+    most ``delta`` of the edges are new.  The driver sees two counts a round."""
     graph = common.stored(_first_graph(coded, k), "nn-graph")
-    for r in range(rounds):
+    for r in itertools.count():
         graph = common.stored(_round(graph, coded, k, 2 * r), "nn-graph")
-    return graph
+        edges, fresh = graph.agg(F.count("*"), F.count_if("fresh")).first()
+        if fresh <= delta * edges:
+            return graph.drop("fresh")
 
 
 def _score(pairs: DataFrame, coded: DataFrame, blocks: int) -> DataFrame:
@@ -191,13 +196,17 @@ def _score(pairs: DataFrame, coded: DataFrame, blocks: int) -> DataFrame:
     return asked.groupBy("block").cogroup(held.groupBy("held_block")).applyInArrow(run, _EDGE)
 
 
-def search(queries: DataFrame, graph: DataFrame, coded: DataFrame, blocks: int, beam: int = BEAM, hops: int = HOPS, frontier: int = FRONTIER) -> DataFrame:
-    """(u, v, s): the beam of every query node (column ``u``) after ``hops``
-    greedy steps from its own neighbours."""
+def search(queries: DataFrame, graph: DataFrame, coded: DataFrame, blocks: int, beam: int = BEAM, delta: float = DELTA, frontier: int = FRONTIER) -> DataFrame:
+    """(u, v, s): the beam of every query node (column ``u``) after greedy
+    steps from its own neighbours until at most ``delta`` of all beams is left to
+    expand."""
     around = graph.select(F.col("u").alias("c"), F.col("v").alias("m")).unionByName(_reverse(graph, REVERSE, 99)).distinct()
     around = common.stored(around, "nn-around")
     state = common.stored(graph.join(queries, "u", "left_semi").withColumn("done", F.lit(False)), "nn-beam")
-    for _ in range(hops):
+    while True:
+        rows, left = state.agg(F.count("*"), F.count_if(~F.col("done"))).first()
+        if left <= delta * rows:
+            return state.select("u", "v", "s")
         open_first = Window.partitionBy("u").orderBy("done", F.desc("s"), "v")
         picked = state.withColumn("_n", F.row_number().over(open_first)).withColumn("now", ~F.col("done") & (F.col("_n") <= frontier)).drop("_n")
         picked = common.stored(picked, "nn-picked")
@@ -207,7 +216,6 @@ def search(queries: DataFrame, graph: DataFrame, coded: DataFrame, blocks: int,
         both = picked.select("u", "v", "s", (F.col("done") | F.col("now")).alias("done")).unionByName(scored)
         place = Window.partitionBy("u").orderBy(F.desc("s"), "v")
         state = common.stored(both.withColumn("_n", F.row_number().over(place)).where(F.col("_n") <= beam).drop("_n"), "nn-beam")
-    return state.select("u", "v", "s")
 
 
 def nearest(
@@ -216,8 +224,7 @@ def nearest(
     top: int = 20,
     id_col: str = "vec_id",
     vec_col: str = "embedding",
-    rounds: int = ROUNDS,
-    hops: int = HOPS,
+    delta: float = DELTA,
     beam: int = BEAM,
 ) -> DataFrame:
     """For each id divisible by ``every``, its ``top`` nearest other ids by
@@ -238,9 +245,9 @@ def nearest(
     n = nodes.count()
     centroids = vectors.spherical_kmeans(fit, max(1, min(MOST_CELLS, -(-n // BLOCK))))
     coded = _coded(nodes, centroids if centroids.size else np.zeros((1, 1)))
-    graph = build_graph(coded, max(NEIGHBOURS, top + 2), rounds)
+    graph = build_graph(coded, max(NEIGHBOURS, top + 2), delta)
     asked = common.stored(rows.where(F.col("id") % every == 0).join(nodes.select("vec", "node"), "vec").select(F.col("id").alias("query_id"), F.col("node").alias("u")), "nn-queries")
-    found = search(asked.select("u").distinct(), graph, coded, max(1, -(-n // SEARCH_BLOCK)), max(beam, top + 2), hops).select("u", "v")
+    found = search(asked.select("u").distinct(), graph, coded, max(1, -(-n // SEARCH_BLOCK)), max(beam, top + 2), delta).select("u", "v")
     own = asked.select("u", F.col("u").alias("v")).distinct()
     pairs = found.unionByName(own)
     left = nodes.select(F.col("node").alias("u"), F.col("vec").alias("a"))

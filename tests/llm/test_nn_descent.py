@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow.parquet as pq
 
-from shelfscope.llm import nn_descent, queries
+from shelfscope.llm import nn_descent, queries, vectors
 from tests.conftest import MEDIUM
 
 
@@ -70,3 +70,21 @@ def test_odd_rows(spark):
     assert {q: [(v, s) for _, v, s in sorted(r)] for q, r in got.items()} == want
     assert nn_descent.nearest(df.limit(0)).count() == 0
     assert nn_descent.nearest(df.where("vec_id = 20")).count() == 0
+
+
+def test_descent_goes_on_until_the_graph_settles(spark, monkeypatch):
+    """Vectors without cluster structure, from a poor first graph."""
+    monkeypatch.setattr(nn_descent, "BLOCK", 64)
+    x = np.random.default_rng(4).normal(size=(2500, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    nodes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "node long, vec array<double>")
+    nn_descent.common.ship(spark)
+    coded = nn_descent._coded(nodes, vectors.spherical_kmeans(x, 40))
+    got: dict = {}
+    for r in nn_descent.build_graph(coded, 16).collect():
+        got.setdefault(r.u, set()).add(r.v)
+    sim = x @ x.T
+    np.fill_diagonal(sim, -np.inf)
+    near = np.argsort(-sim, axis=1)[:, :16]
+    share = np.mean([len(got[i] & set(row.tolist())) / 16 for i, row in enumerate(near)])
+    assert share >= 0.9, share
