@@ -20,8 +20,9 @@ def sample_texts(
     ``stratum`` and the label columns.
 
     Only ids outside remainder 0 take part.  Labels that contradict each other
-    for an id count as none; of repeated ids each row is a document.  What is
-    broadcast is the chosen ids, at most the sum of the bounds.
+    for an id count as none; of a repeated id the row whose text has the smallest
+    hash is the document.  So the chosen ids, which are broadcast, and the rows
+    are at most the sum of the bounds.
     """
     one = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(
         *[F.when(F.min(c) == F.max(c), F.min(c)).alias(c) for c in columns]
@@ -33,4 +34,5 @@ def sample_texts(
         part = ids.where(cond).orderBy("_order", "id").limit(most).withColumn("stratum", F.lit(i)).drop("_order")
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "id")
+    first = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    return texts.join(F.broadcast(chosen), "id").groupBy("id", "stratum", *columns).agg(first).select("id", "text", *columns, "stratum")

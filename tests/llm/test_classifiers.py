@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfscope.llm import quality, queries, toxicity
+from shelfscope.llm import labelled, quality, queries, toxicity
 from tests.conftest import MEDIUM
 
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), *[T.StructField(c, T.StringType()) for c in ("text", "score", "stratum", "p_toxic")]])
@@ -101,3 +101,13 @@ def test_odd_rows(spark):
     assert toxicity.score(empty, toxicity.fit(empty, labels)).count() == 0
     twice = labels.unionByName(labels).unionByName(spark.createDataFrame([(None, 1, 1), (7, None, None)], labels.schema))
     assert quality.fit(docs, twice).weights == pytest.approx(q.weights, abs=0.3)
+
+
+def test_a_repeated_id_is_one_row_of_the_sample(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(1, 40)] + [(i, f"copy {j}") for i in (3, 4, 5) for j in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 40)], "doc_id long, quality int")
+    strata = [(F.col("quality") == 1, 10), (F.lit(True), 1000)]
+    got = labelled.sample_texts(docs, labels, ["quality"], strata, "doc_id", "text").collect()
+    ids = {i for i in range(1, 40) if not held(i)}
+    assert sorted(r.id for r in got if r.stratum == 1) == sorted(ids) and len(got) == len(ids) + 10
+    assert {r.quality for r in got if r.stratum == 0} == {1}
