@@ -18,6 +18,7 @@ expressions of the text, so rates are applied without a join.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -90,20 +91,23 @@ def measured(df: DataFrame, text_col: str) -> DataFrame:
     return df.drop("__short", "__len", *[f"__c{i}" for i in range(n + 1)])
 
 
-def fit_domains(labelled: DataFrame, domain_col: str = "domain") -> Domains:
+def fit_domains(labelled: DataFrame, domain_col: str = "domain", weights: Iterable[str] = ()) -> Domains:
     """The classifier from measured rows (``__letters``) with a domain; null
-    domains are left out.  One aggregation, a row per domain."""
+    domains are left out.  One aggregation, a row per domain.  Of more than
+    ``MOST_DOMAINS`` domains those not in ``weights`` become one, ``other``."""
     sums = [F.sum(F.col("__letters")[i]).alias(f"g{i}") for i in range(len(GROUPS) + 1)]
-    rows = (
+    each = (
         labelled.where(F.col(domain_col).isNotNull())
         .groupBy(F.col(domain_col).cast("string").alias("domain"))
         .agg(F.count("*").alias("n"), *sums)
-        .orderBy("domain")
-        .limit(MOST_DOMAINS + 1)
-        .collect()
     )
+    rows = each.orderBy("domain").limit(MOST_DOMAINS + 1).collect()
     if len(rows) > MOST_DOMAINS:
-        raise ValueError(f"more than {MOST_DOMAINS} domains")
+        named, other = sorted(weights), "other"
+        while other in named:
+            other += "_"
+        name = F.when(F.col("domain").isin(named), F.col("domain")).otherwise(other).alias("domain")
+        rows = each.groupBy(name).agg(*[F.sum(c).alias(c) for c in each.columns[1:]]).orderBy("domain").collect()
     docs = sum(r["n"] for r in rows)
     letters = []
     for r in rows:
@@ -185,7 +189,7 @@ def fit(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], id_col:
     tags = labelled.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(
         F.when(F.min(domain_col) == F.max(domain_col), F.min(domain_col)).alias("domain")
     )
-    domains = fit_domains(rows.join(tags, "id"))
+    domains = fit_domains(rows.join(tags, "id"), weights=[n for n, w in weights.items() if w > 0])
     if not domains.names:
         rows = rows.withColumn("p", F.array().cast("array<double>"))
     else:
@@ -205,7 +209,8 @@ def document_rates(
     docs: DataFrame, labelled: DataFrame, weights: dict[str, float], id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain"
 ) -> DataFrame:
     """One row per input row: id, ``n_tokens``, ``p_<domain>`` per labelled
-    domain, ``rate`` (0 or more) and ``copies``.
+    domain, ``rate`` (0 or more) and ``copies``.  Of more than ``MOST_DOMAINS``
+    domains those without weight are one, ``other``.
 
     Null and empty texts have no tokens and the prior as posteriors; null or
     repeated ids keep their rows.  Without labelled domains, or where no

@@ -111,3 +111,15 @@ def test_odd_rows(spark):
     assert {r.rate for r in mixing.document_rates(df, labelled, {"zz": 1.0}).collect()} == {1.0}
     assert mixing.document_rates(df.limit(0), labelled, {"en": 1.0}).count() == 0
     assert mixing.mix(df, labelled.limit(0), {"en": 1.0}).count() == len(rows)
+
+
+def test_many_tags_without_weight_are_one_domain(spark):
+    rows = [(i, "the white whale " * (1 + i % 3), "en") for i in range(6)] + [(10 + i, "año ñandú ó " * (1 + i % 2), "es") for i in range(4)]
+    rows += [(100 + i, "zz kk qq jj " * (1 + i % 4), f"t{i:02}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    tags = df.select("doc_id", F.col("lang").alias("domain"))
+    folded = tags.withColumn("domain", F.when(F.col("domain").startswith("t"), "other").otherwise(F.col("domain")))
+    weights = {"en": 0.5, "es": 0.5}
+    got, want = (mixing.document_rates(df, t, weights) for t in (tags, folded))
+    assert got.columns == ["doc_id", "n_tokens", "p_en", "p_es", "p_other", "rate", "copies"] == want.columns
+    assert sorted(map(tuple, got.collect())) == [pytest.approx(tuple(r)) for r in sorted(want.collect())]
