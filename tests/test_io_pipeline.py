@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shelfscope.operators import clean
 from shelfscope.plans import day as plans
 from shelfscope.plans import views
+from shelfscope.plans.queries import silver_cards
 from shelfscope.sinks import tables
 from shelfscope.sources import fixtures, raw
 from shelfscope.streaming.ingest import start_bronze_stream
@@ -304,3 +305,12 @@ def test_rounding_decides_on_the_value_itself(spark):
 
     df = spark.createDataFrame([(1.0049996,), (2.6749997,), (2.675,), (1e33,)], "x double")
     assert [r.y for r in df.select(round_to("x", 2).alias("y")).collect()] == [1.0, 2.67, 2.68, 1e33]
+
+
+def test_two_appends_of_whole_tables_keep_every_row_twice(spark, tmpdir_path):
+    s, path = silver_cards(spark, SMALL), f"{tmpdir_path}/t"
+    for _ in range(2):
+        tables.write_table(s, path, "append", partition_by=["ingested_at"])
+    got, want = spark.read.parquet(path).select(s.columns), s.unionAll(s)
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
