@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import embedding_dedup, hilbert, mixing, nn_descent, quality, simhash, toxicity, warc
+from . import embedding_dedup, hilbert, mixing, nn_descent, quality, runs, simhash, toxicity, warc
 from .bpe import encode_documents
 from .common import read
 from .token_counts import count_tokens
@@ -68,6 +68,10 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.periodic_runs(read(spark, sf_dir, "documents"), planted=True).drop("n_words")
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_simhash": op2_simhash,
@@ -79,6 +83,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 #: Cosines of all pairs of a label, and smallest reachable ids by recursion.
