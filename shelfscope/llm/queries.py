@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import embedding_dedup, hilbert, mixing, nn_descent, quality, runs, simhash, toxicity, warc
+from . import embedding_dedup, hilbert, mixing, nn_descent, quality, runs, simhash, toxicity, trie, warc
 from .bpe import encode_documents
-from .common import read
+from .common import read, stored
 from .token_counts import count_tokens
 
 #: Target shares of the languages in the mix.
@@ -68,6 +68,11 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = stored(trie.ordered_turns(read(spark, sf_dir, "conversations")), "trie-turns")
+    return trie.prefix_trie(trie.rebuilt(turns))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.periodic_runs(read(spark, sf_dir, "documents"), planted=True).drop("n_words")
 
@@ -83,6 +88,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
