@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import embedding_dedup, hilbert, mixing, nn_descent, quality, runs, simhash, toxicity, trie, warc
+from . import embedding_dedup, hilbert, mixing, nn_descent, prior_factors, quality, runs, simhash, toxicity, trie, warc
 from .bpe import encode_documents
 from .common import read, stored
 from .token_counts import count_tokens
@@ -73,6 +73,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(trie.rebuilt(turns))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prior_factors.remove_repeats(read(spark, sf_dir, "documents"), least=50)
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.periodic_runs(read(spark, sf_dir, "documents"), planted=True).drop("n_words")
 
@@ -89,6 +93,7 @@ QUERIES = {
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_embedding_dedup": op10_embedding_dedup,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_suffix_dedup": op12_suffix_dedup,
     "op13_periodic_runs": op13_periodic_runs,
 }
 

@@ -36,7 +36,8 @@ from pyspark.sql import types as T
 
 from . import common
 
-BUNDLE_ROWS = 50_000
+BUNDLE_ROWS = 1_000
+BATCH_ROWS = 20_000
 IDS = 4_096
 SALTS = 16
 ROOT = bytes(16)
@@ -214,13 +215,13 @@ def peel(rows: list[tuple]) -> list[tuple]:
     return out
 
 
-def _light_nodes(rows: DataFrame, bundle_rows: int) -> DataFrame:
+def _light_nodes(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         bundle = None
         for b in batches:
             for at, *row in zip(*(c.to_pylist() for c in b.columns)):
-                if at != bundle and len(held) >= bundle_rows:
+                if at != bundle and len(held) >= BATCH_ROWS:
                     yield _batch(peel(held), NODES)
                     held = []
                 bundle = at
@@ -260,7 +261,7 @@ def prefix_trie(seq: DataFrame, bundle_rows: int = BUNDLE_ROWS) -> DataFrame:
     flagged = flagged.withColumn("_deep", F.max(F.when(F.col("_h").isNotNull(), F.col("depth"))).over(w)).where("_h is null")
     light = flagged.withColumn("bundle", F.max(F.when(F.col("depth") == F.col("_deep") + 1, F.col("node"))).over(w))
     light = light.withColumn("n_ends", F.when(F.col("ends"), F.col("n_ends")).otherwise(F.lit(0).cast("long")))
-    light = common.stored(_light_nodes(light, bundle_rows), "trie-light")
+    light = common.stored(_light_nodes(light), "trie-light")
 
     # What enters the heavy nodes from outside: conversations that end there
     # and subtrees peeled in tasks.
