@@ -13,18 +13,21 @@ in suffix order, block by block:
   For every suffix the previous and the next entry of a smaller document in
   suffix order hold its longest earlier match; the window is a repeat if either
   shares ``least`` bytes with it.
-* A task first merges equal stretches of its own piece of the table: all but
-  the first document's are repeats at once, and only the first's travels.  Grams
-  that very many documents hold come last in the hash order, so a window that
-  holds anything rarer goes elsewhere.  So a passage that a third of all
-  documents share reaches its block about once per piece.
+* Texts are packed into *pieces* of several MB, one row each.  A piece first
+  tells the blocks which minimizers it holds (48-bit hashes, four bytes each
+  after compression); a block answers with a bit for every one that another
+  piece holds too.  Only stretches whose minimizer is shared travel as text, so
+  what is shuffled beyond that follows the repeats.
+* A piece merges equal stretches of its own: all but the first document's are
+  repeats at once, and only the first's travels.  Grams that very many documents
+  hold come last in the hash order, so a window that holds anything rarer goes
+  elsewhere.  So a passage that a third of all documents share reaches its block
+  about once per piece.
 * A block that holds much text is compared in between and goes on without the
   windows found, as their first holder stays.
-* The windows found are merged to byte ranges per document, which meet the
-  whole texts once.
+* The windows found are merged to byte ranges, which meet the pieces once.
 
-Stretches travel packed and compressed, one row per piece and block.  The
-number of blocks follows the bytes of the table, so a block's size does not.
+The number of blocks follows the bytes of the table, so a block's size does not.
 """
 
 from __future__ import annotations
@@ -35,6 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,14 +46,13 @@ from pyspark.sql import types as T
 from . import common
 
 GRAM = 16
-PIECE_BYTES = 12 << 20
+PIECE_BYTES = 8 << 20
 HASH_BYTES = 1 << 20
-BLOCK_BYTES = 2 << 20  # text bytes per block; its stretches take about four times that
+BLOCK_BYTES = 4 << 20  # text bytes per block
 HELD_BYTES = 48 << 20
 COMMON_BITS = 20
 COMMON_SHARE = 0.005  # a gram in this share of the sampled documents is common
 SAMPLED = 20_000  # expected number of documents that the common grams are taken from
-TOP = np.uint64(1 << 63)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -162,8 +165,8 @@ def repeats(words: np.ndarray, at: np.ndarray, owner: np.ndarray, least: int) ->
 
 
 class Block:
-    """Stretches of one block: text, and per stretch its document, copy, start
-    and length."""
+    """Stretches of one block: text, and per stretch its document's id, piece
+    and row in the piece, and its start and length."""
 
     def __init__(self, least: int, common_grams: np.ndarray):
         self.least, self.common = least, common_grams
@@ -177,10 +180,10 @@ class Block:
         self.size += len(text)
 
     def settle(self) -> np.ndarray:
-        """Ranges (doc, copy, span) of the windows found; the others stay as
+        """Ranges (piece, row, span) of the windows found; the others stay as
         the block's stretches."""
         text = b"".join(self.texts)
-        doc, copy, start, length = np.concatenate(self.facts, axis=1)
+        doc, piece, row, start, length = facts = np.concatenate(self.facts, axis=1)
         begin = np.cumsum(length) - length
         data = np.frombuffer(text, np.uint8)
         # only minimizers that different documents hold
@@ -197,14 +200,15 @@ class Block:
         of = np.repeat(some, counts)
         found = repeats(_eights(data), at, doc[of], self.least)
         hit = at[found] - begin[of[found]]
-        ranges = _ranges(doc[of[found]], copy[of[found]], start[of[found]] + hit, of[found], self.least)
-        self.texts, self.facts, self.size = [text], [np.array([doc, copy, start, length])], len(text)
+        ranges = _ranges(piece[of[found]], row[of[found]], start[of[found]] + hit, of[found], self.least)
+        self.texts, self.facts, self.size = [text], [facts], len(text)
         if found.any():
-            self._keep(data, begin, doc, copy, start, length, at[found])
+            self._keep(data, begin, facts, at[found])
         return ranges
 
-    def _keep(self, data, begin, doc, copy, start, length, gone) -> None:
+    def _keep(self, data: np.ndarray, begin: np.ndarray, facts: np.ndarray, gone: np.ndarray) -> None:
         """Go on with the stretches of windows that were not found."""
+        start, length = facts[3:]
         counts = length - self.least + 1
         at = _starts_and_counts(counts, begin)
         of = np.repeat(np.arange(len(length)), counts)
@@ -220,16 +224,16 @@ class Block:
         o, a = of[heads], at[heads]
         text = data[_starts_and_counts(n, a)].tobytes()
         self.texts, self.size = [text], len(text)
-        self.facts = [np.array([doc[o], copy[o], start[o] + a - begin[o], n])]
+        self.facts = [np.concatenate((facts[:3, o], [start[o] + a - begin[o], n]))]
 
 
-def _ranges(doc: np.ndarray, copy: np.ndarray, at: np.ndarray, of: np.ndarray, least: int) -> np.ndarray:
-    """Neighbouring windows of a stretch as ranges: doc, copy, span."""
+def _ranges(piece: np.ndarray, row: np.ndarray, at: np.ndarray, of: np.ndarray, least: int) -> np.ndarray:
+    """Neighbouring windows of a stretch as ranges: piece, row, span."""
     if not len(at):
         return np.empty((3, 0), np.int64)
     heads = np.flatnonzero(np.concatenate(([True], (of[1:] != of[:-1]) | (at[1:] != at[:-1] + 1))))
     tails = np.concatenate((heads[1:], [len(at)])) - 1
-    return np.array([doc[heads], copy[heads], _span(at[heads], at[tails] + least)])
+    return np.array([piece[heads], row[heads], _span(at[heads], at[tails] + least)])
 
 
 def _span(start, end):
@@ -237,84 +241,141 @@ def _span(start, end):
     return (start << 31) | end
 
 
-# ---------------------------------------------------------------- packing
+# ---------------------------------------------------------------- pieces
 
-RANGES = -1  # block number of rows that hold ranges found within a piece
+FOUND_HERE = -1  # block number of rows that hold ranges found within a piece
 
 
-def pack(doc: np.ndarray, copy: np.ndarray, start: np.ndarray, length: np.ndarray, text: bytes, zip_) -> bytes:
-    head = np.array([len(doc)], "<i8").tobytes()
-    return zip_.compress(
-        head + np.diff(doc, prepend=0).astype("<i8").tobytes() + copy.astype("<i8").tobytes() + start.astype("<u4").tobytes() + length.astype("<u4").tobytes() + text
-    )
+def pack_stretches(doc: np.ndarray, row: np.ndarray, start: np.ndarray, length: np.ndarray, text: bytes, zip_) -> bytes:
+    parts = np.array([len(doc)], "<i8"), np.diff(doc, prepend=0).astype("<i8"), row.astype("<u4"), start.astype("<u4"), length.astype("<u4")
+    return zip_.compress(b"".join(x.tobytes() for x in parts) + text)
 
 
-def unpack(data: bytes, unzip) -> tuple[np.ndarray, bytes]:
+def unpack_stretches(piece: int, data: bytes, unzip) -> tuple[np.ndarray, bytes]:
     raw = unzip.decompress(data)
     m = int(np.frombuffer(raw, "<i8", 1)[0])
     doc = np.cumsum(np.frombuffer(raw, "<i8", m, 8))
-    copy = np.frombuffer(raw, "<i8", m, 8 + 8 * m)
-    start = np.frombuffer(raw, "<u4", m, 8 + 16 * m).astype(np.int64)
-    length = np.frombuffer(raw, "<u4", m, 8 + 20 * m).astype(np.int64)
-    return np.array([doc, copy, start, length]), raw[8 + 24 * m :]
+    row, start, length = np.frombuffer(raw, "<u4", 3 * m, 8 + 8 * m).reshape(3, m).astype(np.int64)
+    return np.array([doc, np.full(m, piece), row, start, length]), raw[8 + 20 * m :]
 
 
-class Piece:
-    """Texts of one task: equal stretches are merged, the rest is packed by
-    block."""
+def pack_hashes(sorted_hashes: np.ndarray, zip_) -> bytes:
+    """Ascending 48-bit numbers: steps between them, byte by byte."""
+    steps = np.diff(sorted_hashes, prepend=np.uint64(0))
+    return zip_.compress(np.ascontiguousarray(steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].T).tobytes())
 
-    def __init__(self, least: int, blocks: int, common_grams: np.ndarray):
-        self.least, self.blocks, self.common = least, blocks, common_grams
-        self.docs: list[tuple[int, int, bytes]] = []
-        self.size = 0
 
-    def add(self, doc: int, copy: int, text: bytes) -> None:
-        self.docs.append((doc, copy, text))
-        self.size += len(text)
+def unpack_hashes(data: bytes, unzip) -> np.ndarray:
+    planes = np.frombuffer(unzip.decompress(data), np.uint8).reshape(6, -1)
+    steps = np.zeros((planes.shape[1], 8), np.uint8)
+    steps[:, :6] = planes.T
+    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
+
+
+def pack_texts(docs: list[tuple[int | None, bytes]]) -> bytes:
+    """Texts with their ids, ascending (without an id last)."""
+    docs = sorted(docs, key=lambda d: (d[0] is None, d[0] or 0))
+    ids = np.array([d or 0 for d, _ in docs], "<i8")
+    null = np.array([d is None for d, _ in docs], np.uint8)
+    length = np.array([len(t) for _, t in docs], "<u4")
+    head = np.array([len(docs)], "<i8")
+    return zstandard.ZstdCompressor(level=3).compress(b"".join([*(x.tobytes() for x in (head, ids, null, length)), *(t for _, t in docs)]))
 
-    def rows(self) -> Iterator[tuple[int, bytes]]:
+
+def unpack_texts(data: bytes) -> list[tuple[int | None, bytes]]:
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    n = int(np.frombuffer(raw, "<i8", 1)[0])
+    ids = np.frombuffer(raw, "<i8", n, 8).tolist()
+    null = np.frombuffer(raw, np.uint8, n, 8 + 8 * n).tolist()
+    ends = np.cumsum(np.frombuffer(raw, "<u4", n, 8 + 9 * n).astype(np.int64)) + 8 + 13 * n
+    starts = [8 + 13 * n, *ends.tolist()]
+    return [(None if x else i, raw[a:b]) for i, x, a, b in zip(ids, null, starts, starts[1:])]
+
+
+class Piece:
+    """The stretches of a piece's texts, and the hashes of their minimizers."""
+
+    def __init__(self, data: bytes, least: int, blocks: int, common_grams: np.ndarray):
+        self.least, self.docs = least, unpack_texts(data)
+        self.rows = [i for i, (d, t) in enumerate(self.docs) if d is not None and len(t) >= least]
+        self.found = [stretches(self.docs[i][1], least, common_grams) for i in self.rows]
+        mins = np.concatenate([m for m, _, _ in self.found]) if self.found else np.empty(0, np.uint64)
+        self.hashes, self.which = np.unique(_mix(mins) >> np.uint64(16), return_inverse=True)
+        self.block = ((self.hashes >> np.uint64(16)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
+
+    def hash_rows(self) -> Iterator[tuple[int, bytes]]:
+        zip_ = zstandard.ZstdCompressor(level=1)
+        for block, a, b in _slices(self.block):
+            yield block, pack_hashes(self.hashes[a:b], zip_)
+
+    def shared(self, answers: list[tuple[int, bytes]]) -> np.ndarray:
+        """Which of the hashes another piece or two ids of this one hold."""
+        doc = np.repeat([self.docs[i][0] for i in self.rows], [len(m) for m, _, _ in self.found])
+        low, high = np.zeros((2, len(self.hashes)), np.int64)
+        high[self.which] = doc  # ids ascend, so the last one stays
+        low[self.which[::-1]] = doc[::-1]
+        flag = low != high
+        for block, bits in answers:
+            a, b = np.searchsorted(self.block, [block, block + 1])
+            flag[a:b] |= np.unpackbits(np.frombuffer(bits, np.uint8), count=b - a).astype(bool)
+        return flag
+
+    def stretch_rows(self, answers: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
+        shared = self.shared(answers)[self.which]
+        zip_ = zstandard.ZstdCompressor(level=3)
         seen: dict[bytes, int] = {}
-        blocks, docs, copies, starts, texts = [], [], [], [], []
-        found: list[tuple[int, int, int]] = []
-        for doc, copy, text in sorted(self.docs, key=lambda d: d[0]):
-            mins, first, last = stretches(text, self.least, self.common)
+        blocks, docs, rows, starts, texts = [], [], [], [], []
+        ranges: list[tuple[int, int]] = []
+        done = 0
+        for row, (mins, first, last) in zip(self.rows, self.found):
+            doc, text = self.docs[row]
+            mine = np.flatnonzero(shared[done : done + len(mins)])
+            number = self.block[self.which[done : done + len(mins)][mine]]
+            done += len(mins)
             n, at, end = len(texts), None, None
-            for block, a, b in zip((mins % np.uint64(self.blocks)).tolist(), first.tolist(), (last + self.least).tolist()):
+            for block, a, b in zip(number.tolist(), first[mine].tolist(), (last[mine] + self.least).tolist()):
                 s = text[a:b]
-                if seen.setdefault(s, doc) < doc:
-                    if at is not None and a <= end:
-                        end = b
-                    else:
-                        if at is not None:
-                            found.append((doc, copy, _span(at, end)))
-                        at, end = a, b
-                else:
+                if seen.setdefault(s, doc) >= doc:
                     blocks.append(block)
                     starts.append(a)
                     texts.append(s)
+                elif at is not None and a <= end:
+                    end = b
+                else:
+                    if at is not None:
+                        ranges.append((row, _span(at, end)))
+                    at, end = a, b
             if at is not None:
-                found.append((doc, copy, _span(at, end)))
+                ranges.append((row, _span(at, end)))
             docs += [doc] * (len(texts) - n)
-            copies += [copy] * (len(texts) - n)
-        self.docs, self.size = [], 0
-        zip_ = zstandard.ZstdCompressor(level=3)
-        if found:
-            yield RANGES, zip_.compress(np.array(found, "<i8").tobytes())
-        block = np.array(blocks, np.int64)
-        order = np.argsort(block, kind="stable")
-        doc, copy, start = (np.array(x, np.int64)[order] for x in (docs, copies, starts))
+            rows += [row] * (len(texts) - n)
+        if ranges:
+            yield FOUND_HERE, zip_.compress(np.array(ranges, "<i8").tobytes())
+        order = np.argsort(np.array(blocks, np.int64), kind="stable")
+        block, doc, row, start = (np.array(x, np.int64)[order] for x in (blocks, docs, rows, starts))
         texts = [texts[i] for i in order]
         length = np.fromiter(map(len, texts), np.int64, len(texts))
-        block = block[order]
-        heads = np.flatnonzero(np.diff(block, prepend=-1)).tolist()
-        for a, b in zip(heads, [*heads[1:], len(texts)]):
-            yield int(block[a]), pack(doc[a:b], copy[a:b], start[a:b], length[a:b], b"".join(texts[a:b]), zip_)
+        for number, a, b in _slices(block):
+            yield number, pack_stretches(doc[a:b], row[a:b], start[a:b], length[a:b], b"".join(texts[a:b]), zip_)
+
+
+def _slices(x: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(value, start, end) of the runs of equal values."""
+    heads = np.flatnonzero(np.diff(x, prepend=-1)).tolist()
+    for a, b in zip(heads, [*heads[1:], len(x)]):
+        yield int(x[a]), a, b
 
 
 # ---------------------------------------------------------------- on Spark
 
-PACKED = T.StructType([T.StructField("block", T.LongType()), T.StructField("data", T.BinaryType())])
-FOUND = T.StructType([T.StructField(c, T.LongType()) for c in ("doc", "copy", "span")])
+LONG, BYTES = T.LongType(), T.BinaryType()
+TEXTS = T.StructType([T.StructField("piece", LONG), T.StructField("texts", BYTES)])
+PACKED = T.StructType([T.StructField("piece", LONG), T.StructField("block", LONG), T.StructField("data", BYTES)])
+FOUND = T.StructType([T.StructField(c, LONG) for c in ("piece", "row", "span")])
+
+
+def _arrow(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if isinstance(c[0], bytes) else pa.int64()) for c in zip(*rows)], names=names)
 
 
 def _common_grams(texts: DataFrame, least: int, n_docs: int) -> np.ndarray:
@@ -339,53 +400,104 @@ def _common_grams(texts: DataFrame, least: int, n_docs: int) -> np.ndarray:
     return table
 
 
-def _pieces(texts: DataFrame, least: int, blocks: int, table) -> DataFrame:
+def _pieces(docs: DataFrame) -> DataFrame:
+    """Texts packed as they lie in the table: piece number, packed texts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = Piece(least, blocks, table.value)
+        base, n, held, size = TaskContext.get().partitionId() << 32, 0, [], 0
+        for b in batches:
+            for doc, t in zip(b.column(0).to_pylist(), b.column(1)):
+                text = t.as_buffer().to_pybytes()
+                held.append((doc, text))
+                size += len(text) + 16
+                if size >= PIECE_BYTES:
+                    yield _arrow([(base + n, pack_texts(held))], TEXTS.names)
+                    n, held, size = n + 1, [], 0
+        if held:
+            yield _arrow([(base + n, pack_texts(held))], TEXTS.names)
+
+    return docs.select("doc", "text").mapInArrow(run, TEXTS)
 
-        def batch() -> pa.RecordBatch:
-            keys, data = zip(*piece.rows())
-            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(data, pa.binary())], names=["block", "data"])
 
+def _answers(pieces: DataFrame, least: int, blocks: int, table) -> DataFrame:
+    """Per piece and block with shared minimizers: a bit for each of the
+    piece's hashes there, in ascending order."""
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for doc, copy, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                text = t.as_buffer().to_pybytes()
-                if len(text) >= least:
-                    piece.add(doc, copy, text)
-                if piece.size >= PIECE_BYTES:
-                    yield batch()
-        if piece.docs:
-            yield batch()
+            for number, data in zip(b.column(0).to_pylist(), b.column(1)):
+                rows = [(number, *r) for r in Piece(data.as_py(), least, blocks, table.value).hash_rows()]
+                if rows:
+                    yield _arrow(rows, PACKED.names)
+
+    def answer(block: int, held: list[tuple[int, np.ndarray]]) -> list[tuple]:
+        every = np.sort(np.concatenate([h for _, h in held]))
+        twice = np.unique(every[1:][every[1:] == every[:-1]])
+        out = []
+        for piece, h in held:
+            if len(twice):
+                i = np.minimum(np.searchsorted(twice, h), len(twice) - 1)
+                bits = twice[i] == h
+                if bits.any():
+                    out.append((piece, block, np.packbits(bits).tobytes()))
+        return out
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unzip, at, held = zstandard.ZstdDecompressor(), None, []
+        for b in batches:
+            rows = []
+            for piece, block, data in zip(*(c.to_pylist() for c in b.columns)):
+                if block != at:
+                    rows += answer(at, held) if held else []
+                    at, held = block, []
+                held.append((piece, unpack_hashes(data, unzip)))
+            if rows:
+                yield _arrow(rows, PACKED.names)
+        rows = answer(at, held) if held else []
+        if rows:
+            yield _arrow(rows, PACKED.names)
 
-    return texts.select("doc", "copy", "text").mapInArrow(run, PACKED)
+    sent = pieces.mapInArrow(hashes, PACKED)
+    return sent.repartition("block").sortWithinPartitions("block").mapInArrow(compare, PACKED)
 
 
-def _found(packed: DataFrame, least: int, table) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unzip = zstandard.ZstdDecompressor()
-        block, at = None, None
+def _found(pieces: DataFrame, answers: DataFrame, least: int, blocks: int, table) -> DataFrame:
+    """Ranges of repeats: piece, row in the piece, span."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for number, data, told in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
+                piece = Piece(data.as_py(), least, blocks, table.value)
+                rows = [(number, *r) for r in piece.stretch_rows([(x["block"], x["data"]) for x in told or []])]
+                if rows:
+                    yield _arrow(rows, PACKED.names)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unzip, block, at = zstandard.ZstdDecompressor(), None, None
 
         def batch(ranges: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(x) for x in ranges], names=FOUND.names)
 
         for b in batches:
-            for number, data in zip(b.column(0).to_pylist(), b.column(1)):
-                data = data.as_py()
-                if number < 0:
-                    yield batch(np.frombuffer(unzip.decompress(data), "<i8").reshape(-1, 3).T)
+            for piece, number, data in zip(*(c.to_pylist() for c in b.columns)):
+                if number == FOUND_HERE:
+                    row, span = np.frombuffer(unzip.decompress(data), "<i8").reshape(-1, 2).T
+                    yield batch(np.array([np.full(len(row), piece), row, span]))
                     continue
                 if number != at or block.size >= HELD_BYTES:
                     if block and block.texts:
                         yield batch(block.settle())
                     if number != at:
                         block, at = Block(least, table.value), number
-                block.add(*unpack(data, unzip))
+                block.add(*unpack_stretches(piece, data, unzip))
         if block and block.texts:
             yield batch(block.settle())
 
-    # ranges found in pieces pass through, dealt by their content
-    deal = F.when(F.col("block") < 0, F.xxhash64("data")).otherwise(F.col("block"))
-    return packed.repartition(deal).sortWithinPartitions("block").mapInArrow(run, FOUND)
+    told = answers.groupBy("piece").agg(F.collect_list(F.struct("block", "data")).alias("told"))  # a bit per hash of the piece
+    packed = pieces.join(told, "piece", "left").select("piece", "texts", "told").mapInArrow(send, PACKED)
+    # ranges found in pieces pass through, dealt by piece
+    deal = F.when(F.col("block") < 0, F.xxhash64("piece")).otherwise(F.col("block"))
+    return packed.repartition(deal).sortWithinPartitions("block").mapInArrow(compare, FOUND)
 
 
 def _cut(text: bytes, spans: list[int]) -> tuple[int, int, bytes]:
@@ -416,44 +528,39 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Null texts count as empty.  Rows of one id are no earlier than each other
     and are judged each by its own text; rows without an id keep all and make
     nothing a repeat.  An empty table gives no rows; other columns are not read.
-    ``least`` is at least ``GRAM``.
+    ``least`` is at least ``GRAM``; ids are of an integer type.
     """
-    if least < GRAM:
-        raise ValueError(f"least must be at least {GRAM}")
+    kind = common.id_type(df, id_col)
+    if least < GRAM or not isinstance(kind, T.IntegralType):
+        raise ValueError(f"least must be at least {GRAM} and {id_col} of an integer type")
     spark = df.sparkSession
     common.ship(spark)
-    docs = df.select(df[id_col].alias("id"), df[id_col].cast("long").alias("doc"), F.coalesce(df[text_col].cast("string"), F.lit("")).alias("text"))
-    often = docs.where("doc is not null").groupBy("doc").count().where("count > 1").select(F.col("doc").alias("_again"))
-    if often.isEmpty():
-        docs = docs.withColumn("copy", F.lit(0).cast("long"))
-    else:  # texts of one id are told apart by their hash
-        again = F.when(F.col("_again").isNotNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
-        docs = docs.join(often, docs["doc"] == often["_again"], "left").withColumn("copy", again).drop("_again")
+    docs = df.select(df[id_col].cast("long").alias("doc"), F.coalesce(df[text_col].cast("string"), F.lit("")).alias("text"))
     size = docs.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
-    named = docs.where("doc is not null")
-    table = spark.sparkContext.broadcast(_common_grams(named, least, size["n"]))
+    table = spark.sparkContext.broadcast(_common_grams(docs, least, size["n"]))
     blocks = 1 + (size["bytes"] or 0) // BLOCK_BYTES
-    found = _found(_pieces(named, least, blocks, table), least, table)
-    spans = found.groupBy(F.col("doc").alias("_doc"), F.col("copy").alias("_copy")).agg(F.collect_set("span").alias("spans"))
-    joined = docs.join(spans, (docs["doc"] == spans["_doc"]) & (docs["copy"] == spans["_copy"]), "left")
-
-    fields = [
-        T.StructField("id", common.id_type(df, id_col)), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
-        T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType()),
-    ]
+    pieces = common.stored(_pieces(docs), "repeat-pieces")
+    found = _found(pieces, _answers(pieces, least, blocks, table), least, blocks, table)
+    spans = found.groupBy("piece").agg(F.collect_list(F.struct("row", "span")).alias("spans"))  # of one piece's texts
+
+    fields = [T.StructField("id", LONG), T.StructField("n_bytes", LONG), T.StructField("n_removed", LONG), T.StructField("n_spans", LONG)]
+    fields.append(T.StructField("kept_sha256", T.StringType()))
     if with_text:
-        fields.append(T.StructField("kept", T.BinaryType()))
+        fields.append(T.StructField("kept", BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for t, s in zip(b.column(1), b.column(2).to_pylist()):
-                text = t.as_buffer().to_pybytes()
-                gone, n, kept = _cut(text, s) if s else (0, 0, text)
-                rows.append((len(text), gone, n, hashlib.sha256(kept).hexdigest(), kept))
-            if not rows:
-                continue
-            cols = [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()))]
-            yield pa.RecordBatch.from_arrays([b.column(0), *cols][: len(fields)], names=[f.name for f in fields])
-
-    return joined.select("id", "text", "spans").mapInArrow(run, T.StructType(fields)).withColumnRenamed("id", id_col)
+            for data, told in zip(b.column(0), b.column(1).to_pylist()):
+                gone: dict[int, list[int]] = {}
+                for x in told or []:
+                    gone.setdefault(x["row"], []).append(x["span"])
+                rows = []
+                for i, (doc, text) in enumerate(unpack_texts(data.as_py())):
+                    n, runs, kept = _cut(text, gone[i]) if i in gone else (0, 0, text)
+                    rows.append((doc, len(text), n, runs, hashlib.sha256(kept).hexdigest(), kept))
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+                cols = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)][: len(fields)]
+                yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in fields])
+
+    out = pieces.join(spans, "piece", "left").select("texts", "spans").mapInArrow(run, T.StructType(fields))
+    return out.withColumn("id", F.col("id").cast(kind)).withColumnRenamed("id", id_col)
