@@ -125,7 +125,7 @@ def suffix_order(words: np.ndarray, at: np.ndarray, owner: np.ndarray, least: in
         if not len(index):
             break
         key = words[at[index] + depth].byteswap()
-        order = np.argsort(key, kind="stable") if depth == 0 else np.lexsort((key, group))
+        order = np.argsort(key) if depth == 0 else np.lexsort((key, group))
         index, group, key = index[order], group[order], key[order]
         new = np.concatenate(([True], (group[1:] != group[:-1]) | (key[1:] != key[:-1])))
         heads = np.flatnonzero(new)
@@ -182,10 +182,9 @@ class Block:
     def settle(self) -> np.ndarray:
         """Ranges (piece, row, span) of the windows found; the others stay as
         the block's stretches."""
-        text = b"".join(self.texts)
-        doc, piece, row, start, length = facts = np.concatenate(self.facts, axis=1)
+        data, facts, equal = self._merge()
+        doc, piece, row, start, length = facts
         begin = np.cumsum(length) - length
-        data = np.frombuffer(text, np.uint8)
         # only minimizers that different documents hold
         h = gram_hashes(data, self.common)
         inner = length - GRAM + 1
@@ -201,10 +200,24 @@ class Block:
         found = repeats(_eights(data), at, doc[of], self.least)
         hit = at[found] - begin[of[found]]
         ranges = _ranges(piece[of[found]], row[of[found]], start[of[found]] + hit, of[found], self.least)
-        self.texts, self.facts, self.size = [text], [facts], len(text)
+        self.texts, self.facts, self.size = [data.tobytes()], [facts], len(data)
         if found.any():
             self._keep(data, begin, facts, at[found])
-        return ranges
+        return np.concatenate((equal, ranges), axis=1)
+
+    def _merge(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text and facts of the stretches without those that equal one of a
+        smaller document, and these as ranges."""
+        text, facts = b"".join(self.texts), np.concatenate(self.facts, axis=1)
+        doc, piece, row, start, length = facts
+        ends = np.cumsum(length)
+        order = np.argsort(doc, kind="stable")
+        seen: dict[bytes, int] = {}
+        gone = np.zeros(len(doc), bool)
+        gone[order] = [seen.setdefault(text[a:b], d) < d for d, a, b in zip(doc[order].tolist(), (ends - length)[order].tolist(), ends[order].tolist())]
+        equal = np.array([piece[gone], row[gone], _span(start[gone], (start + length)[gone])])
+        facts, stay = facts[:, ~gone], np.repeat(~gone, length)
+        return np.frombuffer(text, np.uint8)[stay], facts, equal
 
     def _keep(self, data: np.ndarray, begin: np.ndarray, facts: np.ndarray, gone: np.ndarray) -> None:
         """Go on with the stretches of windows that were not found."""
