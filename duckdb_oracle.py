@@ -236,6 +236,7 @@ listings_typed AS (
     n_sizes AS size_count,
     n_colors AS color_count,
     CASE WHEN n_images > 0 THEN 'https://img.example/' || asin || '_2.jpg' END AS main_image_url,
+    array_to_string(list_transform(range(2, 2 + n_images), lambda i: 'https://img.example/' || asin || '_' || CAST(i AS VARCHAR) || '.jpg'), '|') AS all_image_urls,
     n_images AS image_count,
     coalesce(CAST(star5 AS DOUBLE), 0.0) AS rating_pct_5,
     coalesce(CAST(star4 AS DOUBLE), 0.0) AS rating_pct_4,
@@ -346,8 +347,18 @@ brand_mart AS (
 
 LISTING_SCALARS = "* EXCLUDE (best_seller_ranks)"
 
+# The same listings as quarterly loads, and without the middle quarter.
+QUARTER = "date_trunc('quarter', CAST(ingested_at AS DATE))"
+QUARTER_LISTINGS = LISTINGS.replace("listings AS (", "day_listings AS (", 1) + f"""
+, quarter_listings AS (SELECT * REPLACE (strftime({QUARTER}, '%Y-%m-%d') AS ingested_at) FROM day_listings)
+, quarters AS (SELECT list_sort(list(DISTINCT ingested_at)) AS m FROM quarter_listings)"""
+ALL_QUARTERS = QUARTER_LISTINGS + "\n, listings AS (SELECT * FROM quarter_listings)"
+QUARTER_GONE = QUARTER_LISTINGS + "\n, listings AS (SELECT l.* FROM quarter_listings l, quarters WHERE l.ingested_at <> m[len(m) // 2 + 1])"
+
 SQL["silver_listings"] = with_(*LISTING_CHAIN) + f"SELECT {LISTING_SCALARS} FROM silver_listings"
 SQL["scd2_rebuild"] = with_(*DIM_CHAIN) + "SELECT * FROM dim"
+SQL["dim_persisted_load"] = with_(ALL_QUARTERS, *DIM_CHAIN[1:]) + "SELECT * FROM dim"
+SQL["rebuild_after_change"] = with_(QUARTER_GONE, *DIM_CHAIN[1:], PERFORMANCE, FACT_PERFORMANCE) + "SELECT * FROM fact_performance"
 SQL["fact_product_performance"] = with_(*DIM_CHAIN, PERFORMANCE, FACT_PERFORMANCE) + "SELECT * FROM fact_performance"
 SQL["mart_brand_competitive"] = with_(*DIM_CHAIN, PERFORMANCE, FACT_PERFORMANCE, BRAND_MART) + "SELECT * FROM brand_mart"
 
@@ -615,3 +626,35 @@ SQL["replace_partition_rerun"] = SQL["silver_cards"]
 SQL["bronze_stream_roundtrip"] = with_(CARDS) + "SELECT * EXCLUDE (source_file, ingested_at), CAST(ingested_at AS DATE) AS ingested_at FROM cards"
 
 SQL["write_modes"] = with_(*CARD_CHAIN) + "SELECT * FROM silver_cards WHERE marketplace = 'US'"
+
+# Detail files: a product's line number is its number of sizes.
+SQL["ingest_details"] = with_(LISTINGS) + """
+SELECT asin, title, brand, category, dimensions, weight, date_first_available, parent_asin, variation_count, stock_status, buybox_seller, is_fba,
+       marketplace, ingested_at[1:4] || '-01-01T00:00:00' AS source_extracted_at, ingested_at[1:4] || '-01-01' AS ingested_at,
+       CAST(star5 AS DOUBLE) + CASE WHEN n_sizes % 3 = 0 THEN 0.5 ELSE 0 END AS star5, CAST(star4 AS DOUBLE) AS star4,
+       CAST(star3 AS DOUBLE) AS star3, CAST(NULL AS DOUBLE) AS star2, CAST(star1 AS DOUBLE) AS star1,
+       best_seller_rank[1] AS first_rank, CAST(len(best_seller_rank) AS INTEGER) AS n_ranks, CAST(n_sizes AS INTEGER) AS n_sizes,
+       CAST(n_images AS INTEGER) AS n_images, categories[-1] AS leaf, len(categories)::BIGINT AS depth
+FROM listings"""
+
+SQL["quarantine"] = with_(LISTINGS) + """
+, l AS (
+  SELECT make_date(CAST(ingested_at[1:4] AS INTEGER), 1, 1) AS ingested_at, marketplace, n_sizes,
+         CAST(regexp_extract(source_file, 'details_([0-9]+)_', 1) AS BIGINT) AS o
+  FROM listings
+), f AS (SELECT *, o // 4096 AS file, (o // 4096 + year(ingested_at)) % 5 = 4 AS cut FROM l)
+, r AS (
+  SELECT ingested_at, CASE WHEN n_sizes = 7 AND o % 5 = 0 THEN 'not an object' ELSE 'kept' END AS reason, count(*) AS rows
+  FROM f WHERE NOT cut GROUP BY ALL
+  UNION ALL
+  SELECT ingested_at, 'not json', count(DISTINCT (file, marketplace)) FROM f WHERE cut GROUP BY ALL
+)
+SELECT * FROM r UNION ALL SELECT CAST(NULL AS DATE), 'read', CAST(sum(rows) AS BIGINT) FROM r"""
+
+SQL["ingest_discovered"] = """
+SELECT event_id AS id, CAST(NULL AS VARCHAR) AS never,
+       CASE event_id % 3 WHEN 0 THEN floor(value) WHEN 1 THEN value END AS amount,
+       CASE event_id % 3 WHEN 0 THEN CAST(user_id AS VARCHAR) WHEN 1 THEN 'u' || CAST(user_id AS VARCHAR) END AS who,
+       CASE WHEN event_id % 3 = 2 THEN event_type END AS kind, CASE WHEN event_id % 3 = 2 THEN event_type || '|x' END AS tags,
+       CAST(event_id % 3 AS VARCHAR) AS shape, strftime(date_trunc('month', ts), '%Y-%m-%d') AS ingested_at
+FROM events"""

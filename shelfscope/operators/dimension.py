@@ -113,47 +113,38 @@ def scd2_apply(
     sk: str = "product_sk",
     update_untracked: bool = False,
 ) -> DataFrame:
-    """DM-04 + DM-05: the dimension after loading one day.
+    """DM-04 + DM-05 (JN-05): the dimension after loading one day.
 
     Current rows whose hash differs from today's are closed (expiry = day-1,
     not current); changed and new keys get a version starting today; keys
     absent today stay current.  With ``update_untracked`` an unchanged current
     row takes today's untracked attributes in place (Type-1 behaviour).
-    Returns the full new state (history + current).
+    Returns the full new state (closed rows of ``dim`` as they are, then the
+    rest).
+
+    One full outer join on the key meets each side once and gives one row per
+    key; a changed key then yields its closed and its new version.
     """
     keys = list(keys)
-    d = F.lit(str(run_date)).cast("date")
     cols = dim.columns
-    inc = incoming.select(*keys, F.col("_attr_hash").alias("_in_hash"))
-    cur = dim.filter(F.col("is_current"))
-    hist = dim.filter(~F.col("is_current"))
-    j = cur.join(inc, keys, "left")
-    changed = F.col("_in_hash").isNotNull() & (F.col("_in_hash") != F.col("_attr_hash"))
-    cur2 = j.select(
-        *[
-            F.when(changed, F.date_sub(d, 1)).otherwise(F.col(c)).alias(c)
-            if c == "expiry_date"
-            else F.when(changed, F.lit(False)).otherwise(F.col(c)).alias(c)
-            if c == "is_current"
-            else F.col(c)
-            for c in cols
-        ]
-    )
+    d = F.lit(str(run_date)).cast("date")
+    today = incoming.withColumn(sk, surrogate_key(keys))
+    held = dim.where(F.col("is_current")).select(F.struct(*cols).alias("_old"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    came = today.select(F.struct(*cols).alias("_new"), *[F.col(k).alias(f"_n{i}") for i, k in enumerate(keys)])
+    both = held.join(came, [F.col(f"_k{i}") == F.col(f"_n{i}") for i in range(len(keys))], "full")
+    old, new = F.col("_old"), F.col("_new")
+    same = old.isNotNull() & new.isNotNull() & old["_attr_hash"].eqNullSafe(new["_attr_hash"])
+    changed = old.isNotNull() & new.isNotNull() & ~same
+    kept = old
     if update_untracked:
-        untracked = [c for c in incoming.columns if c in cols and c not in keys and c not in (*VERSION_COLS, "_attr_hash", sk)]
-        upd = incoming.select(*keys, "_attr_hash", *[F.col(c).alias(f"_u_{c}") for c in untracked])
-        cur2 = cur2.join(upd.withColumnRenamed("_attr_hash", "_u_hash"), keys, "left").select(
-            *[
-                F.when(F.col("is_current") & (F.col("_u_hash") == F.col("_attr_hash")), F.col(f"_u_{c}")).otherwise(F.col(c)).alias(c)
-                if c in untracked
-                else F.col(c)
-                for c in cols
-            ]
-        )
-    still_current = cur2.filter(F.col("is_current")).select(*keys)
-    new_rows = new_or_changed(incoming, still_current, keys)
-    new_rows = new_rows.withColumn(sk, surrogate_key(keys)).select(*cols)
-    return hist.unionByName(cur2).unionByName(new_rows)
+        fixed = {*keys, *VERSION_COLS, "_attr_hash", sk}
+        taken = F.struct(*[(old if c in fixed else new)[c].alias(c) for c in cols])
+        kept = F.when(same, taken).otherwise(old)
+    ends = {"expiry_date": F.date_sub(d, 1), "is_current": F.lit(False)}
+    closed = F.struct(*[ends.get(c, old[c]).alias(c) for c in cols])
+    rows = F.when(changed, F.array(closed, new)).when(old.isNull(), F.array(new)).otherwise(F.array(kept))
+    loaded = both.select(F.explode(rows).alias("_v")).select(*[F.col(f"_v.{c}").alias(c) for c in cols])
+    return dim.where(~F.col("is_current")).unionByName(loaded)
 
 
 def scd2_first_run(incoming: DataFrame, keys: Sequence[str] = PRODUCT_KEYS, sk: str = "product_sk") -> DataFrame:

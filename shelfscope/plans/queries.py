@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from shelfscope.functions import parse
 from shelfscope.operators import analytics, clean, dimension, facts, marts, quality, topk
 from shelfscope.plans import views
+from shelfscope.plans.day import Lake, rebuild, run_bronze
 from shelfscope.session import apply_defaults, materialize, shared_dir
 from shelfscope.sinks import tables
 from shelfscope.sources import fixtures, raw
@@ -71,8 +72,9 @@ def product_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("silver_listings")
 def q_silver_listings(spark, sf_dir):
-    """PL-03: PR-07..18, WN-02 (ranks are covered by listing_ranks)."""
-    return silver_listings(spark, sf_dir).drop("best_seller_ranks", "all_image_urls")
+    """PL-03: PR-07..18, WN-02; image URLs as one text (ranks: listing_ranks)."""
+    s = silver_listings(spark, sf_dir).drop("best_seller_ranks")
+    return s.withColumn("all_image_urls", F.array_join("all_image_urls", "|"))
 
 
 @register("scd2_rebuild")
@@ -225,6 +227,61 @@ def q_scd2_apply_last_day(spark, sf_dir):
     return dimension.scd2_apply(before, incoming, last)
 
 
+def quarterly(raw_rows: DataFrame) -> DataFrame:
+    """The same scrapes as quarterly loads: every row is ingested on the first
+    day of its quarter."""
+    return raw_rows.withColumn("ingested_at", F.date_format(F.trunc(F.to_date("ingested_at"), "quarter"), "yyyy-MM-dd"))
+
+
+@register("dim_persisted_load")
+def q_dim_persisted_load(spark, sf_dir):
+    """PL-04, SK-03..05, DM-04..06: the stored dimension through a first
+    generation with wrong titles, a load cut off before its commit, a rebuild, a
+    day loaded twice (first with wrong titles) and another cut-off load; what is
+    read back is the history of right rows."""
+    path = shared_dir(spark, "dim")
+    snaps = materialize(spark, dimension.product_snapshots(clean.clean_listings(quarterly(fixtures.raw_listings(spark, sf_dir)), audit_col=None)))
+    wrong = snaps.withColumn("title", F.concat(F.lit("wrong "), "title"))
+    days = [r[0] for r in snaps.select("ingested_at").distinct().orderBy("ingested_at").collect()]
+
+    def on(rows, day):
+        return dimension.shape_incoming(rows.where(F.col("ingested_at") == F.lit(day)), day)
+
+    def cut_off(day):
+        state = tables.dim_state(spark, path)
+        loaded = dimension.scd2_apply(tables.read_dimension(spark, path, current_only=True), on(wrong, day), day)
+        tables.stage_load(loaded, path, state.generation, state.last_load + 1)
+
+    before = F.col("ingested_at") < F.lit(days[-2])
+    tables.write_dimension(dimension.scd2_rebuild(wrong.where(before)), path)
+    cut_off(days[-2])
+    tables.write_dimension(dimension.scd2_rebuild(snaps.where(before)), path, days[-3])
+    for rows, day in ((wrong, days[-2]), (snaps, days[-2])):
+        tables.scd2_load_day(spark, path, on(rows, day), day)
+    cut_off(days[-1])
+    tables.scd2_load_day(spark, path, on(snaps, days[-1]), days[-1])
+    return tables.read_dimension(spark, path)
+
+
+@register("rebuild_after_change")
+def q_rebuild_after_change(spark, sf_dir):
+    """PL-10: a lake rebuilt from its whole bronze history, and again after the
+    middle quarter of listings is gone: no table keeps it, versions that
+    ended there end later.  Returns the performance fact of the second
+    generation, keyed as-of by its dimension."""
+    lake = Lake(shared_dir(spark, "raw"), shared_dir(spark, "lake"))
+    sources = {"search_results": fixtures.raw_cards(spark, sf_dir), "product_details": fixtures.raw_listings(spark, sf_dir)}
+    for name, rows in sources.items():
+        rows = quarterly(rows).withColumn("ingested_at", F.col("ingested_at").cast("date"))
+        tables.replace_partitions(rows, lake.path("bronze", name), whole=True)
+    rebuild(spark, lake)
+    listings = lake.path("bronze", "product_details")
+    quarters = [r[0] for r in spark.read.parquet(listings).select("ingested_at").distinct().orderBy("ingested_at").collect()]
+    tables.delete_folder(spark, f"{listings}/ingested_at={quarters[len(quarters) // 2]}")
+    rebuild(spark, lake)
+    return spark.read.parquet(lake.at(spark).path("gold", "fact_product_performance")).drop("gold_processed_at")
+
+
 @register("new_keys")
 def q_new_keys(spark, sf_dir):
     """JN-04: card keys present on a day but absent the day before."""
@@ -404,10 +461,104 @@ def q_bronze_roundtrip(spark, sf_dir):
     folder, read back by the raw ingest (all days at once)."""
     root = shared_dir(spark, "raw")
     raw.write_card_envelopes(fixtures.raw_cards(spark, sf_dir), root)
-    rows, _bad = raw.ingest(spark, root, "search", raw.CARD_ENVELOPE, raw.CARD_LIFT, layout="{root}/{source}/d={date}", multi_line=False)
+    rows, _bad = raw.ingest(spark, root, "search", raw.CARD_RECORD, raw.CARD_LIFT, layout="{root}/{source}/d={date}", multi_line=False)
     return rows.drop("source_file")
 
 
+RAW_FILES = "{root}/{source}/d={date}/*.txt"
+
+
+def listing_files(spark, sf_dir, root: str, faults: bool) -> None:
+    """Every listing in multi-line detail files, one file per year and range of
+    4096 order keys, with values of other types than their columns: star shares
+    as fractions and texts, counts and flags as texts, a single rank without its
+    list.  With ``faults`` some products are no objects and every fifth file ends
+    in the middle."""
+    li = fixtures.raw_listings(spark, sf_dir)
+    line = F.size("available_dimensions.size_name")
+    order = F.regexp_extract("source_file", r"details_(\d+)_", 1).cast("long")
+    five = F.col("rating_overview")["5"]
+    share = F.when(line % 3 == 0, (five + 0.5).cast("string")).when(line % 3 == 1, F.concat(F.lit('"'), five, F.lit('"'))).otherwise(five.cast("string"))
+    rest = F.to_json(F.col("rating_overview").dropFields("`5`"))
+    stars = F.concat(F.lit('{"5": '), share, F.lit(", "), F.substring(rest, 2, 200))
+    count = F.when(line % 2 == 0, F.concat(F.lit('"'), "variation_count", F.lit('"'))).otherwise(F.col("variation_count").cast("string"))
+    rank = F.when(line == 1, F.to_json(F.struct(F.get("best_seller_rank", F.lit(0)).alias("best_seller_rank")))).otherwise(F.to_json(F.struct("best_seller_rank")))
+    plain = [c for c in li.columns if c not in ("rating_overview", "variation_count", "best_seller_rank", "is_fba", "marketplace", "source_extracted_at", "ingested_at", "source_file")]
+    body = F.to_json(F.struct(*plain, F.col("is_fba").cast("string").alias("is_fba")))
+    text = F.concat(
+        F.substring(body, F.lit(1), F.length(body) - 1), F.lit(', "variation_count": '), count, F.lit(", "),
+        F.substring(rank, F.lit(2), F.length(rank) - 2), F.coalesce(F.concat(F.lit(', "rating_overview": '), stars), F.lit("")), F.lit("}"),
+    )
+    year = F.substring("ingested_at", 1, 4)
+    rows = li.select(
+        F.concat(year, F.lit("-01-01")).alias("d"), F.floor(order / 4096).alias("file"), "marketplace",
+        F.concat(year, F.lit("-01-01T00:00:00")).alias("extracted_at"), text.alias("p"), line.alias("line"), order.alias("order"),
+    )
+    if faults:
+        rows = rows.withColumn("p", F.when((F.col("line") == 7) & (F.col("order") % 5 == 0), F.concat(F.lit('"gone '), "order", F.lit('"'))).otherwise(F.col("p")))
+        rows = rows.withColumn("cut", (F.col("file") + F.col("d").substr(1, 4).cast("int")) % 5 == 4)
+    else:
+        rows = rows.withColumn("cut", F.lit(False))
+    raw.write_multi_line(rows, root, "details")
+
+
+@register("ingest_details")
+def q_ingest_details(spark, sf_dir):
+    """SC-01..05, SC-08, PL-01: multi-line detail files with values of other
+    types than their columns, decoded without losing a product."""
+    root = shared_dir(spark, "raw")
+    listing_files(spark, sf_dir, root, faults=False)
+    rows, _ = raw.ingest(spark, root, "details", raw.LISTING_RECORD, raw.LISTING_LIFT, layout=RAW_FILES)
+    flat = ("asin", "title", "brand", "category", "dimensions", "weight", "date_first_available", "parent_asin", "variation_count",
+            "stock_status", "buybox_seller", "is_fba", "marketplace", "source_extracted_at", "ingested_at")
+    return rows.select(
+        *flat, *[F.col("rating_overview")[str(n)].alias(f"star{n}") for n in (5, 4, 3, 2, 1)],
+        F.get("best_seller_rank", F.lit(0)).alias("first_rank"), F.size("best_seller_rank").alias("n_ranks"),
+        F.size("available_dimensions.size_name").alias("n_sizes"), F.size("images").alias("n_images"),
+        F.element_at("categories", -1)["name"].alias("leaf"), F.element_at("categories", -1)["level"].alias("depth"),
+    )
+
+
+@register("quarantine")
+def q_quarantine(spark, sf_dir):
+    """SC-07: detail files with products that are no objects and files that end
+    in the middle, loaded and loaded again, then their first day once more: rows
+    of the bronze and the quarantine table per day and reason, and what the load
+    reports to have read."""
+    lake = Lake(shared_dir(spark, "raw"), shared_dir(spark, "lake"), raw_layout=RAW_FILES)
+    listing_files(spark, sf_dir, lake.raw_root, faults=True)
+    only = ("product_details",)
+    run_bronze(spark, lake, None, only)
+    report = run_bronze(spark, lake, None, only)["product_details"]
+    bronze, aside = (spark.read.parquet(lake.path("bronze", t)) for t in ("product_details", "_quarantine_product_details"))
+    run_bronze(spark, lake, str(bronze.agg(F.min("ingested_at")).first()[0]), only)
+    bronze, aside = (spark.read.parquet(lake.path("bronze", t)) for t in ("product_details", "_quarantine_product_details"))
+    a = bronze.groupBy("ingested_at").count().select("ingested_at", F.lit(raw.KEPT).alias("reason"), F.col("count").alias("rows"))
+    b = aside.groupBy("ingested_at", "reason").count().select("ingested_at", "reason", F.col("count").alias("rows"))
+    read = spark.createDataFrame([(None, "read", report.source_rows)], "ingested_at date, reason string, rows long")
+    return a.unionByName(b).unionByName(read)
+
+
+@register("ingest_discovered")
+def q_ingest_discovered(spark, sf_dir):
+    """SC-06, SO-01: every event in files of three shapes without a declared
+    schema: columns that only some files have, that are null everywhere, whole
+    here and fractional or text there come out with merged types."""
+    root = shared_dir(spark, "raw")
+    e = fixtures.table(spark, sf_dir, "events").withColumn("shape", F.col("event_id") % 3)
+    common = F.struct(F.col("event_id").alias("id"), F.lit(None).cast("string").alias("never"), F.floor("value").alias("amount"), F.col("user_id").alias("who"))
+    shapes = (
+        F.to_json(common, {"ignoreNullFields": "false"}),
+        F.to_json(common.withField("amount", F.col("value")).withField("who", F.concat(F.lit("u"), F.col("user_id"))), {"ignoreNullFields": "false"}),
+        F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("kind"), F.array("event_type", F.lit("x")).alias("tags"))),
+    )
+    product = F.when(F.col("shape") == 0, shapes[0]).when(F.col("shape") == 1, shapes[1]).otherwise(shapes[2])
+    line = F.concat(F.lit('{"metadata": {"shape": '), F.col("shape").cast("string"), F.lit('}, "products": ['), product, F.lit("]}"))
+    e.select(F.date_format(F.trunc("ts", "MM"), "yyyy-MM-dd").alias("d"), line.alias("value"), "shape").repartition("d", "shape").select("d", "value").write.partitionBy("d").text(f"{root}/events")
+    rows, _ = raw.ingest(spark, root, "events", None, {"shape": "shape"}, layout=RAW_FILES, multi_line=False)
+    return rows.withColumn("tags", F.array_join("tags", "|")).drop("source_file")
+
+
 @register("replace_partition_rerun")
 def q_replace_partition_rerun(spark, sf_dir):
     """SK-02/07: silver cards written as day partitions with wrong and missing
@@ -444,7 +595,7 @@ def q_bronze_stream_roundtrip(spark, sf_dir):
     root, bronze, ckpt = shared_dir(spark, "raw"), shared_dir(spark, "bronze"), shared_dir(spark, "stream-ckpt")
     raw.write_card_envelopes(fixtures.raw_cards(spark, sf_dir), root)
     stream = start_bronze_stream(
-        spark, root, "search", raw.CARD_ENVELOPE, raw.CARD_LIFT, bronze, ckpt, layout="{root}/{source}/d={date}", multi_line=False
+        spark, root, "search", raw.CARD_RECORD, raw.CARD_LIFT, bronze, ckpt, layout="{root}/{source}/d={date}", multi_line=False
     )
     stream.awaitTermination()
     return spark.read.parquet(bronze).drop("source_file")

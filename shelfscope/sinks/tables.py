@@ -1,6 +1,6 @@
 """Table writes (SK-01..07) and the persisted SCD2 load (DM-04..06).
 
-Tables are Parquet folders partitioned by day.  A day load replaces exactly
+Day tables are Parquet folders partitioned by day.  A day load replaces exactly
 its own partition (dynamic partition overwrite), so a re-run is idempotent.
 Row counts for the write report are collected with ``observe`` during the
 write itself, not by a second pass over the data.
@@ -8,14 +8,16 @@ write itself, not by a second pass over the data.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from datetime import date, timedelta
+from datetime import date
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfscope.operators import dimension
 
@@ -42,14 +44,13 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     """SK-05: a Parquet table is present at ``path``.  Only a missing path
     counts as absent; a folder that cannot be read as a table is an error, so
     no load takes it for a first run and overwrites it."""
+    fs, hadoop = _fs(spark, path)
+    if not fs.exists(hadoop):
+        return False
     try:
         spark.read.parquet(path).schema  # noqa: B018 - metadata only
         return True
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise RuntimeError(f"{path} exists but is no readable table") from e
-    except Py4JJavaError as e:
+    except (AnalysisException, Py4JJavaError) as e:
         raise RuntimeError(f"{path} exists but is no readable table") from e
 
 
@@ -121,8 +122,9 @@ def replace_partition(
     return WriteReport(path, "overwrite", rows, df.columns, skipped=rows == 0)
 
 
-def replace_partitions(df: DataFrame, path: str, col: str = "ingested_at") -> WriteReport:
-    """SK-02 for a range: every day present in ``df`` is replaced in one job.
+def replace_partitions(df: DataFrame, path: str, col: str = "ingested_at", whole: bool = False) -> WriteReport:
+    """SK-02 for a range: every day present in ``df`` is replaced in one job;
+    with ``whole`` the table then holds no other day.
 
     Rows are range-partitioned by (day, row hash) first: each task then writes
     into one or two day folders instead of every task writing a file into
@@ -132,58 +134,145 @@ def replace_partitions(df: DataFrame, path: str, col: str = "ingested_at") -> Wr
     spread = F.xxhash64(*[F.col(c) for c in df.columns if c != col])
     obs = Observation()
     out = df.repartitionByRange(F.col(col), spread).observe(obs, F.count(F.lit(1)).alias("rows"))
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(path)
+    mode = "static" if whole else "dynamic"
+    out.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(col).parquet(path)
     return WriteReport(path, "overwrite", int(obs.get.get("rows", 0)), df.columns)
 
 
 # ---------------------------------------------------------------- SCD2 table
+#
+# A stored type-2 table never rewrites what a reader may hold:
+#
+#   <path>/gen=G/load=L/expiry_date=D/   what load L wrote: the versions it closed,
+#                                        and (null expiry) all current versions
+#   <path>__log                          one row per committed load
+#
+# The newest log row is the pointer: its generation and load name the current
+# versions, and its chain of parents the loads whose closed versions count.  A
+# load writes its folder first and commits by appending its row (one file, put
+# in place by one rename).  Folders without a row are not part of the table, so
+# a load that was cut off leaves nothing to repair, and nothing that a later load
+# or a rebuild could bring back; its folder is overwritten or vacuumed.  One
+# writer at a time.
+
+EXPIRY = "expiry_date"  # null for current versions
+LOG = "seq long, generation long, load long, parent long, run_date string, columns string"
+
+
+@dataclass(frozen=True)
+class DimState:
+    """What the newest commit of a stored type-2 table points to."""
+
+    seq: int
+    generation: int
+    load: int
+    run_date: str | None
+    schema: T.StructType
+    chain: tuple[int, ...]  # loads whose closed versions count, oldest first
+    last_load: int  # greatest load number of the generation
 
-CURRENT = "expiry_date"  # partition column; null (default partition) holds the current versions
-
-
-def write_dimension(dim: DataFrame, path: str) -> None:
-    """Write a whole type-2 table (first run, rebuild), partitioned by expiry
-    date.  Range-partitioning by (expiry date, row hash) first keeps each task
-    to a few expiry days, so files per day follow rows per day; the large
-    current (null) partition is spread by the hash."""
-    spread = F.xxhash64(*[F.col(c) for c in dim.columns if c != CURRENT])
-    out = dim.repartitionByRange(F.col(CURRENT), spread).write.mode("overwrite")
-    out.option("partitionOverwriteMode", "static").partitionBy(CURRENT).parquet(path)
-
-
-LOADS = "load_id long, staged string, state string"
-
-
-def _log(spark: SparkSession, path: str, load_id: int, staged: str, state: str) -> None:
-    spark.createDataFrame([(load_id, staged, state)], LOADS).coalesce(1).write.mode("append").parquet(f"{path}__loads")
-
-
-def _swap(spark: SparkSession, path: str, load_id: int, staged: str) -> None:
-    """Put the staged partitions into the table; can be repeated."""
-    rows = spark.read.parquet(staged)
-    rows = rows.withColumn(CURRENT, F.col(CURRENT).cast("date"))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(CURRENT).parquet(path)
-    _log(spark, path, load_id, staged, "done")
-
-
-def finish_loads(spark: SparkSession, path: str) -> int:
-    """Complete a load that was cut off between its staged write and the end
-    of its swap; returns the number of the last load.  The log holds two rows
-    per load."""
-    if not table_exists(spark, f"{path}__loads"):
-        return 0
-    log = spark.read.schema(LOADS).parquet(f"{path}__loads")
-    last = log.groupBy("load_id").agg(F.max("staged").alias("staged"), F.max(F.col("state") == "done").alias("done")).orderBy(F.desc("load_id")).first()
-    if not last["done"]:
-        _swap(spark, path, last["load_id"], last["staged"])
-    return last["load_id"]
-
-
-def read_dimension(spark: SparkSession, path: str) -> DataFrame:
-    """The SCD2 table with its partition column typed as a date (when only the
-    null partition exists, partition discovery cannot infer the type)."""
-    df = spark.read.parquet(path)
-    return df.withColumn(CURRENT, F.col(CURRENT).cast("date"))
+    @property
+    def before(self) -> int | None:
+        """The load before this one."""
+        return self.chain[-2] if len(self.chain) > 1 else None
+
+
+def dim_state(spark: SparkSession, path: str) -> DimState | None:
+    """SK-05: the committed state, or None for a table without a commit."""
+    if not table_exists(spark, f"{path}__log"):
+        return None
+    log = spark.read.schema(LOG).parquet(f"{path}__log")
+    newest = log.orderBy(F.desc("seq")).first()
+    if newest is None:
+        return None
+    # one row per load since the last rebuild
+    rows = log.where(F.col("generation") == newest["generation"]).select("load", "parent").collect()
+    parent = {r["load"]: r["parent"] for r in rows}
+    chain, load = [], newest["load"]
+    while load is not None:
+        chain.append(load)
+        load = parent[load]
+    schema = T.StructType.fromJson(json.loads(newest["columns"]))
+    return DimState(newest["seq"], newest["generation"], newest["load"], newest["run_date"], schema, tuple(reversed(chain)), max(parent))
+
+
+def stage_load(dim: DataFrame, path: str, generation: int, load: int) -> None:
+    """Write the folder of a load, not yet part of the table.  Range
+    partitioning by (expiry date, row hash) first keeps each task to a few
+    expiry days, so files per day follow rows per day; the large current (null)
+    partition is spread by the hash."""
+    spread = F.xxhash64(*[F.col(c) for c in dim.columns if c != EXPIRY])
+    out = dim.repartitionByRange(F.col(EXPIRY), spread).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    out.partitionBy(EXPIRY).parquet(f"{path}/gen={generation}/load={load}")
+
+
+def _commit(dim: DataFrame, path: str, seq: int, generation: int, load: int, parent: int | None, run_date: str | None) -> None:
+    row = [(seq, generation, load, parent, run_date, dim.schema.json())]
+    dim.sparkSession.createDataFrame(row, LOG).coalesce(1).write.mode("append").parquet(f"{path}__log")
+
+
+def write_dimension(dim: DataFrame, path: str, run_date: str | date | None = None) -> None:
+    """SK-03: write a whole type-2 table (first run, rebuild) as a generation
+    of its own.  Its commit voids all loads of earlier generations, committed or
+    not; until then readers see the old generation.  ``run_date`` is the last
+    day it covers (by default that of its newest version)."""
+    was = dim_state(dim.sparkSession, path)
+    seq, generation = (was.seq + 1, was.generation + 1) if was else (1, 1)
+    stage_load(dim, path, generation, 0)
+    if run_date is None:
+        staged = read_dimension(dim.sparkSession, path, state=DimState(seq, generation, 0, None, dim.schema, (0,), 0))
+        run_date = staged.agg(F.max("effective_date")).first()[0]
+    _commit(dim, path, seq, generation, 0, None, None if run_date is None else str(run_date))
+
+
+def read_dimension(
+    spark: SparkSession, path: str, current_only: bool = False, state: DimState | None = None, as_of_load: int | None = None
+) -> DataFrame:
+    """The committed state of a stored type-2 table (``as_of_load``: as it was
+    after that load of the chain).  Which loads count and whether a version is
+    current are partition filters, so ``current_only`` scans one folder."""
+    state = state or dim_state(spark, path)
+    if state is None:
+        raise FileNotFoundError(f"{path} holds no committed type-2 table")
+    load = state.load if as_of_load is None else as_of_load
+    columns = [f for f in state.schema.fields if f.name != EXPIRY]
+    folders = [T.StructField("gen", T.LongType()), T.StructField("load", T.LongType()), T.StructField(EXPIRY, T.DateType())]
+    rows = spark.read.schema(T.StructType(columns + folders)).parquet(path).where(F.col("gen") == state.generation)
+    current = F.col(EXPIRY).isNull() & (F.col("load") == load)
+    loads = list(state.chain[: state.chain.index(load) + 1])
+    keep = current if current_only else current | (F.col(EXPIRY).isNotNull() & F.col("load").isin(loads))
+    return rows.where(keep).select(*state.schema.names)
+
+
+def vacuum_dimension(spark: SparkSession, path: str) -> list[str]:
+    """Delete what no state of the chain holds: other generations and loads
+    outside the chain.  Returns the deleted folders."""
+    state = dim_state(spark, path)
+    gone = []
+    for gen in folders(spark, path) if state else []:
+        if gen != f"gen={state.generation}":
+            gone.append(f"{path}/{gen}")
+            continue
+        gone += [f"{path}/{gen}/{x}" for x in folders(spark, f"{path}/{gen}") if int(x.split("=")[1]) not in state.chain]
+    for folder in gone:
+        delete_folder(spark, folder)
+    return gone
+
+
+def _fs(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``, sorted (none if it does not exist)."""
+    fs, hadoop = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop) if s.isDirectory()) if fs.exists(hadoop) else []
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop = _fs(spark, path)
+    fs.delete(hadoop, True)
 
 
 def scd2_load_day(
@@ -196,42 +285,31 @@ def scd2_load_day(
     allow_backfill: bool = False,
     update_untracked: bool = False,
 ) -> dict:
-    """DM-04/05/06 + SK-03/04/05 + DM-09: load one day into the persisted
-    type-2 dimension in a single write.
-
-    The table is partitioned by ``expiry_date``: the current versions live in
-    the null partition and each load closes versions into partition
-    ``run_date - 1``.  A day load rewrites exactly those two partitions.  The
-    new state is written whole beside the table first (two slots in turn) and
-    noted in the load log, then swapped in by one dynamic overwrite; a load
-    that was cut off in between is completed by the next one.  Loading a day older than the
-    newest version would invert history, so it is refused unless
+    """DM-04/05/06 + SK-03/04/05 + DM-09: load one day into the stored type-2
+    dimension.
+
+    A load reads the current versions only and writes the new current ones and
+    those it closed, then commits.  Loading the day of the newest load again
+    starts from the state before that load, so corrected data replaces it whole
+    (the day of a first run or rebuild has no state before it: it is applied on
+    top).  An older day would invert history and is refused unless
     ``allow_backfill``; rebuild with ``scd2_rebuild`` instead.
     """
     run_date = str(run_date)
     if incoming.isEmpty():
         return {"skipped": True, "total_rows": None, "current_rows": None}
-    last_load = finish_loads(spark, path)
-    if not table_exists(spark, path):
-        write_dimension(dimension.scd2_first_run(incoming, keys, sk), path)
+    state = dim_state(spark, path)
+    if state is None:
+        write_dimension(dimension.scd2_first_run(incoming, keys, sk), path, run_date)
     else:
-        full = read_dimension(spark, path)
-        full = full.select(*[c for c in full.columns if c != CURRENT], CURRENT)
-        closing = (date.fromisoformat(run_date) - timedelta(days=1)).isoformat()
-        # Only the current partition and the one closing today are read and
-        # rewritten (both are partition filters, so the scan is pruned).
-        current = full.filter(F.col(CURRENT).isNull())
-        newest = current.agg(F.max("effective_date")).first()[0]  # a key's newest version is its current one
-        if newest is not None and str(newest) > run_date and not allow_backfill:
-            raise ValueError(f"run_date {run_date} is older than the newest version {newest}; use scd2_rebuild")
-        dim = full.filter(F.col(CURRENT).isNull() | (F.col(CURRENT) == F.lit(closing).cast("date")))
-        touched = dimension.scd2_apply(dim, incoming, run_date, keys, sk, update_untracked)
-        load_id = last_load + 1
-        staged = f"{path}__staged/slot={load_id % 2}"
-        touched.select(*full.columns).write.mode("overwrite").parquet(staged)
-        if spark.read.parquet(staged).filter(F.col(CURRENT).isNull()).isEmpty():
-            raise RuntimeError("current partition would become empty; refusing to overwrite")
-        _log(spark, path, load_id, staged, "staged")
-        _swap(spark, path, load_id, staged)
+        newest = state.run_date or run_date
+        if newest > run_date and not allow_backfill:
+            raise ValueError(f"run_date {run_date} is older than the newest load {newest}; use scd2_rebuild")
+        again = newest == run_date and state.before is not None
+        parent = state.before if again else state.load
+        current = read_dimension(spark, path, current_only=True, state=state, as_of_load=parent)
+        load = state.last_load + 1
+        stage_load(dimension.scd2_apply(current, incoming, run_date, keys, sk, update_untracked), path, state.generation, load)
+        _commit(current, path, state.seq + 1, state.generation, load, parent, max(run_date, newest))
     totals = dimension.dim_totals(read_dimension(spark, path)).first()
     return {"skipped": False, "total_rows": totals["total_rows"], "current_rows": totals["current_rows"]}
