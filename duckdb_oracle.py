@@ -658,3 +658,87 @@ SELECT event_id AS id, CAST(NULL AS VARCHAR) AS never,
        CASE WHEN event_id % 3 = 2 THEN event_type END AS kind, CASE WHEN event_id % 3 = 2 THEN event_type || '|x' END AS tags,
        CAST(event_id % 3 AS VARCHAR) AS shape, strftime(date_trunc('month', ts), '%Y-%m-%d') AS ingested_at
 FROM events"""
+
+# ------------------------------------------------------------------ variants and planted faults
+
+SQL["keyword_variants"] = """
+WITH RECURSIVE e AS (
+  SELECT event_id, user_id, event_type || ' case' AS w, event_id % 7 AS kind,
+         CAST(event_id % length(event_type || ' case') + 1 AS INTEGER) AS i FROM events
+), typed AS (
+  SELECT user_id, CASE kind WHEN 1 THEN upper(w) WHEN 2 THEN w || 's' WHEN 3 THEN '  ' || replace(w, ' ', '  ')
+    WHEN 4 THEN substr(w, 1, i - 1) || substr(w, i + 1) WHEN 5 THEN substr(w, 1, i - 1) || 'q' || substr(w, i + 1)
+    WHEN 6 THEN substr(w, 1, i - 1) || 'qq' || substr(w, i + 1) ELSE w END AS keyword
+  FROM e
+), named AS (
+  SELECT *, regexp_replace(lower(trim(regexp_replace(keyword, '\\s+', ' ', 'g'))), '^(.*[a-z]{2}[^s\\s])s$', '\\1') AS stem FROM typed
+), stems AS (SELECT DISTINCT stem FROM named),
+links AS (
+  SELECT a.stem AS a, b.stem AS b FROM stems a JOIN stems b ON a.stem <> b.stem
+  WHERE length(a.stem) >= 6 AND length(b.stem) >= 6 AND levenshtein(a.stem, b.stem) = 1
+), reach AS (
+  SELECT stem AS node, stem AS top FROM stems
+  UNION
+  SELECT l.b, r.top FROM reach r JOIN links l ON l.a = r.node WHERE r.top < l.b
+), groups AS (SELECT node AS stem, min(top) AS keyword_group FROM reach GROUP BY node)
+SELECT keyword_group, user_id % 3 AS part, count(*) AS cards, count(DISTINCT keyword) AS n_keywords
+FROM named JOIN groups USING (stem) GROUP BY ALL"""
+
+FAULTY = CARDS.replace("cards AS (", "good_cards AS (", 1) + """
+, cards AS (SELECT * REPLACE (
+    CASE WHEN is_best_seller THEN '7.9 out of 5 stars' ELSE rating END AS rating,
+    CASE WHEN is_amazons_choice THEN 'many bought' ELSE monthly_sales END AS monthly_sales,
+    CASE WHEN is_amazons_choice THEN 'Save 150%with coupon' ELSE coupon END AS coupon,
+    CASE WHEN is_amazons_choice AND is_prime THEN 'XX' ELSE marketplace END AS marketplace,
+    CASE WHEN is_best_seller AND is_sponsored THEN NULL ELSE keyword END AS keyword) FROM good_cards)"""
+
+
+def rule_sql(name: str, kind: str, column: str, looks: str, fails: str, tolerance: float = 0.0) -> str:
+    return (
+        f"SELECT '{name}' AS rule, '{kind}' AS kind, '{column}' AS column_name, count(*) FILTER (WHERE {looks}) AS rows, "
+        f"count(*) FILTER (WHERE {looks} AND {fails}) AS failures, {tolerance} AS t FROM typed"
+    )
+
+
+_known = "{0} IS NOT NULL".format
+_RULES = "\nUNION ALL\n".join([
+    rule_sql("rating in stars", "range", "rating_value", _known("rating_value"), "(rating_value < 1 OR rating_value > 5)"),
+    rule_sql("coupon share", "range", "coupon_discount_pct", _known("coupon_discount_pct"), "coupon_discount_pct > 100"),
+    rule_sql("coupon share, mostly", "range", "coupon_discount_pct", _known("coupon_discount_pct"), "coupon_discount_pct > 100", 0.9),
+    rule_sql("reviews not negative", "range", "ratings_count_value", _known("ratings_count_value"), "ratings_count_value < 0"),
+    rule_sql("sales read", "parsed", "monthly_sales_min", _known("monthly_sales"), "monthly_sales_min IS NULL"),
+    rule_sql("rating read", "parsed", "rating_value", _known("rating"), "rating_value IS NULL"),
+    rule_sql("keyword known", "known", "keyword", "true", "keyword IS NULL"),
+    rule_sql("asin known", "known", "asin", "true", "asin IS NULL"),
+    rule_sql("marketplace", "one_of", "marketplace", _known("marketplace"), "marketplace NOT IN ('US', 'DE', 'VN')"),
+])
+SQL["dq_rules"] = with_(FAULTY, f"""typed AS (
+  SELECT asin, keyword, marketplace, rating, monthly_sales,
+    {num("regexp_extract(rating, '^([\\d.]+)', 1)")} AS rating_value,
+    {scaled('ratings_count', '\\(([\\d.]+)([KkMm]?)\\)')} AS ratings_count_value,
+    CASE WHEN monthly_sales IS NOT NULL THEN {scaled('monthly_sales', '([\\d.]+)([KkMm]?)')} END AS monthly_sales_min,
+    CASE WHEN coupon IS NOT NULL THEN {num("regexp_extract(coupon, 'Save\\s*([\\d.]+)\\s*%', 1)")} END AS coupon_discount_pct
+  FROM cards
+)""") + f"""
+SELECT rule, kind, column_name, rows, failures, coalesce({rnd('failures / nullif(rows, 0) * 100', 2)}, 0.0) AS failure_pct,
+       coalesce(failures / nullif(rows, 0), 0) <= t AS holds
+FROM ({_RULES})"""
+
+SQL["dq_faulty_dimension"] = with_(*DIM_CHAIN) + """
+, f AS (
+  SELECT CASE WHEN marketplace = 'VN' AND is_fba THEN NULL ELSE asin END AS asin, marketplace, is_current, effective_date, product_sk,
+         CASE WHEN marketplace = 'US' AND NOT is_current THEN CAST(expiry_date - 1 AS DATE) ELSE expiry_date END AS expiry_date
+  FROM dim
+  UNION ALL
+  SELECT asin, marketplace, is_current, effective_date, product_sk, expiry_date FROM dim WHERE marketplace = 'DE' AND is_current
+), v AS (
+  SELECT *, lead(effective_date) OVER (PARTITION BY asin, marketplace ORDER BY effective_date) AS nxt FROM f WHERE marketplace = 'US'
+)
+SELECT 'duplicate_current' AS check_name, count(*) AS failures FROM (
+  SELECT 1 FROM f WHERE is_current AND asin IS NOT NULL GROUP BY asin, marketplace HAVING count(*) > 1)
+UNION ALL SELECT 'null_keys', count(*) FILTER (WHERE asin IS NULL OR marketplace IS NULL) FROM f
+UNION ALL SELECT 'chain_gap', count(*) FILTER (WHERE nxt IS NOT NULL AND expiry_date IS DISTINCT FROM CAST(nxt - 1 AS DATE)) FROM v
+UNION ALL SELECT 'open_not_last', count(*) FILTER (WHERE nxt IS NOT NULL AND is_current) FROM v
+UNION ALL SELECT 'last_not_open', count(*) FILTER (WHERE nxt IS NULL AND NOT is_current) FROM v
+UNION ALL SELECT 'inverted', count(*) FILTER (WHERE effective_date > expiry_date) FROM v
+UNION ALL SELECT 'duplicate_sk', count(product_sk) - count(DISTINCT product_sk) FROM v"""

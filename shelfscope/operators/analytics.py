@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfscope.functions.numeric import round_to
-from shelfscope.operators.marts import MEDIAN_ACCURACY
+from shelfscope.operators.medians import exact_median, join_groups
 
 DAY_GRAIN = ("marketplace", "ingested_at")
 
@@ -141,14 +141,12 @@ def ad_saturation(mart: DataFrame) -> DataFrame:
     return mart.select("keyword", "marketplace", "ingested_at", "sponsored_pct", "best_seller_count", band.alias("ad_band"))
 
 
-def fragmentation(mart: DataFrame, accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
+def fragmentation(mart: DataFrame) -> DataFrame:
     """AN-05: a keyword day is fragmented when both its best-seller count and
     its mean review count are at or below that day's median across keywords."""
-    med = mart.groupBy(*DAY_GRAIN).agg(
-        F.percentile_approx("best_seller_count", 0.5, accuracy).alias("median_best_seller_count"),
-        F.percentile_approx("avg_ratings_count", 0.5, accuracy).alias("median_avg_ratings_count"),
-    )
-    j = mart.join(med, list(DAY_GRAIN), "left")
+    j = mart
+    for value in ("best_seller_count", "avg_ratings_count"):
+        j = join_groups(j, exact_median(mart, DAY_GRAIN, value, f"median_{value}"), DAY_GRAIN)
     return j.select(
         "keyword",
         "marketplace",

@@ -1,10 +1,11 @@
 """Gold marts (PL-08, PL-09): pre-aggregated daily KPIs.
 
-Both are single ``groupBy`` aggregations.  The one exact distinct count is
-planned by Spark as a two-level aggregation keyed by (group, asin) first, so
-a hot keyword is spread over tasks before its final merge; the median uses the
-bounded-memory ``percentile_approx`` sketch, whose partial buffers merge
-across tasks.
+Exact distinct counts are planned by Spark as a two-level aggregation keyed by
+(group, asin) first, so a hot keyword is spread over tasks before its final
+merge.  The keyword mart's median is exact at any size: prices are counted per
+(group, price), again with map-side partial counts, and the median is the price
+at which the running count passes half.  Only distinct prices are ordered, never
+the rows of a group.
 """
 
 from __future__ import annotations
@@ -14,23 +15,16 @@ from pyspark.sql import functions as F
 
 from shelfscope.functions.numeric import flag_count, flag_rate, guarded_pct, round_to, round_to_long
 from shelfscope.operators.dimension import current_only
+from shelfscope.operators.medians import exact_median, join_groups
 
 KEYWORD_GRAIN = ("keyword", "marketplace", "ingested_at")
 BRAND_GRAIN = ("brand", "category_leaf", "marketplace", "ingested_at")
-# Median sketch accuracy: Spark's default, as the reference uses.  The sketch
-# stays small for any group size (rank error <= n / accuracy) and is exact for
-# groups smaller than the accuracy; raise it when exact medians of large groups
-# matter more than sketch memory.
-MEDIAN_ACCURACY = 10_000
 
 
-def keyword_daily(
-    ranking: DataFrame,
-    accuracy: int = MEDIAN_ACCURACY,
-    audit_col: str | None = "gold_processed_at",
-) -> DataFrame:
-    """PL-08: one row per (keyword, marketplace, day) from the ranking fact."""
-    mart = ranking.groupBy(*KEYWORD_GRAIN).agg(
+def keyword_daily(ranking: DataFrame, audit_col: str | None = "gold_processed_at") -> DataFrame:
+    """PL-08: one row per (keyword, marketplace, day) from the ranking fact,
+    which is read twice (the median reads four columns): pass a stored table."""
+    sums = ranking.groupBy(*KEYWORD_GRAIN).agg(
         F.count_distinct("asin").alias("total_products"),
         flag_count("is_sponsored").alias("sponsored_count"),
         flag_count("is_prime").alias("prime_count"),
@@ -38,14 +32,18 @@ def keyword_daily(
         flag_count("is_amazons_choice").alias("amazons_choice_count"),
         flag_count("has_coupon").alias("coupon_count"),
         round_to(F.avg("price_amount"), 2).alias("avg_price"),
-        round_to(F.percentile_approx("price_amount", 0.5, accuracy), 2).alias("median_price"),
         round_to(F.min("price_amount"), 2).alias("min_price"),
         round_to(F.max("price_amount"), 2).alias("max_price"),
         round_to(F.avg("rating_value"), 2).alias("avg_rating_value"),
         round_to_long(F.avg("ratings_count")).alias("avg_ratings_count"),
         F.sum("monthly_sales_min").alias("total_monthly_sales_min"),
     )
-    mart = mart.withColumn("sponsored_pct", guarded_pct("sponsored_count", "total_products"))
+    joined = join_groups(sums, exact_median(ranking, KEYWORD_GRAIN, "price_amount", "_median"), KEYWORD_GRAIN)
+    mart = joined.select(
+        *KEYWORD_GRAIN, "total_products", "sponsored_count", "prime_count", "best_seller_count", "amazons_choice_count", "coupon_count",
+        "avg_price", round_to("_median", 2).alias("median_price"), "min_price", "max_price", "avg_rating_value", "avg_ratings_count",
+        "total_monthly_sales_min", guarded_pct("sponsored_count", "total_products").alias("sponsored_pct"),
+    )
     return mart.withColumn(audit_col, F.current_timestamp()) if audit_col else mart
 
 

@@ -8,6 +8,7 @@ rows to the driver.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -122,6 +123,87 @@ def profile(df: DataFrame, parse_pairs: dict[str, str] | None = None) -> DataFra
     )
 
 
+@dataclass(frozen=True)
+class Rule:
+    """One row of a rule table (DQ-06).
+
+    ``range``: known values lie in ``low .. high`` (None: open).  ``known``: no
+    value is null.  ``one_of``: known values are among ``values``.  ``parsed``:
+    where the text ``raw`` is known, the value read from it is known too.  A rule
+    holds while at most ``tolerance`` (a share) of the rows it looks at fail.
+    """
+
+    name: str
+    kind: str
+    column: str
+    low: float | None = None
+    high: float | None = None
+    values: tuple = ()
+    raw: str | None = None
+    tolerance: float = 0.0
+
+    def looks_at(self) -> F.Column:
+        if self.kind == "known":
+            return F.lit(True)
+        return F.col(self.raw if self.kind == "parsed" else self.column).isNotNull()
+
+    def fails(self) -> F.Column:
+        value = F.col(self.column)
+        if self.kind in ("known", "parsed"):
+            return value.isNull()
+        if self.kind == "one_of":
+            return ~value.isin(*self.values)
+        if self.kind != "range":
+            raise ValueError(f"unknown rule kind {self.kind}")
+        outside = F.lit(False)
+        if self.low is not None:
+            outside = outside | (value < self.low)
+        return outside if self.high is None else outside | (value > self.high)
+
+
+def check_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """DQ-06: a rule table over a table, compiled into one aggregation; per
+    rule the rows it looks at, those that fail, their share and whether it holds
+    (an empty table breaks no rule)."""
+    aggs = []
+    for i, r in enumerate(rules):
+        aggs += [F.count_if(r.looks_at()).alias(f"n{i}"), F.count_if(r.looks_at() & r.fails()).alias(f"f{i}")]
+    entries = [
+        F.struct(
+            F.lit(r.name).alias("rule"), F.lit(r.kind).alias("kind"), F.lit(r.column).alias("column_name"),
+            F.col(f"n{i}").alias("rows"), F.col(f"f{i}").alias("failures"), F.lit(float(r.tolerance)).alias("_t"),
+        )
+        for i, r in enumerate(rules)
+    ]
+    out = df.agg(*aggs).select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    share = F.when(F.col("rows") > 0, F.col("failures") / F.col("rows")).otherwise(F.lit(0.0))
+    return out.select("rule", "kind", "column_name", "rows", "failures", round_to(share * 100, 2).alias("failure_pct"), (share <= F.col("_t")).alias("holds"))
+
+
+def schema_difference(actual: T.DataType, expected: T.DataType, path: str = "") -> list[tuple[str, str, str]]:
+    """DQ-07: (path, expected type, actual type) of every difference, down to
+    fields of structs (``a.b``), elements of arrays (``a[]``) and values of maps
+    (``a{}``); a field on one side only is ``missing`` or ``absent``."""
+    if isinstance(actual, T.StructType) and isinstance(expected, T.StructType):
+        has, wants = ({f.name: f.dataType for f in t.fields} for t in (actual, expected))
+        out = []
+        for name in [*wants, *(n for n in has if n not in wants)]:
+            at = f"{path}.{name}" if path else name
+            if name not in has:
+                out.append((at, wants[name].simpleString(), "missing"))
+            elif name not in wants:
+                out.append((at, "absent", has[name].simpleString()))
+            else:
+                out += schema_difference(has[name], wants[name], at)
+        return out
+    if isinstance(actual, T.ArrayType) and isinstance(expected, T.ArrayType):
+        return schema_difference(actual.elementType, expected.elementType, f"{path}[]")
+    if isinstance(actual, T.MapType) and isinstance(expected, T.MapType):
+        keys = schema_difference(actual.keyType, expected.keyType, f"{path}{{key}}")
+        return keys + schema_difference(actual.valueType, expected.valueType, f"{path}{{}}")
+    return [] if actual == expected else [(path, expected.simpleString(), actual.simpleString())]
+
+
 def schema_contract(df: DataFrame, expected: T.StructType, forbidden: Sequence[str] = ()) -> list[tuple[str, str, str]]:
     """DQ-07: differences between a table schema and its contract, as
     (column, expected, actual); a forbidden column present is reported too.

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfscope.functions import parse
-from shelfscope.operators import analytics, clean, dimension, facts, marts, quality, topk
+from shelfscope.operators import analytics, clean, dimension, facts, marts, quality, topk, variants
 from shelfscope.plans import views
 from shelfscope.plans.day import Lake, rebuild, run_bronze
 from shelfscope.session import apply_defaults, materialize, shared_dir
@@ -57,10 +57,19 @@ def q_silver_cards(spark, sf_dir):
 # ---------------------------------------------------------------- marts
 
 
+def ranking_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranking fact as stored, which the mart reads twice."""
+    return materialize(spark, facts.ranking_rows(silver_cards(spark, sf_dir)))
+
+
+def keyword_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.keyword_daily(ranking_fact(spark, sf_dir), audit_col=None)
+
+
 @register("mart_keyword_daily")
 def q_mart_keyword_daily(spark, sf_dir):
     """PL-08 (flagship): keyword x marketplace x day KPIs."""
-    return marts.keyword_daily(facts.ranking_rows(silver_cards(spark, sf_dir)), audit_col=None)
+    return keyword_mart(spark, sf_dir)
 
 
 # ---------------------------------------------------------------- dimension
@@ -309,9 +318,7 @@ def _gold_views(spark, sf_dir, names):
         "fact_price_snapshot": lambda: materialize(
             spark, facts.fact_price_snapshot(silver_cards(spark, sf_dir), dim(), audit_col=None)
         ),
-        "mart_keyword_daily": lambda: materialize(
-            spark, marts.keyword_daily(facts.ranking_rows(silver_cards(spark, sf_dir)), audit_col=None)
-        ),
+        "mart_keyword_daily": lambda: materialize(spark, keyword_mart(spark, sf_dir)),
     }
     views.register_views(spark, {n: build[n]() for n in names})
 
@@ -319,7 +326,7 @@ def _gold_views(spark, sf_dir, names):
 @register("top_keywords")
 def q_top_keywords(spark, sf_dir):
     """SL-02/03: the 50 keyword days with most products over the whole mart."""
-    mart = marts.keyword_daily(facts.ranking_rows(silver_cards(spark, sf_dir)), audit_col=None)
+    mart = keyword_mart(spark, sf_dir)
     return topk.top_k(mart, ["total_products"], 50, ties=["keyword", "marketplace", "ingested_at"])
 
 
@@ -340,27 +347,23 @@ def q_price_lookup(spark, sf_dir):
 # ---------------------------------------------------------------- analytics
 
 
-def keyword_mart(spark, sf_dir):
-    return marts.keyword_daily(facts.ranking_rows(silver_cards(spark, sf_dir)), audit_col=None)
-
-
 @register("opportunity")
 def q_opportunity(spark, sf_dir):
     """AN-01: opportunity score and target flag for every keyword day."""
-    return analytics.opportunity(keyword_mart(spark, sf_dir))
+    return analytics.opportunity(materialize(spark, keyword_mart(spark, sf_dir)))
 
 
 @register("opportunity_top")
 def q_opportunity_top(spark, sf_dir):
     """AN-01 + SL-03: shortlist of the 50 best keyword days."""
-    return topk.top_k(analytics.opportunity(keyword_mart(spark, sf_dir)), ["opportunity_score"], 50,
+    return topk.top_k(analytics.opportunity(materialize(spark, keyword_mart(spark, sf_dir))), ["opportunity_score"], 50,
                       ties=["keyword", "marketplace", "ingested_at"])
 
 
 @register("margin")
 def q_margin(spark, sf_dir):
     """AN-02: margin screen with discount pressure and coupon density."""
-    cards = silver_cards(spark, sf_dir)
+    cards = materialize(spark, silver_cards(spark, sf_dir))
     ranking = facts.ranking_rows(cards)
     return analytics.margin(marts.keyword_daily(ranking, audit_col=None), ranking, facts.price_snapshot_rows(cards))
 
@@ -380,7 +383,7 @@ def q_ad_saturation(spark, sf_dir):
 @register("fragmentation")
 def q_fragmentation(spark, sf_dir):
     """AN-05: fragmented keyword days."""
-    return analytics.fragmentation(keyword_mart(spark, sf_dir))
+    return analytics.fragmentation(materialize(spark, keyword_mart(spark, sf_dir)))
 
 
 @register("rank_moves")
@@ -395,9 +398,89 @@ def q_keyword_dimension(spark, sf_dir):
     return analytics.keyword_dimension(keyword_mart(spark, sf_dir))
 
 
+def spelled_cards(spark, sf_dir):
+    """Every card with its keyword as people type it: in capitals, plural, with
+    blanks, with a letter missing, replaced or added."""
+    e = fixtures.table(spark, sf_dir, "events")
+    word = F.concat("event_type", F.lit(" case"))
+    at = (F.col("event_id") % F.length(word) + 1).cast("int")
+    left, right = F.expr("substring(word, 1, at - 1)"), F.expr("substring(word, at + 1)")
+    kind = F.col("event_id") % 7
+    typed = (
+        F.when(kind == 1, F.upper("word")).when(kind == 2, F.concat("word", F.lit("s"))).when(kind == 3, F.concat(F.lit("  "), F.replace("word", F.lit(" "), F.lit("  "))))
+        .when(kind == 4, F.concat(left, right)).when(kind == 5, F.concat(left, F.lit("q"), right)).when(kind == 6, F.concat(left, F.lit("qq"), right))
+        .otherwise(F.col("word"))
+    )
+    return e.select("event_id", "user_id", word.alias("word"), at.alias("at")).select("event_id", "user_id", typed.alias("keyword"))
+
+
+@register("keyword_variants")
+def q_keyword_variants(spark, sf_dir):
+    """AN-07: cards per group of keyword variants and user's remainder."""
+    cards = spelled_cards(spark, sf_dir)
+    groups = variants.keyword_variants(cards)
+    return cards.join(groups, "keyword").groupBy("keyword_group", (F.col("user_id") % 3).alias("part")).agg(
+        F.count("*").alias("cards"), F.count_distinct("keyword").alias("n_keywords")
+    )
+
+
 # ---------------------------------------------------------------- data quality
 
 
+def faulty_cards(spark, sf_dir):
+    """Every card, some with faults: unreadable sales, ratings above five,
+    coupons above the price, unknown marketplaces, no keyword."""
+    c = fixtures.raw_cards(spark, sf_dir)
+    best, choice = F.col("is_best_seller"), F.col("is_amazons_choice")
+    return c.withColumns({
+        "rating": F.when(best, F.lit("7.9 out of 5 stars")).otherwise(F.col("rating")),
+        "monthly_sales": F.when(choice, F.lit("many bought")).otherwise(F.col("monthly_sales")),
+        "coupon": F.when(choice, F.lit("Save 150%with coupon")).otherwise(F.col("coupon")),
+        "marketplace": F.when(choice & F.col("is_prime"), F.lit("XX")).otherwise(F.col("marketplace")),
+        "keyword": F.when(best & F.col("is_sponsored"), F.lit(None)).otherwise(F.col("keyword")),
+    })
+
+
+CARD_RULES = (
+    quality.Rule("rating in stars", "range", "rating_value", 1, 5),
+    quality.Rule("coupon share", "range", "coupon_discount_pct", 0, 100),
+    quality.Rule("coupon share, mostly", "range", "coupon_discount_pct", 0, 100, tolerance=0.9),
+    quality.Rule("reviews not negative", "range", "ratings_count_value", 0),
+    quality.Rule("sales read", "parsed", "monthly_sales_min", raw="monthly_sales"),
+    quality.Rule("rating read", "parsed", "rating_value", raw="rating"),
+    quality.Rule("keyword known", "known", "keyword"),
+    quality.Rule("asin known", "known", "asin"),
+    quality.Rule("marketplace", "one_of", "marketplace", values=("US", "DE", "VN")),
+)
+
+
+@register("dq_rules")
+def q_dq_rules(spark, sf_dir):
+    """DQ-06: the card rules over every card with planted faults."""
+    cards = faulty_cards(spark, sf_dir)
+    _, coupon = parse.parse_coupon("coupon")
+    typed = cards.select(
+        "asin", "keyword", "marketplace", "rating", "monthly_sales", parse.parse_rating("rating").alias("rating_value"),
+        parse.parse_ratings_count("ratings_count").alias("ratings_count_value"), parse.parse_monthly_sales("monthly_sales").alias("monthly_sales_min"),
+        coupon.alias("coupon_discount_pct"),
+    )
+    return quality.check_rules(typed, CARD_RULES)
+
+
+@register("dq_faulty_dimension")
+def q_dq_faulty_dimension(spark, sf_dir):
+    """DQ-01, DQ-02, DQ-05 on a dimension with planted faults: current rows of
+    one marketplace twice, keys lost in another, closed versions that end too
+    early."""
+    dim = materialize(spark, product_dim(spark, sf_dir))
+    early = F.when((F.col("marketplace") == "US") & ~F.col("is_current"), F.date_sub("expiry_date", 1)).otherwise(F.col("expiry_date"))
+    lost = F.when((F.col("marketplace") == "VN") & F.col("is_fba"), F.lit(None)).otherwise(F.col("asin"))
+    faulty = dim.withColumns({"expiry_date": early, "asin": lost}).unionByName(dim.where((F.col("marketplace") == "DE") & F.col("is_current")))
+    keys = ["asin", "marketplace"]
+    chain = quality.version_chain(faulty.where("marketplace = 'US'"), keys)
+    return quality.duplicate_current(faulty.where("asin is not null"), keys).unionByName(quality.null_keys(faulty, keys)).unionByName(chain)
+
+
 @register("dq_duplicate_current")
 def q_dq_duplicate_current(spark, sf_dir):
     """DQ-01 on the product dimension."""
