@@ -742,3 +742,36 @@ UNION ALL SELECT 'open_not_last', count(*) FILTER (WHERE nxt IS NOT NULL AND is_
 UNION ALL SELECT 'last_not_open', count(*) FILTER (WHERE nxt IS NULL AND NOT is_current) FROM v
 UNION ALL SELECT 'inverted', count(*) FILTER (WHERE effective_date > expiry_date) FROM v
 UNION ALL SELECT 'duplicate_sk', count(product_sk) - count(DISTINCT product_sk) FROM v"""
+
+# ------------------------------------------------------------------ served views, stored reads and writes
+
+PERF_CURRENT = f"""
+perf_current AS (
+  SELECT d.product_sk, p.* FROM performance p LEFT JOIN {DIM_CURRENT_SK} d USING (asin, marketplace)
+)"""
+BRAND_DAILY = BRAND_MART.replace("fact_performance f LEFT JOIN dim d", "perf_current f LEFT JOIN (SELECT * FROM dim WHERE is_current) d")
+SQL["mart_brand_daily"] = with_(*DIM_CHAIN, PERFORMANCE, PERF_CURRENT, BRAND_DAILY) + "SELECT * FROM brand_mart"
+
+SQL["served_views"] = with_(*DIM_CHAIN, *CARD_CHAIN, RANKING_ROWS, KEYWORD_MART, PRICE_ROWS, PERFORMANCE, PERF_CURRENT, BRAND_DAILY) + """
+SELECT 'dim_product' AS name, false AS was_missing, 1 AS place, count(*) AS rows FROM dim WHERE is_current
+UNION ALL SELECT 'fact_price_snapshot', false, 2, count(*) FROM price_rows
+UNION ALL SELECT 'fact_product_performance', true, 3, count(*) FROM performance
+UNION ALL SELECT 'fact_search_ranking', false, 4, count(*) FROM ranking
+UNION ALL SELECT 'mart_brand_competitive', true, 5, count(*) FROM brand_mart
+UNION ALL SELECT 'mart_keyword_daily', true, 6, count(*) FROM keyword_mart"""
+
+SQL["day_reads"] = with_(*CARD_CHAIN) + """
+, newest AS (SELECT max(ingested_at) AS d FROM silver_cards)
+SELECT w.way, s.* FROM silver_cards s, newest, (VALUES ('partition'), ('equality'), ('sql')) w(way) WHERE s.ingested_at = d
+UNION ALL SELECT 'rest', s.* FROM silver_cards s, newest WHERE s.ingested_at < d"""
+
+SQL["write_appends"] = with_(*CARD_CHAIN) + """
+SELECT 'appended' AS step, * FROM silver_cards UNION ALL SELECT 'appended', * FROM silver_cards
+UNION ALL SELECT 'overwritten', * FROM silver_cards WHERE marketplace = 'DE'"""
+
+SQL["write_reports"] = with_(*CARD_CHAIN) + """
+, n AS (SELECT count(*) AS a, count(*) FILTER (WHERE marketplace = 'US') AS us,
+               count(*) FILTER (WHERE ingested_at = (SELECT max(ingested_at) FROM silver_cards)) AS d FROM silver_cards)
+SELECT step::INTEGER AS step, mode, rows, 23 AS n_columns, skipped, a AS stored_rows FROM n, LATERAL (VALUES
+  (0, 'append', a, false), (1, 'append', 0, true), (2, 'ignore', 0, true), (3, 'overwrite', us, false), (4, 'overwrite', 0, true),
+  (5, 'overwrite', d, false), (6, 'overwrite', 0, true), (7, 'overwrite', a, false)) v(step, mode, rows, skipped)"""

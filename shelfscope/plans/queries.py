@@ -301,6 +301,19 @@ def q_new_keys(spark, sf_dir):
 # ---------------------------------------------------------------- query layer
 
 
+def brand_daily(spark, sf_dir, dim: DataFrame) -> DataFrame:
+    """The brand mart as day runs build it: facts keyed by the current
+    dimension and joined to it."""
+    perf = facts.fact_product_performance(silver_listings(spark, sf_dir), dim, audit_col=None)
+    return marts.brand_competitive(perf, dim, audit_col=None)
+
+
+@register("mart_brand_daily")
+def q_mart_brand_daily(spark, sf_dir):
+    """PL-09, JN-03, FL-04 in the daily form: the current version's brand."""
+    return brand_daily(spark, sf_dir, materialize(spark, product_dim(spark, sf_dir)))
+
+
 def _gold_views(spark, sf_dir, names):
     """Register the named served views, built only when named.  Gold frames a
     view query reads more than once (the latest-day subquery and the main
@@ -318,7 +331,14 @@ def _gold_views(spark, sf_dir, names):
         "fact_price_snapshot": lambda: materialize(
             spark, facts.fact_price_snapshot(silver_cards(spark, sf_dir), dim(), audit_col=None)
         ),
+        "fact_search_ranking": lambda: materialize(
+            spark, facts.fact_search_ranking(silver_cards(spark, sf_dir), dim(), audit_col=None)
+        ),
+        "fact_product_performance": lambda: materialize(
+            spark, facts.fact_product_performance(silver_listings(spark, sf_dir), dim(), audit_col=None)
+        ),
         "mart_keyword_daily": lambda: materialize(spark, keyword_mart(spark, sf_dir)),
+        "mart_brand_competitive": lambda: materialize(spark, brand_daily(spark, sf_dir, dim())),
     }
     views.register_views(spark, {n: build[n]() for n in names})
 
@@ -344,6 +364,27 @@ def q_price_lookup(spark, sf_dir):
     return views.price_lookup(spark, "US")
 
 
+@register("served_views")
+def q_served_views(spark, sf_dir):
+    """QL-01..03, SL-04, SO-02: half of the views served first, then all; per
+    view whether it was missing before, whether it is listed now, its place in
+    the listing and its rows as SQL counts them."""
+    names = [v.name for v in views.describe_views()]
+    for name in names:
+        spark.catalog.dropTempView(name)
+    _gold_views(spark, sf_dir, names[:3])
+    missing = set(views.missing_views(spark))
+    _gold_views(spark, sf_dir, names)
+    listed = [n for n in views.list_views(spark) if n in names]
+    if views.missing_views(spark):
+        raise RuntimeError(f"views not served: {views.missing_views(spark)}")
+    rows = [spark.sql(f"SELECT '{n}' AS name, {n in missing} AS was_missing, {listed.index(n) + 1} AS place, count(*) AS rows FROM {n}") for n in names]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
 # ---------------------------------------------------------------- analytics
 
 
@@ -659,6 +700,59 @@ def q_replace_partition_rerun(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@register("day_reads")
+def q_day_reads(spark, sf_dir):
+    """SC-09..12, FL-01: the newest day of the stored silver cards, read as a
+    partition, by a typed equality and by SQL on the folder, and the other days
+    by a lazy scan."""
+    path = shared_dir(spark, "silver_cards")
+    tables.replace_partitions(silver_cards(spark, sf_dir), path, whole=True)
+    table = tables.read_table(spark, path)
+    day = str(table.agg(F.max("ingested_at")).first()[0])
+    ways = {
+        "partition": tables.read_table(spark, path, ("ingested_at", day)),
+        "equality": views.on_day(table, day),
+        "sql": views.path_scan(spark, path, f"ingested_at = DATE '{day}'"),
+        "rest": table.where(F.col("ingested_at") < F.lit(day).cast("date")),
+    }
+    out = None
+    for way, rows in ways.items():
+        rows = rows.select(F.lit(way).alias("way"), *table.columns)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@register("write_appends")
+def q_write_appends(spark, sf_dir):
+    """SK-01: the rows of two whole-table appends and of the overwrite that
+    follows, each read back when it was written."""
+    path = shared_dir(spark, "appends")
+    s = materialize(spark, silver_cards(spark, sf_dir))
+    for _ in range(2):
+        tables.write_table(s, path, "append", partition_by=["ingested_at"])
+    appended = materialize(spark, spark.read.parquet(path))
+    tables.write_table(s.where("marketplace = 'DE'"), path, "overwrite", partition_by=["ingested_at"])
+    last = spark.read.parquet(path)
+    return appended.select(F.lit("appended").alias("step"), *s.columns).unionByName(last.select(F.lit("overwritten").alias("step"), *s.columns))
+
+
+@register("write_reports")
+def q_write_reports(spark, sf_dir):
+    """SK-01, SK-02, SK-06, SK-07: what each kind of write of the silver cards
+    reports, in the order written."""
+    path = shared_dir(spark, "reports")
+    s = materialize(spark, silver_cards(spark, sf_dir))
+    day = s.agg(F.max("ingested_at")).first()[0]
+    only = s.where(F.col("ingested_at") == F.lit(day))
+    done = [tables.write_table(df, path, mode, partition_by=["ingested_at"]) for df, mode in (
+        (s, "append"), (s.limit(0), "append"), (s, "ignore"), (s.where("marketplace = 'US'"), "overwrite"), (s.limit(0), "overwrite"),
+    )]
+    done += [tables.replace_partition(only, path, day), tables.replace_partition(only.limit(0), path, day), tables.replace_partitions(s, path)]
+    stored = spark.read.parquet(path).count()
+    rows = [(i, r.mode, r.rows, r.n_columns, r.skipped, stored) for i, r in enumerate(done)]
+    return spark.createDataFrame(rows, "step int, mode string, rows long, n_columns int, skipped boolean, stored_rows long")
+
+
 @register("write_modes")
 def q_write_modes(spark, sf_dir):
     """SK-01/06/07: two appends, a partitioned overwrite with fewer rows, an
