@@ -46,10 +46,10 @@ from pyspark.sql import types as T
 from . import common
 
 GRAM = 16
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 4 << 20
 HASH_BYTES = 1 << 20
-BLOCK_BYTES = 4 << 20  # text bytes per block
-HELD_BYTES = 48 << 20
+BLOCK_BYTES = 2 << 20  # text bytes per block
+HELD_BYTES = 24 << 20
 COMMON_BITS = 20
 COMMON_SHARE = 0.005  # a gram in this share of the sampled documents is common
 SAMPLED = 20_000  # expected number of documents that the common grams are taken from
