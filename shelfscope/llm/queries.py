@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import embedding_dedup, hilbert, mixing, nn_descent, prior_factors, quality, runs, simhash, toxicity, trie, warc
+from . import embedding_dedup, hilbert, mixing, nn_descent, oracles, prior_factors, quality, runs, simhash, toxicity, trie, warc
 from .bpe import encode_documents
 from .common import read, stored
 from .token_counts import count_tokens
@@ -129,4 +129,10 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
 FROM p LEFT JOIN m ON m.d = p.payload_digest
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op10_embedding_dedup": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_warc": OP1_SQL,
+    "op10_embedding_dedup": OP10_SQL,
+    "op11_prefix_trie": oracles.OP11,
+    "op12_suffix_dedup": oracles.OP12,
+    "op13_periodic_runs": oracles.OP13,
+}
