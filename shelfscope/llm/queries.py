@@ -57,7 +57,7 @@ def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return quality.score(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
+    return quality.learn_and_score(docs, read(spark, sf_dir, "labels"))
 
 
 def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

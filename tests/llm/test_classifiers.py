@@ -56,6 +56,71 @@ def test_the_risk_separates_junk_without_negative_labels():
     assert (m.scores(junk[1000:]) < 0.3).mean() > 0.9
 
 
+def test_texts_without_evidence_score_below_sentences(spark):
+    docs, labels = (spark.read.parquet(f"{MEDIUM}/{t}.parquet") for t in ("documents", "labels"))
+    m = quality.fit(docs, labels.where("quality = 1"))
+    score = lambda t: float(m.scores(quality.measures(t)[None])[0])
+    sentences = ["The cat sat on the mat and looked at the moon for a while.", "Der Hund lief durch den Wald und kam nicht mehr nach Hause."]
+    least = min(map(score, sentences))
+    assert score("") < quality.THRESHOLD < least
+    assert all(score("") < score(t) < least for t in ("a", "ok", "buy", "login logout home"))
+    assert all(score(t) < quality.THRESHOLD for t in (" | ".join(f"word{i}" for i in range(30)), "BUY!! NOW!! " * 40, "spam " * 90))
+
+
+def test_the_prior_comes_from_positives_and_unlabelled_text():
+    rng = np.random.default_rng(5)
+    for share in (0.5, 0.8, 0.95):
+        good, junk = rng.normal(3, 1, 60_000), rng.normal(-3, 1, 20_000)
+        n = int(20_000 * share)
+        u = np.concatenate([good[:n], junk[: 20_000 - n]])
+        edges = np.linspace(-10, 10, quality.BINS + 1)
+        got = quality.least_ratio(np.histogram(good[40_000:], edges)[0], np.histogram(u, edges)[0])
+        assert abs(got - share) < 0.03
+    assert quality.least_ratio(np.zeros(4), np.ones(4)) == 0.5
+
+
+def test_no_descent_step_lowers_the_fitted_risk():
+    """Plain projected descent from many starts finds no lower risk."""
+    rng = np.random.default_rng(6)
+    p = rng.uniform(0, 0.4, (400, 4))
+    u = np.vstack([rng.uniform(0, 0.4, (600, 4)), rng.uniform(0.2, 1, (250, 4))])
+    prior, x, kind = 0.7, np.vstack([p, u]), np.repeat([0, 1], [400, 850])
+
+    def value(w):
+        gp, gu = p @ w[:-1] + w[-1], u @ w[:-1] + w[-1]
+        sp = lambda g: np.logaddexp(0, g).mean()
+        return prior * sp(-gp) + max(0.0, sp(gu) - prior * sp(gp)) + w[:-1] @ w[:-1] / (2 * quality.VARIANCE * len(p))
+
+    total = lambda ws: quality.unpack(quality.partial_sums(x, kind, ws), len(ws), 5)
+    for signs in (np.zeros(5), np.array([-1, -1, 1, 0, 0])):
+        w = quality.minimise(total, 5, prior, signs=signs)
+        assert (w * signs >= 0).all()
+        best = np.inf
+        for _ in range(3):
+            v, rate = rng.normal(0, 1, 5), 2.0
+            for _ in range(4000):
+                h = 1e-5
+                grad = np.array([(value(v + h * e) - value(v - h * e)) / (2 * h) for e in np.eye(5)])
+                v = v - rate * grad
+                v = np.where(v * signs < 0, 0.0, v)
+            best = min(best, value(v))
+        assert value(w) <= best + 1e-4
+
+
+def test_the_distributed_fit_equals_the_fit_in_memory(spark):
+    docs, labels = (spark.read.parquet(f"{MEDIUM}/{t}.parquet") for t in ("documents", "labels"))
+    m = quality.fit(docs, labels)
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect() if not held(r.doc_id)}
+    good = [r.doc_id for r in labels.where("quality = 1").collect() if r.doc_id in texts]
+    rows = {i: quality.measures(t or "")[: quality.SIZE] for i, t in texts.items()}
+    x = np.vstack([[rows[i] for i in good], list(rows.values())])
+    kind = np.repeat([0, 1], [len(good), len(rows)])
+    d = quality.SIZE + 1
+    total = lambda ws: quality.unpack(quality.partial_sums(x, kind, ws), len(ws), d)
+    w = quality.minimise(total, d, m.prior, signs=quality.SIGNS)
+    assert np.allclose(w, [*m.weights, m.bias], atol=0.02)
+
+
 def test_op4_held_out_toxicity(spark, truth):
     rows = {r.doc_id: r for r in queries.op4_toxicity(spark, MEDIUM).collect()}
     test = [(rows[i].toxic, t["toxic"]) for i, t in truth.items() if held(i)]
