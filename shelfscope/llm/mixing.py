@@ -13,11 +13,17 @@ from r = 1, in the metric of the tokens.  Posteriors sum to 1, so the
 curvature is at most 1 and the step is 1.  One round is one aggregation over a narrow table; the
 driver holds only sums per domain.  Given those, posterior and rate are
 expressions of the text, so rates are applied without a join.
+
+With a largest rate ``most`` the descent is projected on rates up to ``most``, and
+no domain's target is over ``most / 2`` times its tokens: what a rare domain
+cannot take is left to the others in proportion to their weights.  ``Rates``
+tells targets and reached totals; a missed target is also a warning.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -119,11 +125,12 @@ def fit_domains(labelled: DataFrame, domain_col: str = "domain", weights: Iterab
 @dataclass(frozen=True)
 class Rates:
     """The steps of the fit: each lowers a document's rate by the product of
-    its posteriors with the step, and cuts it at 0."""
+    its posteriors with the step, and cuts it at 0 (and at ``most``)."""
 
     steps: tuple[tuple[float, ...], ...]
     targets: tuple[float, ...]
     reached: tuple[float, ...]
+    most: float | None = None
 
     def rate(self, posteriors: Column, start: Column | None = None, first: int = 0) -> Column:
         r = F.lit(1.0) if start is None else start
@@ -131,14 +138,35 @@ class Rates:
             return r
         steps = F.array(*[F.array(*map(F.lit, s)) for s in self.steps[first:]])
         dot = lambda s: F.aggregate(F.zip_with(posteriors, s, lambda p, x: p * x), F.lit(0.0), lambda a, x: a + x)
-        return F.aggregate(steps, r, lambda acc, s: F.greatest(F.lit(0.0), acc - dot(s)))
-
-
-def fit_rates(rows: DataFrame, names: tuple[str, ...], weights: dict[str, float], total: float | None = None) -> Rates:
+        top = (lambda c: c) if self.most is None else (lambda c: F.least(F.lit(float(self.most)), c))
+        return F.aggregate(steps, r, lambda acc, s: top(F.greatest(F.lit(0.0), acc - dot(s))))
+
+
+def bounded_targets(now: list[float], want: list[float], most: float) -> list[float]:
+    """Token targets in the proportions ``want`` (0: no part) at the least total
+    at which no domain shrinks, none over ``most`` times its tokens: domains
+    that would be stay there, and the total is that of the others."""
+    held: set[int] = set()
+    while True:
+        open_ = [i for i, w in enumerate(want) if w > 0 and i not in held]
+        if not open_:
+            return [most * now[i] if i in held else 0.0 for i in range(len(now))]
+        unit = max(now[i] / want[i] for i in open_)
+        over = [i for i in open_ if want[i] * unit > most * now[i]]
+        if not over:
+            return [most * now[i] if i in held else want[i] * unit for i in range(len(now))]
+        # The rarest against its weight goes first; the others may then fit.
+        held.add(min(over, key=lambda i: now[i] / want[i]))
+
+
+def fit_rates(rows: DataFrame, names: tuple[str, ...], weights: dict[str, float], total: float | None = None, most: float | None = None) -> Rates:
     """Rates for ``rows`` (``__tokens``, ``p``) that bring the expected tokens
     of each domain to its share of ``total``.  By default ``total`` is the
-    least one at which no domain has to give up tokens.  Domains without
-    tokens or weight do not take part."""
+    least one at which no domain has to give up tokens.  ``most`` (2 or more)
+    bounds rates and targets, see above.  Domains without tokens or weight do
+    not take part."""
+    if most is not None and most < 2:
+        raise ValueError(f"largest rate {most}: at least 2 is needed")
     k = len(names)
     if not k:
         return Rates((), (), ())
@@ -153,9 +181,12 @@ def fit_rates(rows: DataFrame, names: tuple[str, ...], weights: dict[str, float]
     if not share:
         return Rates((), tuple(now), tuple(now))
     want = [weights.get(names[i], 0) / share if active[i] else 0.0 for i in range(k)]
-    if total is None:
-        total = max(now[i] / want[i] for i in range(k) if active[i])
-    target = [w * total for w in want]
+    if total is None and most is not None:
+        target = bounded_targets(now, want, most / 2)
+    else:
+        if total is None:
+            total = max(now[i] / want[i] for i in range(k) if active[i])
+        target = [w * total for w in want]
     start = now
     steps: list[tuple[float, ...]] = []
     base, done = rows, 0
@@ -164,13 +195,16 @@ def fit_rates(rows: DataFrame, names: tuple[str, ...], weights: dict[str, float]
         if max(abs(e) / t for e, t in zip(error, target) if t) < TOLERANCE:
             break
         steps.append(tuple(e / s if s else 0.0 for e, s in zip(error, start)))
-        part = Rates(tuple(steps), (), ())
+        part = Rates(tuple(steps), (), (), most)
         rate = part.rate(F.col("p"), F.col("__r") if done else None, done)
         if len(steps) - done == KEEP_EVERY:
             base = stored(base.withColumn("__r2", rate).drop("__r").withColumnRenamed("__r2", "__r"), "mixing-rates")
             done, rate = len(steps), F.col("__r")
         now = totals(base, rate)
-    return Rates(tuple(steps), tuple(target), tuple(now))
+    missed = {names[i]: round(now[i] / target[i], 4) for i in range(k) if target[i] and abs(now[i] / target[i] - 1) > TOLERANCE}
+    if missed:
+        warnings.warn(f"domains off their target tokens (reached / target): {missed}", stacklevel=2)
+    return Rates(tuple(steps), tuple(target), tuple(now), most)
 
 
 def copies(rate: Column, key: Column) -> Column:
@@ -180,7 +214,7 @@ def copies(rate: Column, key: Column) -> Column:
     return (F.floor(rate) + (u < rate - F.floor(rate)).cast("int")).cast("int")
 
 
-def fit(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], id_col: str, text_col: str, domain_col: str) -> tuple[Domains, Rates, DataFrame]:
+def fit(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], id_col: str, text_col: str, domain_col: str, most: float | None = None) -> tuple[Domains, Rates, DataFrame]:
     """Domains from the documents that ``labelled`` (id, domain) covers, rates
     over all of ``docs``, and the narrow table of ids, tokens and posteriors.
     Texts are measured once; only measures meet the labelled table.  Ids with
@@ -195,7 +229,7 @@ def fit(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], id_col:
     else:
         rows = domains.with_posteriors(rows)
     rows = stored(rows.select("id", "__tokens", "p"), "mixing-rows")
-    return domains, fit_rates(rows, domains.names, weights), rows
+    return domains, fit_rates(rows, domains.names, weights, most=most), rows
 
 
 def labelled_by(docs: DataFrame, labels: DataFrame, domain: str, id_col: str = "doc_id") -> DataFrame:
@@ -206,7 +240,7 @@ def labelled_by(docs: DataFrame, labels: DataFrame, domain: str, id_col: str = "
 
 
 def document_rates(
-    docs: DataFrame, labelled: DataFrame, weights: dict[str, float], id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain"
+    docs: DataFrame, labelled: DataFrame, weights: dict[str, float], id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", most: float | None = None
 ) -> DataFrame:
     """One row per input row: id, ``n_tokens``, ``p_<domain>`` per labelled
     domain, ``rate`` (0 or more) and ``copies``.  Of more than ``MOST_DOMAINS``
@@ -216,7 +250,7 @@ def document_rates(
     repeated ids keep their rows.  Without labelled domains, or where no
     weighted domain has tokens, every rate is 1.  Other columns are not read.
     """
-    domains, rates, rows = fit(docs, labelled, weights, id_col, text_col, domain_col)
+    domains, rates, rows = fit(docs, labelled, weights, id_col, text_col, domain_col, most)
     rows = _once(rows, rate=rates.rate(F.col("p")))
     return rows.select(
         F.col("id").alias(id_col),
@@ -227,10 +261,11 @@ def document_rates(
     )
 
 
-def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain") -> DataFrame:
-    """``docs`` with every row repeated by its rate's copies, columns as they
-    are; one pass, no join."""
-    domains, rates, _ = fit(docs, labelled, weights, id_col, text_col, domain_col)
+def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", most: float | None = None) -> DataFrame:
+    """``docs`` with every row repeated by its rate's copies (at most ``most``), columns
+    as they are, clashing names too; one pass, no join.  Null and empty texts
+    have the prior's rate; an empty table stays empty."""
+    domains, rates, _ = fit(docs, labelled, weights, id_col, text_col, domain_col, most)
     if not rates.steps:
         return docs
     names = [f"__d{i}" for i in range(len(docs.columns))]

@@ -15,6 +15,8 @@ from .token_counts import count_tokens
 
 #: Target shares of the languages in the mix.
 MIX_WEIGHTS = {"en": 0.55, "de": 0.16, "fr": 0.16, "es": 0.13}
+#: No document is repeated more often, no language grows beyond half of it.
+MIX_MOST = 8.0
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +29,7 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return mixing.document_rates(docs, mixing.labelled_by(docs, read(spark, sf_dir, "labels"), "lang"), MIX_WEIGHTS)
+    return mixing.document_rates(docs, mixing.labelled_by(docs, read(spark, sf_dir, "labels"), "lang"), MIX_WEIGHTS, most=MIX_MOST)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -123,3 +123,26 @@ def test_many_tags_without_weight_are_one_domain(spark):
     got, want = (mixing.document_rates(df, t, weights) for t in (tags, folded))
     assert got.columns == ["doc_id", "n_tokens", "p_en", "p_es", "p_other", "rate", "copies"] == want.columns
     assert sorted(map(tuple, got.collect())) == [pytest.approx(tuple(r)) for r in sorted(want.collect())]
+
+
+def test_a_rare_domain_does_not_set_the_size(spark):
+    rows = [(i, "the white whale swam away", "en") for i in range(2000)] + [(5000 + i, "año ñandú ó mañana señor niño", "es") for i in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    tags = df.select("doc_id", F.col("lang").alias("domain"))
+    weights = {"en": 0.55, "es": 0.45}
+    out = mixing.document_rates(df, tags, weights, most=8.0).collect()
+    assert all(0 <= r.rate <= 8.0 and r.copies <= 8 for r in out)
+    assert min(r.copies for r in out) >= 1 and sum(r.copies for r in out) <= 2000 * 2
+    assert all(r.rate > 2 for r in out if r.doc_id >= 5000)
+    mixed = mixing.mix(df, tags, weights, most=8.0)
+    assert mixed.count() == sum(r.copies for r in out)
+    with pytest.raises(ValueError):
+        mixing.document_rates(df, tags, weights, most=1.0)
+
+
+def test_bounded_targets():
+    assert mixing.bounded_targets([10.0, 20.0, 5.0], [0.25, 0.5, 0.25], 4.0) == [10.0, 20.0, 10.0]
+    assert mixing.bounded_targets([2000.0, 2.0, 9.0], [0.5, 0.5, 0.0], 4.0) == [2000.0, 8.0, 0.0]
+    got = mixing.bounded_targets([1000.0, 400.0, 1.0], [0.4, 0.4, 0.2], 4.0)
+    assert got == [1000.0, 1000.0, 4.0]
+    assert mixing.bounded_targets([3.0, 0.0], [1.0, 0.0], 4.0) == [3.0, 0.0]
