@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from shelfscope.llm import bpe, mixing, quality, simhash, toxicity
 from shelfscope.llm.common import read, stored
-from shelfscope.llm.queries import MIX_WEIGHTS
+from shelfscope.llm.queries import MIX_MOST, MIX_WEIGHTS
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score reaches the threshold."""
+    """Documents whose quality score reaches the threshold; null and empty texts
+    do not.  Repeated rows are judged alike, other columns pass through."""
     model = quality.fit(docs, read(spark, sf_dir, "labels"))
     scored = quality.with_scores(docs, model, "text", "__score")
     return scored.where(F.col("__score") >= quality.THRESHOLD).select(*docs.columns)
@@ -39,8 +40,10 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated by the rates that bring the languages to their
-    target weights; targets lie where no language has to shrink."""
-    return mixing.mix(docs, mixing.labelled_by(docs, read(spark, sf_dir, "labels"), "lang"), MIX_WEIGHTS)
+    target weights; targets lie where no language has to shrink, and no
+    document is repeated more than ``MIX_MOST`` times.  Null and empty texts are
+    kept at the prior's rate."""
+    return mixing.mix(docs, mixing.labelled_by(docs, read(spark, sf_dir, "labels"), "lang"), MIX_WEIGHTS, most=MIX_MOST)
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
