@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfscope.functions.hashing import attr_hash, surrogate_key
@@ -172,33 +172,18 @@ def dim_totals(dim: DataFrame) -> DataFrame:
     )
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (a bounded scan)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def lookup_sk(
     fact: DataFrame,
     dim: DataFrame,
     keys: Sequence[str] = PRODUCT_KEYS,
     cols: Sequence[str] = ("product_sk",),
-    broadcast_max_rows: int | None = None,
 ) -> DataFrame:
     """JN-01: attach the current version's columns; unmatched rows keep nulls.
 
-    Without ``broadcast_max_rows`` the planner decides from statistics and AQE
-    from runtime sizes.  With it, the current dimension is broadcast only
-    after a bounded count proves it has at most that many rows; otherwise the
-    join stays a shuffle join.
+    No hint is given: the planner decides from statistics and AQE from
+    runtime sizes whether the current versions are broadcast.
     """
-    cur = current_only(dim).select(*keys, *cols)
-    if broadcast_max_rows is not None and fits_broadcast(cur, broadcast_max_rows):
-        cur = F.broadcast(cur)
-    return fact.join(cur, list(keys), "left")
-
-
-def _month(c: Column) -> Column:
-    return F.year(c) * 12 + F.month(c)
+    return fact.join(current_only(dim).select(*keys, *cols), list(keys), "left")
 
 
 def asof_lookup(
@@ -211,39 +196,28 @@ def asof_lookup(
     """JN-06: attach the version valid on ``at``
     (``effective_date <= at <= coalesce(expiry_date, +inf)``).
 
-    A plain equi-join on the key would pair every fact of a key with every
-    version of it.  Closed versions are instead listed once per calendar month
-    they cover and joined on (key, month), so a fact meets only the versions
-    of its own month; open versions (one per key) join on the key alone.
+    A merge scan instead of a range join: the days on which a key has facts
+    and the key's versions lie on one timeline, and a window carries the last
+    version forward along it.  A timeline has one point per day and version of
+    its key, however many facts the key has, because equal (key, day) pairs
+    are combined before the shuffle.  The facts then meet their own (key, day)
+    once, so a hot key is spread over its days.  Rows with a null key or day
+    find nothing; versions of a key do not overlap.  ``fact`` is read twice:
+    its keys and days, and the rows.
     """
     keys = list(keys)
-    d = dim.select(
-        *[F.col(k).alias(f"_d_{k}") for k in keys],
-        F.col("effective_date").alias("_d_eff"),
-        F.col("expiry_date").alias("_d_exp"),
-        *[F.col(c).alias(f"_d_{c}") for c in cols],
-    )
-    closed = d.filter(F.col("_d_exp").isNotNull()).withColumn(
-        "_d_m", F.explode(F.sequence(_month(F.col("_d_eff")), _month(F.col("_d_exp"))))
-    )
-    opened = d.filter(F.col("_d_exp").isNull()).select(
-        *[F.col(f"_d_{k}").alias(f"_o_{k}") for k in keys],
-        F.col("_d_eff").alias("_o_eff"),
-        *[F.col(f"_d_{c}").alias(f"_o_{c}") for c in cols],
-    )
-    f = fact.withColumn("_f_m", _month(F.col(at)))
-    cond1 = [f[k] == closed[f"_d_{k}"] for k in keys] + [
-        f["_f_m"] == closed["_d_m"],
-        closed["_d_eff"] <= f[at],
-        f[at] <= closed["_d_exp"],
-    ]
-    m1 = f.join(closed, cond1, "left").drop(*[f"_d_{k}" for k in keys], "_d_eff", "_d_exp", "_d_m", "_f_m")
-    cond2 = [m1[k] == opened[f"_o_{k}"] for k in keys] + [opened["_o_eff"] <= m1[at]]
-    m2 = m1.join(opened, cond2, "left")
-    return m2.select(
-        *fact.columns,
-        *[F.coalesce(F.col(f"_d_{c}"), F.col(f"_o_{c}")).alias(c) for c in cols],
-    )
+    key_cols = [f"_k{i}" for i in range(len(keys))]
+    named = [F.col(k).alias(n) for k, n in zip(keys, key_cols)]
+    found = F.struct(F.col("expiry_date").alias("until"), *[F.col(c).alias(f"_d_{c}") for c in cols])
+    versions = dim.select(*named, F.col("effective_date").alias("_day"), F.lit(False).alias("_asked"), found.alias("_found"))
+    asked = fact.select(*named, F.col(at).alias("_day")).distinct()
+    asked = asked.select(*key_cols, "_day", F.lit(True).alias("_asked"), F.lit(None).cast(versions.schema["_found"].dataType).alias("_found"))
+    so_far = Window.partitionBy(*key_cols).orderBy("_day", "_asked", F.col("_found.until").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    carried = versions.unionByName(asked).withColumn("_found", F.last("_found", ignorenulls=True).over(so_far))
+    valid = F.col("_asked") & (F.col("_found.until").isNull() | (F.col("_day") <= F.col("_found.until")))
+    points = carried.where(valid).select(*key_cols, "_day", "_found.*").drop("until")
+    met = [fact[k] == points[n] for k, n in zip(keys, key_cols)] + [fact[at] == points["_day"]]
+    return fact.join(points, met, "left").select(*[fact[c] for c in fact.columns], *[F.col(f"_d_{c}").alias(c) for c in cols])
 
 
 def new_or_changed(incoming: DataFrame, current_keys: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -37,7 +37,6 @@ class Lake:
     root: str
     raw_layout: str = "{root}/{source}/{date}"
     raw_multi_line: bool = True
-    broadcast_max_rows: int | None = None
     # "replace": a re-run replaces the day (idempotent); "append": every run adds
     # its rows and the silver dedup removes the repeats.
     bronze_mode: str = "replace"
@@ -155,8 +154,8 @@ def run_facts(spark: SparkSession, lake: Lake, day: str) -> dict:
     cards_p, listings_p = lake.path("silver", "search_results"), lake.path("silver", "product_details")
     if tables.table_exists(spark, cards_p):
         cards = tables.read_table(spark, cards_p, ("ingested_at", day))
-        ranking = facts.fact_search_ranking(cards, dim, broadcast_max_rows=lake.broadcast_max_rows)
-        price = facts.fact_price_snapshot(cards, dim, broadcast_max_rows=lake.broadcast_max_rows)
+        ranking = facts.fact_search_ranking(cards, dim)
+        price = facts.fact_price_snapshot(cards, dim)
         out["fact_search_ranking"] = tables.replace_partition(
             assert_schema(ranking, "gold/fact_search_ranking"), lake.path("gold", "fact_search_ranking"), day
         )
@@ -165,7 +164,7 @@ def run_facts(spark: SparkSession, lake: Lake, day: str) -> dict:
         )
     if tables.table_exists(spark, listings_p):
         listings = tables.read_table(spark, listings_p, ("ingested_at", day))
-        perf = facts.fact_product_performance(listings, dim, broadcast_max_rows=lake.broadcast_max_rows)
+        perf = facts.fact_product_performance(listings, dim)
         out["fact_product_performance"] = tables.replace_partition(
             assert_schema(perf, "gold/fact_product_performance"), lake.path("gold", "fact_product_performance"), day
         )

@@ -196,9 +196,10 @@ def q_fact_price_snapshot(spark, sf_dir):
 
 @register("dim_asof")
 def q_dim_asof(spark, sf_dir):
-    """JN-06: ranking rows keyed to the version valid on their day."""
-    dim = materialize(spark, product_dim(spark, sf_dir))  # closed and open versions are joined separately
-    return facts.fact_search_ranking(silver_cards(spark, sf_dir), dim, lookup="asof", audit_col=None)
+    """JN-06: ranking rows keyed to the version valid on their day, from the
+    stored silver table."""
+    cards = materialize(spark, silver_cards(spark, sf_dir))
+    return facts.fact_search_ranking(cards, product_dim(spark, sf_dir), lookup="asof", audit_col=None)
 
 
 # ---------------------------------------------------------------- dimension extras

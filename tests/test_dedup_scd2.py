@@ -126,13 +126,59 @@ def test_asof_lookup_matches_range_join(spark):
     assert got == exp
 
 
-def test_lookup_broadcast_only_when_checked(spark):
+def _range_join(fact, dim):
+    met = [
+        fact.asin == dim.asin, fact.marketplace == dim.marketplace, dim.effective_date <= fact.ingested_at,
+        fact.ingested_at <= F.coalesce(dim.expiry_date, F.lit("9999-12-31").cast("date")),
+    ]
+    return fact.join(dim, met, "left").select(fact["*"], dim.product_sk, dim.title)
+
+
+def test_asof_lookup_with_a_hot_key_repeats_gaps_and_nulls(spark):
+    # one product holds two thirds of the facts and changes every fifth day; another has a gap between versions
+    day = lambda c: F.date_add(F.lit("2024-01-01").cast("date"), c.cast("int"))
+    hot = spark.range(40).select(F.lit("hot").alias("asin"), F.lit("US").alias("marketplace"), day(F.col("id") * 5).alias("effective_date"),
+                                 F.when(F.col("id") < 39, day(F.col("id") * 5 + 4)).alias("expiry_date"), F.concat(F.lit("v"), "id").alias("title"))
+    schema = "asin string, marketplace string, effective_date date, expiry_date date, title string"
+    gap = spark.createDataFrame([("gap", "US", date(2024, 1, 3), date(2024, 1, 5), "a"), ("gap", "US", date(2024, 1, 20), None, "b"),
+                                 (None, "US", date(2024, 1, 1), None, "no key")], schema)
+    dim = hot.unionByName(gap).withColumn("product_sk", F.concat_ws("-", "asin", "title"))
+    n = F.col("id")
+    fact = spark.range(6000).select(
+        F.when(n % 3 < 2, "hot").when(n % 6 == 2, "gap").when(n % 60 == 5, F.lit(None)).otherwise("absent").alias("asin"),
+        F.lit("US").alias("marketplace"), F.when(n % 97 != 0, day(n % 211 - 4)).alias("ingested_at"), (n % 50).alias("row"),
+    )
+    order = lambda r: tuple((x is None, x) for x in map(lambda y: None if y is None else str(y), r))
+    got = sorted(map(tuple, dimension.asof_lookup(fact, dim, cols=("product_sk", "title")).collect()), key=order)
+    assert got == sorted(map(tuple, _range_join(fact, dim).collect()), key=order)
+    assert len(got) == 6000 and any(r[-1] == "v39" for r in got) and any(r[0] == "gap" and r[-1] is None for r in got)
+    none = dimension.asof_lookup(fact, dim.limit(0))
+    assert none.count() == 6000 and none.where("product_sk is not null").count() == 0
+    assert dimension.asof_lookup(fact.limit(0), dim).count() == 0
+
+
+def test_asof_lookup_meets_the_facts_once(spark):
+    """No month copies and one join: the versions are scanned once and the
+    facts travel once, on key and day."""
+    hist = _history(spark)
+    dim = dimension.scd2_rebuild(hist, tracked=["title"], attrs=["title", "untracked"])
+    text = plan_text(dimension.asof_lookup(hist.select("asin", "marketplace", "ingested_at", "title"), dim)).split("\n\n")[0]
+    assert text.count("Join") == 1 and "Generate" not in text
+
+
+def test_lookup_leaves_the_join_to_the_planner(spark):
     hist = _history(spark)
     dim = dimension.scd2_rebuild(hist, tracked=["title"], attrs=["title", "untracked"])
     fact = hist.select("asin", "marketplace", "ingested_at")
-    small = dimension.lookup_sk(fact, dim, broadcast_max_rows=1000)
-    assert "BroadcastHashJoin" in plan_text(small)
-    assert dimension.fits_broadcast(dim, 1) is False
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = dimension.lookup_sk(fact, dim)
+        text = plan_text(found)
+        assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
+        assert found.count() == fact.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_same_day_rerun_is_reported(spark, tmpdir_path):
@@ -161,21 +207,6 @@ def test_update_untracked_type1(spark):
     assert [(r.main_image_url, str(r.effective_date)) for r in upd] == [("img2", "2024-06-01")]
 
 
-def test_lookup_falls_back_to_shuffle_join_when_too_big(spark):
-    hist = _history(spark)
-    dim = dimension.scd2_rebuild(hist, tracked=["title"], attrs=["title", "untracked"])
-    fact = hist.select("asin", "marketplace", "ingested_at")
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only an explicit hint could broadcast now
-    try:
-        big = dimension.lookup_sk(fact, dim, broadcast_max_rows=1)  # 3 current rows > 1: no hint
-        text = plan_text(big)
-        assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
-        assert big.count() == fact.count()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-
-
 def test_current_lookup_prunes_to_the_current_partition(spark, tmpdir_path):
     hist = _history(spark)
     dim = dimension.scd2_rebuild(hist, tracked=["title"], attrs=["title", "untracked"])
