@@ -8,11 +8,14 @@ import zipfile
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import shared_dir
 
 PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+#: A key is hot if it holds more than one in this many rows.
+HOT_SHARE = 1000
 _shipped: set[str] = set()
 
 
@@ -48,6 +51,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_by_key(rows: DataFrame, info: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` with ``info``, which has one row per key and in
+    ``count`` how many of the ``total`` rows hold it.  Keys that hold over
+    1/``HOT_SHARE`` of all rows - fewer than ``HOT_SHARE`` of them - are
+    broadcast, so their rows stay where they are; all other rows are shuffled
+    by key.  Null keys find nothing."""
+    hot = F.col(count) * HOT_SHARE > total
+    few = F.broadcast(info.where(hot).drop(count))
+    return rows.join(few, keys).unionByName(rows.join(F.broadcast(info.where(hot).select(*keys)), keys, "left_anti").join(info.where(~hot).drop(count), keys))
+
+
 def id_type(df: DataFrame, col: str) -> T.DataType:
     return df.schema[col].dataType
 

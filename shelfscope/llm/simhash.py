@@ -27,6 +27,8 @@ SEED = 42
 #: Shingles hashed at a time, and fingerprint pairs compared at a time.
 SHINGLE_RUN = 1 << 16
 PAIR_RUN = 1 << 20
+#: Tiles of a class that one task compares with the tiles of other classes.
+GROUP_TILES = 8
 
 
 def fingerprint(text: str, words: int = 3) -> int:
@@ -118,11 +120,15 @@ def links(fps: DataFrame, radius: int = 3, block: int = 2048) -> DataFrame:
         .agg(F.collect_list("fp").alias("fps")),
         "simhash-tiles",
     )
-    guests = tiles.select(
-        F.explode(F.array(*map(F.lit, _offsets(radius)))).alias("step"), F.col("cell").alias("_from"), F.col("part").alias("_part"), F.col("fps").alias("others")
-    ).select((F.col("_from") + F.col("step")).cast("int").alias("cell"), (F.col("step") == 0).alias("own"), "_part", "others")
+    # A class meets its neighbour classes group by group of its tiles, so the
+    # largest class is the work of many tasks.
+    group = F.floor(F.col("part") / F.lit(GROUP_TILES)).cast("int").alias("group")
+    groups = tiles.select("cell", group).distinct()
+    steps = tiles.select(F.col("cell").alias("_from")).distinct().withColumn("step", F.explode(F.array(*map(F.lit, _offsets(radius)))))
+    reach = steps.select("_from", (F.col("_from") + F.col("step")).cast("int").alias("cell"), (F.col("step") == 0).alias("own")).join(groups, "cell")
+    guests = tiles.select(F.col("cell").alias("_from"), F.col("part").alias("_part"), F.col("fps").alias("others")).join(reach, "_from").drop("_from")
     pairs = (
-        tiles.join(guests, "cell")
+        tiles.select("*", group).join(guests, ["cell", "group"])
         .where(~F.col("own") | (F.col("_part") >= F.col("part")))
         .select("fps", "others", (F.col("own") & (F.col("_part") == F.col("part"))).alias("same"))
     )
@@ -162,11 +168,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     narrow = df.select(df[id_col].alias("id"), df[text_col].cast("string").alias("text"))
     docs = common.stored(with_fingerprints(narrow, "text", "fp", words).select("id", "fp"), "simhash-docs")
     roots = classes(docs, radius, block)
-    smallest = docs.groupBy("fp").agg(F.min("id").alias("least"))
+    smallest = docs.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n"))
     known = smallest.join(roots, "fp")
     best = known.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = known.join(best, "root").select("fp", "component_id")
-    return docs.join(by_fp, "fp").select(
+    by_fp = common.stored(known.join(best, "root").select("fp", "component_id", "n"), "simhash-components")
+    return common.join_by_key(docs, by_fp, ["fp"], "n", docs.count()).select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
