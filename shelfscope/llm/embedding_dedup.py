@@ -5,13 +5,13 @@ Equal vectors of a label are collapsed first (with their count), so a group of
 exact copies is one vector.  Each distinct vector lives in the cell of its
 nearest centroid.  Two unit vectors whose cosine is at least ``t`` are at most
 ``d = sqrt(2 - 2 t)`` apart; if their nearest centroids ``p`` and ``q``
-differ, one of them is within ``d / 2`` of the plane midway between ``p`` and
-``q``.  A vector is therefore also a guest in each cell whose midway plane is
-that near, and comparing residents with residents and guests of their cell
-loses no link, whatever the centroids; a pair that meets in both cells counts
-in the one with the smaller number.  Cells are cut into blocks; a pair of
-blocks is one matrix product, from which only link counts and a spanning
-forest leave the task.
+differ, both are within ``d`` of the plane midway between ``p`` and ``q``,
+which lies between them.  A vector is therefore also a guest in each cell of a
+smaller number whose midway plane is that near, and comparing residents with
+residents and guests of their cell meets every possible link exactly once,
+whatever the centroids.  Cells are cut into blocks; a pair of blocks is one
+matrix product, from which only link counts and a spanning forest leave the
+task, and a cell's blocks are dealt to tasks in groups.
 """
 
 from __future__ import annotations
@@ -27,31 +27,32 @@ from pyspark.sql import types as T
 from . import common, vectors
 from .components import components
 
-#: Vectors that the centroids are fitted on, and the most centroids (a vector's
-#: cells are bits of a long).
+#: Vectors that the centroids are fitted on, and the most centroids (beyond
+#: MOST_CELLS * CELL_ROWS distinct vectors cells grow instead).
 FIT_ROWS = 20_000
-MOST_CELLS = 64
+MOST_CELLS = 2048
 CELL_ROWS = 4096
+#: Resident blocks of a cell that one task compares with the cell's other blocks.
+GROUP_BLOCKS = 8
 EPS = 1e-9
 
 
 def _cells(x: np.ndarray, centroids: np.ndarray, reach: float) -> list[list[int]]:
-    """For each unit vector its own cell, then the cells it is a guest of."""
+    """For each unit vector its own cell, then the cells it is a guest of:
+    those of smaller numbers whose midway plane is within ``reach``."""
     sim = x @ centroids.T
     home = sim.argmax(axis=1)
-    apart = np.linalg.norm(centroids[:, None, :] - centroids[None, :, :], axis=2)
+    apart = np.sqrt(np.maximum(0.0, 2 - 2 * (centroids[home] @ centroids.T)))
     gap = sim[np.arange(len(x)), home][:, None] - sim
-    near = gap <= reach * apart[home] + EPS
-    near[np.arange(len(x)), home] = False
+    near = (gap <= reach * apart + EPS) & (np.arange(len(centroids))[None, :] < home[:, None])
     return [[int(h), *np.flatnonzero(g).tolist()] for h, g in zip(home, near)]
 
 
 def _assign(classes: DataFrame, centroids: np.ndarray, threshold: float) -> DataFrame:
-    """(cls, cell, home, mask, guest, label, dim, vec): one row per cell that a
-    vector is in; mask has a bit for each cell that it is a guest of."""
+    """(cls, cell, guest, label, dim, vec): one row per cell that a vector is in."""
     spark = classes.sparkSession
     shared = spark.sparkContext.broadcast(centroids)
-    reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) / 2
+    reach = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
     schema = T.StructType([T.StructField("cls", T.LongType()), T.StructField("cells", T.ArrayType(T.IntegerType()))])
     dim = centroids.shape[1] if centroids.size else -1
 
@@ -65,21 +66,15 @@ def _assign(classes: DataFrame, centroids: np.ndarray, threshold: float) -> Data
 
     regular = classes.where(F.size("vec") == dim).select("cls", "vec").mapInArrow(run, schema)
     other = classes.where(F.size("vec") != dim).select("cls", F.array(F.lit(-1)).alias("cells"))
-    guests = F.aggregate(F.slice("cells", 2, MOST_CELLS), F.lit(0).cast("long"), lambda m, c: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), c)))
-    placed = regular.unionByName(other).select("cls", F.col("cells")[0].alias("home"), guests.alias("mask"), F.posexplode("cells").alias("pos", "cell"))
-    return placed.join(classes, "cls").select(
-        "cls", "cell", "home", "mask", (F.col("pos") > 0).alias("guest"), "label", F.size("vec").alias("dim"), "vec"
-    )
+    placed = regular.unionByName(other).select("cls", F.posexplode("cells").alias("pos", "cell"))
+    return placed.join(classes, "cls").select("cls", "cell", (F.col("pos") > 0).alias("guest"), "label", F.size("vec").alias("dim"), "vec")
 
 
-def _product(ids_a, a, ids_b, b, threshold: float, same: bool, elsewhere: np.ndarray | None):
-    """Link counts of both sides and a spanning forest of the links.
-    elsewhere: pairs that another cell counts."""
+def _product(ids_a, a, ids_b, b, threshold: float, same: bool):
+    """Link counts of both sides and a spanning forest of the links."""
     close = a @ b.T >= threshold
     if same:
         np.fill_diagonal(close, False)
-    if elsewhere is not None:
-        close &= ~elsewhere
     counts = [(ids_a, close)] if same else [(ids_a, close), (ids_b, close.T)]
     nodes = ids_a if same else np.concatenate([ids_a, ids_b])
     shift = 0 if same else len(ids_a)
@@ -96,11 +91,14 @@ def _product(ids_a, a, ids_b, b, threshold: float, same: bool, elsewhere: np.nda
 def _compare(tiles: DataFrame, threshold: float) -> DataFrame:
     """(a, b, n): n links' weight for class a, or an edge a - b (n null)."""
     keys = ["label", "dim", "cell"]
-    home = tiles.where(~F.col("guest")).select(*keys, F.col("block").alias("left_block"), F.col("rows").alias("left_rows"))
+    group = F.floor(F.col("block") / F.lit(GROUP_BLOCKS)).cast("int").alias("group")
+    home = tiles.where(~F.col("guest")).select(*keys, group, F.col("block").alias("left_block"), F.col("rows").alias("left_rows"))
+    # Every group of residents meets all blocks of its cell from its own first on.
+    met = tiles.join(home.select(*keys, "group").distinct(), keys).where(F.col("guest") | (F.col("block") >= F.col("group") * GROUP_BLOCKS))
     both = (
-        home.join(tiles, keys)
+        home.join(met, [*keys, "group"])
         .where(F.col("guest") | (F.col("block") >= F.col("left_block")))
-        .select("left_rows", "rows", (~F.col("guest") & (F.col("block") == F.col("left_block"))).alias("same"), "guest", "cell")
+        .select("left_rows", "rows", (~F.col("guest") & (F.col("block") == F.col("left_block"))).alias("same"))
     )
 
     def side(rows: pa.StructArray):
@@ -109,15 +107,11 @@ def _compare(tiles: DataFrame, threshold: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, (same, guest, cell) in enumerate(zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)))):
+            for i, same in enumerate(batch.column(2).to_pylist()):
                 left, right = batch.column(0)[i].values, batch.column(1)[i].values
                 ids_a, n_a, a = side(left)
                 ids_b, n_b, b = side(right)
-                elsewhere = None
-                if guest:
-                    home, mask = right.field("home").to_numpy(), left.field("mask").to_numpy()
-                    elsewhere = ((mask[:, None] >> home[None, :]) & 1).astype(bool) & (home < cell)[None, :]
-                counts, edges = _product(ids_a, a, ids_b, b, threshold, same, elsewhere)
+                counts, edges = _product(ids_a, a, ids_b, b, threshold, same)
                 weights = [n_b, n_a]
                 out_a, out_b, out_n = [], [], []
                 for (ids, close), weight in zip(counts, weights):
@@ -175,7 +169,7 @@ def near_duplicates(
     tiles = (
         placed.join(parts, keys)
         .groupBy(*keys, F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int").alias("block"))
-        .agg(F.collect_list(F.struct("cls", "n", "home", "mask", "vec")).alias("rows"))
+        .agg(F.collect_list(F.struct("cls", "n", "vec")).alias("rows"))
     )
     tiles = common.stored(tiles, "vector-tiles")
     found = common.stored(_compare(tiles, threshold), "vector-links")
@@ -185,11 +179,11 @@ def near_duplicates(
     info = (
         classes.join(linked, "cls", "left")
         .join(tops, "cls", "left")
-        .select("label", "vec", "least", (F.col("n") - 1 + F.coalesce("n_others", F.lit(0))).alias("n_links"), F.coalesce("top", "cls").alias("root"))
+        .select("label", "vec", "least", "n", (F.col("n") - 1 + F.coalesce("n_others", F.lit(0))).alias("n_links"), F.coalesce("top", "cls").alias("root"))
     )
     best = info.groupBy("root").agg(F.min("least").alias("component_id"))
-    info = info.join(best, "root").select("label", "vec", "n_links", "component_id")
-    linked_rows = good.join(info, ["label", "vec"]).select("id", "n_links", "component_id")
+    info = common.stored(info.join(best, "root").select("label", "vec", "n", "n_links", "component_id"), "vector-components")
+    linked_rows = common.join_by_key(good, info, ["label", "vec"], "n", info.agg(F.sum("n")).first()[0] or 0).select("id", "n_links", "component_id")
     alone = rows.where(~ok).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     out = linked_rows.unionByName(alone)
     return out.select(F.col("id").alias(id_col), "n_links", F.col("component_id"), (F.col("id") == F.col("component_id")).alias("kept"))
