@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from datetime import date, datetime
 
 import pytest
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from shelfscope.functions.hashing import attr_hash
 from shelfscope.operators import dimension
 from shelfscope.plans import queries
+from shelfscope.session import SHUFFLE_CLEANUP, materialize
+from shelfscope.sinks import tables
 from shelfscope.sources import fixtures
 from tests.conftest import SMALL
 from tests.plan_util import plan_text
@@ -79,3 +82,33 @@ def test_no_snapshot_carries_its_hash_through_the_exchange(spark):
     lines = plan_text(dimension.scd2_rebuild(snaps.repartition(3), tracked=["title"]), "simple").splitlines()
     dealt = next(i for i, x in enumerate(lines) if "Exchange hashpartitioning" in x)
     assert not any("sha2" in x for x in lines[dealt:])
+
+
+def test_derived_columns_do_not_travel_and_are_stored_alike(spark, tmpdir_path):
+    snaps = spark.createDataFrame(
+        [("A", "US", date(2024, 1, d), t) for d, t in ((1, "x"), (2, "y"), (3, None))] + [(None, "US", date(2024, 1, 1), "z"), ("B", "DE", None, "z")],
+        "asin string, marketplace string, ingested_at date, title string",
+    )
+    dim = dimension.scd2_rebuild(snaps, tracked=["title"])
+    tables.write_dimension(dim, f"{tmpdir_path}/plain", "2024-01-03")
+    tables.write_dimension(dim, f"{tmpdir_path}/late", "2024-01-03", dimension.derived_columns(tracked=["title"]))
+    plain, late = (tables.read_dimension(spark, f"{tmpdir_path}/{x}") for x in ("plain", "late"))
+    assert plain.schema == late.schema
+    assert sorted(map(str, plain.collect())) == sorted(map(str, late.collect())) == sorted(map(str, dim.collect()))
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    def files() -> int:
+        folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return sum(name.startswith("shuffle_") for d in folders for _, _, names in os.walk(d) for name in names)
+
+    was, before = spark.conf.get(SHUFFLE_CLEANUP), files()
+    stored = materialize(spark, spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    assert files() <= before and stored.count() == 7
+    assert spark.conf.get(SHUFFLE_CLEANUP) == was
+
+
+def test_lookup_leaves_listings_where_they_are(spark, no_broadcast):
+    dim = spark.createDataFrame([("A", "US", "sk", None, True)], "asin string, marketplace string, product_sk string, expiry_date date, is_current boolean")
+    fact = queries.silver_listings(spark, SMALL, ["asin", "marketplace", "ingested_at"])
+    assert _exchanges(dimension.lookup_sk(fact, dim)) == 3  # lines, parts and versions
