@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shelfscope.functions.hashing import attr_hash
 from shelfscope.operators import dimension
 from shelfscope.plans import queries
-from shelfscope.session import SHUFFLE_CLEANUP, materialize
+from shelfscope.session import ALL_KEYS, SHUFFLE_CLEANUP, materialize
 from shelfscope.sinks import tables
 from shelfscope.sources import fixtures
 from tests.conftest import SMALL
@@ -111,4 +111,12 @@ def test_a_stored_table_leaves_no_shuffle_files(spark):
 def test_lookup_leaves_listings_where_they_are(spark, no_broadcast):
     dim = spark.createDataFrame([("A", "US", "sk", None, True)], "asin string, marketplace string, product_sk string, expiry_date date, is_current boolean")
     fact = queries.silver_listings(spark, SMALL, ["asin", "marketplace", "ingested_at"])
-    assert _exchanges(dimension.lookup_sk(fact, dim)) == 3  # lines, parts and versions
+    found = dimension.lookup_sk(fact, dim)
+    was = spark.conf.get(ALL_KEYS)
+    stored = materialize(spark, found, partly_dealt=True)
+    assert spark.conf.get(ALL_KEYS) == was and stored.count() == fact.count()
+    spark.conf.set(ALL_KEYS, "false")
+    try:
+        assert _exchanges(dimension.lookup_sk(fact, dim)) == 3  # lines, parts and versions
+    finally:
+        spark.conf.set(ALL_KEYS, was)
