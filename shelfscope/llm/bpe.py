@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -27,7 +28,8 @@ from pyspark.sql import types as T
 
 from . import common
 
-#: Encoded pieces that a worker remembers; the memory is emptied when full.
+#: Encoded pieces that a worker remembers twice over: when the memory is full it
+#: becomes the older one, and what is met again in the older one moves back.
 CACHE_PIECES = 300_000
 #: Bytes of a piece's beginning whose prefixes are remembered by themselves.
 STEM_BYTES = 5
@@ -41,17 +43,21 @@ class Vocabulary:
     def __init__(self, lines: bytes):
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines.splitlines()) if a}
         self.tokens: list[bytes] = [b""] * (max(self.ranks.values(), default=-1) + 1)
-        #: Lengths of the tokens that end in three bytes, longest first.
+        #: Lengths of the tokens that can end where three or four bytes do, longest first.
         ends: dict[bytes, set[int]] = {}
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
             if len(token) >= 3:
-                ends.setdefault(token[-3:], {2, 1}).add(len(token))
-        self.lengths = {e: tuple(sorted(n, reverse=True)) for e, n in ends.items()}
+                ends.setdefault(token[-4:], set()).add(len(token))
+        self.lengths = {e: tuple(sorted(n | self.short(e), reverse=True)) for e, n in ends.items()}
         self.longest = max(map(len, self.ranks), default=0)
         self._pairs: dict[int, bool] = {}
         self._alone: dict[int, bool] = {}
 
+    def short(self, data: bytes) -> set[int]:
+        """Lengths up to three of the tokens that end ``data``."""
+        return {n for n in (3, 2, 1) if data[-n:] in self.ranks}
+
     def merge(self, data: bytes) -> list[int]:
         """Plain BPE: join the neighbouring pair of lowest rank, leftmost first."""
         parts = [data[i : i + 1] for i in range(len(data))]
@@ -87,7 +93,7 @@ class Vocabulary:
         to the prefix of ``end`` bytes: each is the one token that can end it."""
         rank, lengths, known = self.ranks.get, self.lengths.get, self._pairs.get
         for i in range(len(last) + 1, end + 1):
-            for n in lengths(data[i - 3 : i], (2, 1)) if i > 2 else (2, 1)[2 - i :]:
+            for n in i > 3 and lengths(data[i - 4 : i]) or i > 2 and lengths(data[i - 3 : i]) or (2, 1):
                 if n > i or (t := rank(data[i - n : i])) is None:
                     continue
                 if n == i:
@@ -203,6 +209,7 @@ class Encoder(dict):
         import regex
 
         self.vocab, self.find = vocab, regex.compile(pattern).findall
+        self.older: dict[str, bytes] = {}
         self.stems: dict[bytes, list[int]] = {}
 
     def piece(self, data: bytes) -> Piece:
@@ -219,10 +226,14 @@ class Encoder(dict):
         return out
 
     def __missing__(self, piece: str) -> bytes:
-        data = piece.encode()
-        whole = self.vocab.ranks.get(data)
-        packed = np.asarray([whole] if whole is not None else self.piece(data).ids(), "<u4").tobytes()
+        packed = self.older.get(piece)
+        if packed is None:
+            data = piece.encode()
+            whole = self.vocab.ranks.get(data)
+            ids = [whole] if whole is not None else self.piece(data).ids()
+            packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(self) >= CACHE_PIECES:
+            self.older = dict(self)
             self.clear()
         if len(piece) <= 64:
             self[piece] = packed

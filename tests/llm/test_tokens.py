@@ -129,3 +129,22 @@ def test_op6_odd_rows(spark):
         (str(i), len((t or "").encode()), n := len(sp.encode(t or "")), n > 5) for i, t, _, _ in rows
     )
     assert token_counts.count_tokens(df.limit(0), SP).count() == 0
+
+
+def test_common_pieces_outlast_a_full_memory(vocab, library, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 10)
+    enc = bpe.Encoder(vocab, public_tokenizers.PATTERN)
+    made = []
+    monkeypatch.setattr(enc, "piece", lambda data, real=enc.piece: made.append(data) or real(data))
+    for x in "abcdefghijklmnopqrstuvwxyz" * 2:
+        t = f" qzxqzx {x}zzxqzx"
+        assert enc.encode(t) == struct.pack(f"<{len(library.encode_ordinary(t))}I", *library.encode_ordinary(t))
+    assert made.count(b" qzxqzx") == 1
+    assert len(enc) <= 10 and len(enc.older) <= 10
+
+
+def test_only_lengths_of_tokens_that_can_end_there_are_tried(vocab):
+    ends = {(t[-k:], len(t)) for t in vocab.ranks for k in (3, 4) if len(t) >= k}
+    for end, lengths in vocab.lengths.items():
+        assert list(lengths) == sorted(set(lengths), reverse=True)
+        assert all((end, n) in ends or n < 4 and end[-n:] in vocab.ranks for n in lengths), end
