@@ -13,6 +13,7 @@ from tests.plan_util import plan_text
 #: What a query deals by which keys, beside lines and parts: versions, cards, prices.
 DEALT = {
     "scd2_apply_last_day": {"_k0, _k1", "_n0, _n1"},
+    "price_lookup": {"product_sk", "asin, marketplace", "asin, marketplace, ingested_at", "asin, keyword, ingested_at"},
 }
 
 
