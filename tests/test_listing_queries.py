@@ -14,6 +14,7 @@ from tests.plan_util import plan_text
 DEALT = {
     "scd2_apply_last_day": {"_k0, _k1", "_n0, _n1"},
     "price_lookup": {"product_sk", "asin, marketplace", "asin, marketplace, ingested_at", "asin, keyword, ingested_at"},
+    "dim_asof": {"asin, marketplace, ingested_at", "asin, keyword, ingested_at", "_k0, _k1, _day", "_k0, _k1"},
 }
 
 
