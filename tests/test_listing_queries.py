@@ -16,6 +16,7 @@ DEALT = {
     "price_lookup": {"product_sk", "asin, marketplace", "asin, marketplace, ingested_at", "asin, keyword, ingested_at"},
     "dim_asof": {"asin, marketplace, ingested_at", "asin, keyword, ingested_at", "_k0, _k1, _day", "_k0, _k1"},
     "scd2_rebuild": set(),
+    "dq_version_chain": {"product_sk"},
 }
 
 
