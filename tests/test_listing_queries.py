@@ -17,6 +17,7 @@ DEALT = {
     "dim_asof": {"asin, marketplace, ingested_at", "asin, keyword, ingested_at", "_k0, _k1, _day", "_k0, _k1"},
     "scd2_rebuild": set(),
     "dq_version_chain": {"product_sk"},
+    "dim_current": set(),
 }
 
 
