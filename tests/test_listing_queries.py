@@ -18,6 +18,7 @@ DEALT = {
     "scd2_rebuild": set(),
     "dq_version_chain": {"product_sk"},
     "dim_current": set(),
+    "dim_totals": set(),
 }
 
 
