@@ -19,6 +19,7 @@ DEALT = {
     "dq_version_chain": {"product_sk"},
     "dim_current": set(),
     "dim_totals": set(),
+    "dq_change_pairs": set(),
 }
 
 
