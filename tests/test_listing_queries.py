@@ -20,6 +20,7 @@ DEALT = {
     "dim_current": set(),
     "dim_totals": set(),
     "dq_change_pairs": set(),
+    "dq_duplicate_current": set(),
 }
 
 
