@@ -21,6 +21,7 @@ DEALT = {
     "dim_totals": set(),
     "dq_change_pairs": set(),
     "dq_duplicate_current": set(),
+    "listing_ranks": set(),
 }
 
 
