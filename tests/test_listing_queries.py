@@ -22,6 +22,7 @@ DEALT = {
     "dq_change_pairs": set(),
     "dq_duplicate_current": set(),
     "listing_ranks": set(),
+    "fact_price_snapshot": {"asin, marketplace", "asin, marketplace, ingested_at", "asin, keyword, ingested_at"},
 }
 
 
