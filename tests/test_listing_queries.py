@@ -23,6 +23,7 @@ DEALT = {
     "dq_duplicate_current": set(),
     "listing_ranks": set(),
     "fact_price_snapshot": {"asin, marketplace", "asin, marketplace, ingested_at", "asin, keyword, ingested_at"},
+    "dq_null_keys": {"asin, keyword, ingested_at"},
 }
 
 
