@@ -1,4 +1,5 @@
-"""The raw ingest parses a product once and lists folders, not files."""
+"""The raw ingest parses a product once and lists folders, not files; writes of
+tables free what they shuffled."""
 
 from __future__ import annotations
 
@@ -7,7 +8,13 @@ import os
 
 from pyspark.sql import functions as F
 
-from shelfscope.sources import raw
+from shelfscope.functions.hashing import attr_hash, surrogate_key
+from shelfscope.operators import dimension
+from shelfscope.plans.day import Lake, rebuild
+from shelfscope.session import SHUFFLE_CLEANUP
+from shelfscope.sinks import tables
+from shelfscope.sources import fixtures, raw
+from tests.conftest import SMALL
 from tests.plan_util import plan_text
 
 LAYOUT = "{root}/{source}/{date}"
@@ -70,3 +77,50 @@ def test_folders_are_listed_and_only_their_own_files_read(spark, tmpdir_path):
         assert sorted(os.path.basename(r._file_path) for r in texts.collect()) == sorted(f"{i}.json" for i in range(40))
     assert raw.read_texts(spark, tmpdir_path, "details", "2024-01-02", LAYOUT).count() == 0
     assert raw.read_texts(spark, tmpdir_path, "search", None, LAYOUT).count() == 0
+
+
+def _shuffle_files(spark) -> int:
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return sum(name.startswith("shuffle_") for d in folders for _, _, names in os.walk(d) for name in names)
+
+
+def test_writes_of_tables_leave_no_shuffle_files(spark, tmpdir_path):
+    rows = spark.range(2000).select((F.col("id") % 7).alias("k"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 3).cast("int")).alias("ingested_at"))
+    was, before = spark.conf.get(SHUFFLE_CLEANUP), _shuffle_files(spark)
+    counted = rows.groupBy("k", "ingested_at").count()
+    assert tables.replace_partitions(counted, f"{tmpdir_path}/t", whole=True).rows == 21
+    tables.replace_partition(counted.where("ingested_at = '2024-01-01'"), f"{tmpdir_path}/t", "2024-01-01")
+    tables.write_table(counted, f"{tmpdir_path}/w", mode="append")
+    dim = counted.select("k", F.col("ingested_at").alias("effective_date"), F.lit(None).cast("date").alias("expiry_date"), F.lit(True).alias("is_current"))
+    tables.write_dimension(dim, f"{tmpdir_path}/d")
+    products = spark.range(50).select(
+        F.lit("2024-01-01").alias("d"), (F.col("id") % 5).alias("file"), F.lit("US").alias("marketplace"), F.lit("2024-01-01T00:00:00").alias("extracted_at"),
+        F.lit("{}").alias("p"), F.lit(False).alias("cut"),
+    )
+    raw.write_multi_line(products, tmpdir_path, "details")
+    assert _shuffle_files(spark) <= before and spark.conf.get(SHUFFLE_CLEANUP) == was
+    assert spark.read.parquet(f"{tmpdir_path}/t").count() == 21 and tables.read_dimension(spark, f"{tmpdir_path}/d").count() == 21
+
+
+def test_stored_tables_take_zstandard_or_the_callers_codec(spark, tmpdir_path):
+    rows = spark.range(10).withColumn("ingested_at", F.lit("2024-01-01").cast("date"))
+    tables.replace_partitions(rows, f"{tmpdir_path}/own")
+    s = spark.newSession()
+    s.conf.set(tables.CODEC, "gzip")
+    tables.replace_partitions(s.range(10).withColumn("ingested_at", F.lit("2024-01-01").cast("date")), f"{tmpdir_path}/set")
+    for name, ending in (("own", ".zstd.parquet"), ("set", ".gz.parquet")):
+        files = os.listdir(f"{tmpdir_path}/{name}/ingested_at=2024-01-01")
+        assert all(f.endswith(ending) for f in files if f.startswith("part-")), files
+
+
+def test_rebuild_computes_hashes_as_versions_are_written(spark, tmpdir_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(tables, "stage_load", lambda dim, path, generation, load, derived=None, put=tables.stage_load: (seen.append(sorted(derived)), put(dim, path, generation, load, derived)))
+    lake = Lake(f"{tmpdir_path}/raw", f"{tmpdir_path}/lake")
+    for name, rows in {"search_results": fixtures.raw_cards(spark, SMALL), "product_details": fixtures.raw_listings(spark, SMALL)}.items():
+        rows.withColumn("ingested_at", F.lit("1995-01-01").cast("date")).write.partitionBy("ingested_at").parquet(lake.path("bronze", name))
+    rebuild(spark, lake)
+    dim = tables.read_dimension(spark, lake.at(spark).path("gold", "dim_product"))
+    assert seen == [["_attr_hash", "product_sk"]]
+    wrong = dim.where((F.col("product_sk") != surrogate_key(dimension.PRODUCT_KEYS)) | (F.col("_attr_hash") != attr_hash(dimension.PRODUCT_TRACKED)))
+    assert dim.count() > 0 and wrong.count() == 0 and dim.where("product_sk is null or _attr_hash is null").count() == 0
