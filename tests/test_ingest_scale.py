@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfscope.functions.hashing import attr_hash, surrogate_key
 from shelfscope.operators import dimension
-from shelfscope.plans.day import Lake, rebuild
+from shelfscope.plans.day import Lake, rebuild, run_bronze
 from shelfscope.session import SHUFFLE_CLEANUP
 from shelfscope.sinks import tables
 from shelfscope.sources import fixtures, raw
@@ -79,26 +79,26 @@ def test_folders_are_listed_and_only_their_own_files_read(spark, tmpdir_path):
     assert raw.read_texts(spark, tmpdir_path, "search", None, LAYOUT).count() == 0
 
 
-def _shuffle_files(spark) -> int:
+def _shuffles(spark) -> set[str]:
     folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
-    return sum(name.startswith("shuffle_") for d in folders for _, _, names in os.walk(d) for name in names)
+    return {name.split("_")[1] for d in folders for _, _, names in os.walk(d) for name in names if name.startswith("shuffle_")}
 
 
 def test_writes_of_tables_leave_no_shuffle_files(spark, tmpdir_path):
     rows = spark.range(2000).select((F.col("id") % 7).alias("k"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 3).cast("int")).alias("ingested_at"))
-    was, before = spark.conf.get(SHUFFLE_CLEANUP), _shuffle_files(spark)
+    was, before = spark.conf.get(SHUFFLE_CLEANUP), _shuffles(spark)
     counted = rows.groupBy("k", "ingested_at").count()
     assert tables.replace_partitions(counted, f"{tmpdir_path}/t", whole=True).rows == 21
     tables.replace_partition(counted.where("ingested_at = '2024-01-01'"), f"{tmpdir_path}/t", "2024-01-01")
     tables.write_table(counted, f"{tmpdir_path}/w", mode="append")
     dim = counted.select("k", F.col("ingested_at").alias("effective_date"), F.lit(None).cast("date").alias("expiry_date"), F.lit(True).alias("is_current"))
-    tables.write_dimension(dim, f"{tmpdir_path}/d")
+    tables.write_dimension(dim, f"{tmpdir_path}/d", "2024-01-03")
     products = spark.range(50).select(
         F.lit("2024-01-01").alias("d"), (F.col("id") % 5).alias("file"), F.lit("US").alias("marketplace"), F.lit("2024-01-01T00:00:00").alias("extracted_at"),
         F.lit("{}").alias("p"), F.lit(False).alias("cut"),
     )
     raw.write_multi_line(products, tmpdir_path, "details")
-    assert _shuffle_files(spark) <= before and spark.conf.get(SHUFFLE_CLEANUP) == was
+    assert _shuffles(spark) <= before and spark.conf.get(SHUFFLE_CLEANUP) == was
     assert spark.read.parquet(f"{tmpdir_path}/t").count() == 21 and tables.read_dimension(spark, f"{tmpdir_path}/d").count() == 21
 
 
@@ -124,3 +124,16 @@ def test_rebuild_computes_hashes_as_versions_are_written(spark, tmpdir_path, mon
     assert seen == [["_attr_hash", "product_sk"]]
     wrong = dim.where((F.col("product_sk") != surrogate_key(dimension.PRODUCT_KEYS)) | (F.col("_attr_hash") != attr_hash(dimension.PRODUCT_TRACKED)))
     assert dim.count() > 0 and wrong.count() == 0 and dim.where("product_sk is null or _attr_hash is null").count() == 0
+
+
+def test_loads_of_bronze_repeat_nothing_and_leave_no_shuffle_files(spark, tmpdir_path):
+    _write(f"{tmpdir_path}/raw", {f"{i}.json": [{"asin": f"A{i}", "images": "one" if i % 2 else ["one"]}, 7] for i in range(40)})
+    lake, only = Lake(f"{tmpdir_path}/raw", f"{tmpdir_path}/lake"), ("product_details",)
+    before = _shuffles(spark)
+    for day in (None, None, "2024-01-01"):
+        report = run_bronze(spark, lake, day, only)["product_details"]
+        assert (report.rows, report.source_rows) == (40, 80)
+    assert len(_shuffles(spark) - before) <= 3  # a count by status each, freed as the driver drops its frame
+    kept, aside = (spark.read.parquet(lake.path("bronze", t)) for t in ("product_details", "_quarantine_product_details"))
+    assert {(r.asin, *r.images) for r in kept.collect()} == {(f"A{i}", "one") for i in range(40)} and kept.count() == 40
+    assert [(r.reason, r.raw_text, r["count"]) for r in aside.groupBy("reason", "raw_text").count().collect()] == [("not an object", "7", 40)]
